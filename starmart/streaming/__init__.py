@@ -1,0 +1,7 @@
+"""No streaming operators.
+
+The published job is batch-only: its increment is a filter on the run history
+(see ``sources.snapshots.load_snapshots(since=...)``), not a stream, and it has
+no watermarks, event-time windows or streaming state. This package stays empty
+on purpose rather than adding operators the job does not have.
+"""
