@@ -220,13 +220,18 @@ def event_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 def _complete(spark: SparkSession, path: str) -> bool:
+    """True once the tree at ``path`` has been written completely (marker exists)."""
     try:
-        spark.read.text(f"{path}/_SUCCESS").limit(1).collect()
+        spark.read.parquet(f"{path}.complete")
         return True
     except AnalysisException:
         return False
 
 
+def _mark_complete(spark: SparkSession, path: str) -> None:
+    spark.range(1).write.mode("overwrite").parquet(f"{path}.complete")
+
+
 def landing_root(spark: SparkSession, sf_dir: str) -> str:
     tag = hashlib.sha1(sf_dir.rstrip("/").encode()).hexdigest()[:10]
     return f"{scratch_root(spark)}/landing-v{FIXTURE_VERSION}-{tag}"
@@ -255,4 +260,5 @@ def people_snapshot_tree(spark: SparkSession, sf_dir: str) -> str:
         .partitionBy(*config.PARTITION_KEYS)
         .parquet(root)
     )
+    _mark_complete(spark, root)
     return root

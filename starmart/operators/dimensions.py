@@ -42,11 +42,12 @@ class DimensionSpec:
             return self.schema
         return T.StructType([T.StructField(self.key, T.IntegerType())] + [T.StructField(a, T.StringType()) for a in self.attrs])
 
-    def lookup(self, people: DataFrame, dim: DataFrame, folded: bool = True) -> DataFrame:
+    def lookup(self, people: DataFrame, dim: DataFrame, folded: bool = True, rows: int | None = None) -> DataFrame:
+        """Add this dimension's key; ``rows`` (if known) spares the size check."""
         if self.kind == "day":
-            return lookup_day(people, dim)
+            return lookup_day(people, dim, rows)
         cols = self.people_cols() if self.people_cols else []
-        return lookup(people, dim, self.key, cols, self.attrs, folded=folded)
+        return lookup(people, dim, self.key, cols, self.attrs, folded=folded, rows=rows)
 
 
 def _regular(name: str, key: str, ex: X.Extractor) -> DimensionSpec:
@@ -84,55 +85,40 @@ REGULAR = (LOCATION, PERSON_TYPE, GENDER, GRADE, NATIONALITY, INFORMAL_ORG, FORM
 
 # ---------------------------------------------------------------------------
 # Members and merge
+#
+# Dimensions are processed together in a "long" layout, one row per member:
+# (dim, key, a0, a1, a2, a3), attributes as strings, unused slots null. One
+# pass over the source yields every dimension's members, one anti-join finds
+# the new ones and one key assignment numbers them per dimension.
 # ---------------------------------------------------------------------------
 
-def fold_members(members: DataFrame, attrs: tuple[str, ...]) -> DataFrame:
-    """One member per case-folded value: the smallest spelling of each attribute."""
-    groups = [fold(a).alias(f"_f_{i}") for i, a in enumerate(attrs)]
-    return members.groupBy(*groups).agg(*[F.min(a).alias(a) for a in attrs]).select(*attrs)
-
-
-def new_members(extracted: DataFrame, existing: DataFrame, attrs: tuple[str, ...], compat: bool = False) -> DataFrame:
-    """Extracted members whose folded value is not in the table yet (left anti join).
-
-    Default folds first, so spellings differing only in case arriving together
-    give one member; ``compat`` appends every case-sensitive distinct spelling.
-    """
-    new = extracted if compat else fold_members(extracted, attrs)
-    old = existing.select(*[F.col(a).alias(f"_old_{a}") for a in attrs])
-    cond = null_safe_match([new[a] for a in attrs], [old[f"_old_{a}"] for a in attrs], folded=True)
-    return new.join(broadcast_checked(old), cond, "left_anti")
+WIDTH = 4  # widest natural key among the regular dimensions
+SLOTS = tuple(f"a{i}" for i in range(WIDTH))
 
 
-def keyed_new_members(
-    spec: DimensionSpec, extracted: DataFrame, existing: DataFrame, compat: bool = False
-) -> DataFrame:
-    """New members with keys continuing after the table's largest key."""
-    start = existing.agg(F.max(spec.key)).first()[0] or 0
-    new = new_members(extracted, existing, spec.attrs, compat)
-    return assign_keys(new, spec.key, spec.attrs, start=start).select(spec.key, *spec.attrs)
+def to_long(spec: DimensionSpec, table: DataFrame) -> DataFrame:
+    cols = [F.col(a).cast("string").alias(s) for a, s in zip(spec.attrs, SLOTS)]
+    cols += [F.lit(None).cast("string").alias(s) for s in SLOTS[len(spec.attrs):]]
+    return table.select(F.lit(spec.name).alias("dim"), F.col(spec.key).cast("int").alias("key"), *cols)
 
 
-def build_dimension(spec: DimensionSpec, people: DataFrame, compat: bool = False) -> DataFrame:
-    """The dimension a first merge into an empty table produces (keys from 1)."""
-    if spec.static:
-        raise ValueError(f"{spec.name} is static")
-    empty = people.sparkSession.createDataFrame([], spec.table_schema())
-    return keyed_new_members(spec, spec.extractor.extract(people), empty, compat)
+def from_long(long: DataFrame, spec: DimensionSpec) -> DataFrame:
+    return long.filter(F.col("dim") == spec.name).select(
+        F.col("key").alias(spec.key), *[F.col(s).alias(a) for s, a in zip(SLOTS, spec.attrs)]
+    )
 
 
 def dimension_members(source: DataFrame, specs: tuple[DimensionSpec, ...] | list[DimensionSpec]) -> DataFrame:
     """Distinct candidate members of several dimensions from one pass over the source.
 
-    Rows are (dim, a0, a1, ...): each source row yields one entry per dimension
-    (none where the extractor's filter rejects it), and one distinct collapses
-    them with map-side partial aggregation. One scan instead of one per dimension.
+    Each source row yields one entry per dimension (none where the extractor's
+    filter rejects it); one distinct collapses them with map-side partial
+    aggregation. Distinct is case-sensitive and keeps null members.
     """
-    width = max(len(s.attrs) for s in specs)
     entries = []
     for s in specs:
-        cols = s.extractor.columns() + [F.lit(None)] * (width - len(s.attrs))
-        entry = F.struct(F.lit(s.name).alias("dim"), *[c.cast("string").alias(f"a{i}") for i, c in enumerate(cols)])
+        cols = s.extractor.columns() + [F.lit(None)] * (WIDTH - len(s.attrs))
+        entry = F.struct(F.lit(s.name).alias("dim"), *[c.cast("string").alias(a) for a, c in zip(SLOTS, cols)])
         if s.extractor.keep is not None:
             entry = F.when(s.extractor.keep(), entry)
         entries.append(entry)
@@ -141,26 +127,65 @@ def dimension_members(source: DataFrame, specs: tuple[DimensionSpec, ...] | list
 
 
 def members_for(members: DataFrame, spec: DimensionSpec) -> DataFrame:
-    return members.filter(F.col("dim") == spec.name).select(
-        *[F.col(f"a{i}").alias(a) for i, a in enumerate(spec.attrs)]
+    return members.filter(F.col("dim") == spec.name).select(*[F.col(s).alias(a) for s, a in zip(SLOTS, spec.attrs)])
+
+
+def fold_members(members: DataFrame, attrs: tuple[str, ...] = SLOTS, by: tuple[str, ...] = ("dim",)) -> DataFrame:
+    """One member per case-folded value: the smallest spelling of each attribute."""
+    by = tuple(b for b in by if b in members.columns)
+    groups = [F.col(b) for b in by] + [fold(a).alias(f"_f_{i}") for i, a in enumerate(attrs)]
+    return members.groupBy(*groups).agg(*[F.min(a).alias(a) for a in attrs]).select(*by, *attrs)
+
+
+def new_members(members: DataFrame, existing: DataFrame, compat: bool = False) -> DataFrame:
+    """Members (long layout) whose folded value is not in ``existing`` yet (left anti join).
+
+    Default folds first, so spellings differing only in case that arrive
+    together give one member; ``compat`` keeps every case-sensitive spelling.
+    """
+    new = members if compat else fold_members(members)
+    old = existing.select(F.col("dim").alias("_old_dim"), *[F.col(s).alias(f"_old_{s}") for s in SLOTS])
+    cond = (new["dim"] == old["_old_dim"]) & null_safe_match(
+        [new[s] for s in SLOTS], [old[f"_old_{s}"] for s in SLOTS], folded=True
+    )
+    return new.join(broadcast_checked(old), cond, "left_anti")
+
+
+def key_members(new: DataFrame, existing: DataFrame) -> DataFrame:
+    """Keys for new members, continuing after each dimension's largest key."""
+    starts = existing.groupBy("dim").agg(F.max("key").alias("_start"))  # one row per dimension
+    with_start = new.join(F.broadcast(starts), "dim", "left").withColumn(
+        "_start", F.coalesce(F.col("_start"), F.lit(0))
     )
+    return assign_keys(with_start, "key", SLOTS, start="_start", group_cols=("dim",)).select("dim", "key", *SLOTS)
+
+
+def empty_long(spark: SparkSession) -> DataFrame:
+    schema = T.StructType(
+        [T.StructField("dim", T.StringType()), T.StructField("key", T.IntegerType())]
+        + [T.StructField(s, T.StringType()) for s in SLOTS]
+    )
+    return spark.createDataFrame([], schema)
+
+
+def member_counts(long: DataFrame) -> dict[str, int]:
+    """Rows per dimension (one small action over at most one row per dimension)."""
+    return {r["dim"]: r["n"] for r in long.groupBy("dim").agg(F.count(F.lit(1)).alias("n")).collect()}
 
 
 def build_dimensions(
     people: DataFrame, specs: tuple[DimensionSpec, ...] = REGULAR, compat: bool = False
-) -> dict[str, DataFrame]:
-    """Several dimensions as first merges would build them, from one pass over ``people``.
+) -> tuple[dict[str, DataFrame], dict[str, int]]:
+    """Dimensions as first merges build them from ``people``, and their row counts.
 
-    Members and each keyed table are checkpointed: they are small, reused by
-    every lookup, and must not be recomputed from the people frame.
+    The keyed members are checkpointed once: they are small, reused by every
+    lookup, and must not be recomputed from the people frame.
     """
-    spark = people.sparkSession
-    members = dimension_members(people, specs).checkpoint()
-    out = {}
-    for spec in specs:
-        empty = spark.createDataFrame([], spec.table_schema())
-        out[spec.name] = keyed_new_members(spec, members_for(members, spec), empty, compat).checkpoint()
-    return out
+    members = dimension_members(people, specs)
+    new = members if compat else fold_members(members)
+    keyed = key_members(new, empty_long(people.sparkSession)).checkpoint()
+    counts = member_counts(keyed)
+    return {spec.name: from_long(keyed, spec) for spec in specs}, {s.name: counts.get(s.name, 0) for s in specs}
 
 
 # ---------------------------------------------------------------------------
@@ -188,7 +213,7 @@ def day_table(spark: SparkSession, first: dt.date | str, last: dt.date | str) ->
     )
 
 
-def lookup_day(people: DataFrame, day: DataFrame) -> DataFrame:
+def lookup_day(people: DataFrame, day: DataFrame, rows: int | None = None) -> DataFrame:
     """Equi-join on (year, month, day); adds DayKey and ExactDate."""
     right = day.select("DayKey", "year", "month", "day", "ExactDate")
-    return people.join(broadcast_checked(right), ["year", "month", "day"])
+    return people.join(broadcast_checked(right, rows=rows), ["year", "month", "day"])

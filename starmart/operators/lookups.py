@@ -21,9 +21,13 @@ def fits(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def broadcast_checked(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``F.broadcast(df)`` when the row count is proven under the bound, else ``df``."""
-    return F.broadcast(df) if fits(df, max_rows) else df
+def broadcast_checked(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, rows: int | None = None) -> DataFrame:
+    """``F.broadcast(df)`` when the row count is proven under the bound, else ``df``.
+
+    ``rows`` is a count the caller already knows; otherwise a bounded count runs.
+    """
+    small = rows <= max_rows if rows is not None else fits(df, max_rows)
+    return F.broadcast(df) if small else df
 
 
 def lookup(
@@ -34,6 +38,7 @@ def lookup(
     dim_attrs: Sequence[str],
     folded: bool = True,
     max_rows: int = BROADCAST_MAX_ROWS,
+    rows: int | None = None,
 ) -> DataFrame:
     """Inner null-safe equi-join adding ``key``; people without a member drop out.
 
@@ -47,5 +52,5 @@ def lookup(
     left_tmp = [f"_lv_{i}" for i in range(len(dim_attrs))]
     left = people.withColumns({t: f(c) for t, c in zip(left_tmp, people_cols)})
     cond = [left[lt].eqNullSafe(right[rt]) for lt, rt in zip(left_tmp, tmp)]
-    joined = left.join(broadcast_checked(right, max_rows), cond, "inner")
+    joined = left.join(broadcast_checked(right, max_rows, rows), cond, "inner")
     return joined.drop(*left_tmp, *tmp)

@@ -1,20 +1,22 @@
 """Dense surrogate keys without a single-task window.
 
 New members get ``start + 1, start + 2, ...`` in the order of their natural key
-(nulls first). Rather than numbering with an unpartitioned window, which moves
-every row into one task, the members are range-partitioned on the natural key,
-numbered inside each range, and shifted by the row count of all lower ranges.
-Only the per-range counts (one row per partition) are gathered.
-
-The natural key must be unique in ``members`` (true after distinct / folding),
-so the numbering is the same on every run and on every retry.
+(nulls first), separately per group (for example per dimension when several
+dimensions are keyed together). Rather than numbering with a window over the
+whole group, which moves every row of the group into one task, members are
+range-partitioned on (group, natural key), numbered inside each range, and
+shifted by the row count of the group's lower ranges. Only per-range counts
+(at most partitions x groups rows) are gathered.
+
+The natural key must be unique within its group (true after distinct /
+folding), so the numbering is the same on every run and on every retry.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -22,23 +24,28 @@ def assign_keys(
     members: DataFrame,
     key: str,
     order_cols: Sequence[str],
-    start: int = 0,
+    start: int | str = 0,
+    group_cols: Sequence[str] = (),
     partitions: int | None = None,
 ) -> DataFrame:
+    """Add ``key``; ``start`` is an int or the name of a column holding each group's start."""
     spark = members.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    order = [F.col(c).asc_nulls_first() for c in order_cols]
+    groups = list(group_cols)
+    order = [F.col(c).asc_nulls_first() for c in groups + list(order_cols)]
 
     ranged = members.repartitionByRange(n, *order).withColumn("_range", F.spark_partition_id())
-    numbered = ranged.withColumn("_pos", F.row_number().over(Window.partitionBy("_range").orderBy(*order)))
+    within = Window.partitionBy("_range", *groups).orderBy(*order)
+    numbered = ranged.withColumn("_pos", F.row_number().over(within))
 
-    # rows in all lower ranges: a running sum over one row per range
-    sizes = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
-    below = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_range", F.coalesce(F.sum("_n").over(below), F.lit(0)).alias("_offset"))
+    # rows of the same group in all lower ranges: a running sum over the counts
+    sizes = ranged.groupBy("_range", *groups).agg(F.count(F.lit(1)).alias("_n"))
+    below = Window.partitionBy(*groups).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_range", *groups, F.coalesce(F.sum("_n").over(below), F.lit(0)).alias("_offset"))
 
-    keyed = numbered.join(F.broadcast(offsets), "_range")  # at most n rows
+    keyed = numbered.join(F.broadcast(offsets), ["_range", *groups])  # <= n x groups rows
+    base: Column = F.col(start) if isinstance(start, str) else F.lit(start)
     return keyed.select(
-        (F.lit(start) + F.col("_offset") + F.col("_pos")).cast("int").alias(key),
-        *members.columns,
+        (base + F.col("_offset") + F.col("_pos")).cast("int").alias(key),
+        *[c for c in members.columns if c != start],
     )

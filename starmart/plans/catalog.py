@@ -7,6 +7,7 @@ shared scratch root and return what they read back.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -49,14 +50,16 @@ def _derived(spark: SparkSession, sf: str) -> DataFrame:
     return pipeline(_people(spark, sf), FT.derivations(AS_OF))
 
 
-def _dims(people: DataFrame) -> dict[str, DataFrame]:
-    """All nine dimensions as a first publish builds them from ``people``."""
-    dims = D.build_dimensions(people)
+def _dims(people: DataFrame) -> tuple[dict[str, DataFrame], dict[str, int]]:
+    """All nine dimensions as a first publish builds them from ``people``, with row counts."""
+    dims, sizes = D.build_dimensions(people)
     spark = people.sparkSession
     dims[D.AGE_GROUP.name] = D.age_group_table(spark)
+    sizes[D.AGE_GROUP.name] = len(config.AGE_BANDS) + 1
     years = people.agg(F.min("year"), F.max("year")).first()
     dims[D.DAY.name] = D.day_table(spark, f"{years[0]:04d}-01-01", f"{years[1]:04d}-12-31")
-    return dims
+    sizes[D.DAY.name] = (dt.date(years[1], 12, 31) - dt.date(years[0], 1, 1)).days + 1
+    return dims, sizes
 
 
 def _event_history(spark: SparkSession, sf: str) -> DataFrame:
@@ -201,7 +204,7 @@ def dim_age_group(spark, sf):
     """The static age-group table, with how many people fall into each band."""
     bands = D.age_group_table(spark)
     ages = _derived(spark, sf).select("age_group")
-    looked = D.AGE_GROUP.lookup(ages, bands)
+    looked = D.AGE_GROUP.lookup(ages, bands, rows=len(config.AGE_BANDS) + 1)
     counts = looked.groupBy("AgeGroupKey").agg(F.count(F.lit(1)).alias("people"))
     return bands.join(counts, "AgeGroupKey", "left").select(
         "AgeGroupKey", "name", F.coalesce("people", F.lit(0)).alias("people")
@@ -244,8 +247,8 @@ def dim_merge_all(spark, sf):
 def _lookup(spec: D.DimensionSpec, folded: bool = True) -> Query:
     def run(spark, sf):
         people = _derived(spark, sf)
-        dims = _dims(_people(spark, sf))
-        out = spec.lookup(people, dims[spec.name], folded=folded)
+        dims, sizes = _dims(_people(spark, sf))
+        out = spec.lookup(people, dims[spec.name], folded=folded, rows=sizes[spec.name])
         extra = ["ExactDate"] if spec.kind == "day" else []
         return out.select(_emp(), spec.key, *extra)
 
@@ -267,17 +270,20 @@ def agg_rule(spark, sf):
 
 def fact1_headcount(spark, sf):
     people = _people(spark, sf)
-    return FT.fact_frame(FT.headcount_fact(AS_OF), people, _dims(people))
+    dims, sizes = _dims(people)
+    return FT.fact_frame(FT.headcount_fact(AS_OF), people, dims, sizes=sizes)
 
 
 def fact2_org_count(spark, sf):
     people = _people(spark, sf)
-    return FT.fact_frame(FT.organization_fact(), people, _dims(people))
+    dims, sizes = _dims(people)
+    return FT.fact_frame(FT.organization_fact(), people, dims, sizes=sizes)
 
 
 def employee_detail_query(spark, sf):
     people = _people(spark, sf)
-    return employee_detail(FT.lookup_frame(FT.headcount_fact(AS_OF), people, _dims(people)))
+    dims, sizes = _dims(people)
+    return employee_detail(FT.lookup_frame(FT.headcount_fact(AS_OF), people, dims, sizes=sizes))
 
 
 def _published(spark, sf, runs: int = 1) -> ParquetWarehouse:

@@ -128,13 +128,36 @@ def organization_fact() -> FactSpec:
 # Frames (no I/O)
 # ---------------------------------------------------------------------------
 
-def lookup_frame(spec: FactSpec, source: DataFrame, dims: Mapping[str, DataFrame], folded: bool = True) -> DataFrame:
+def lookup_frame(
+    spec: FactSpec,
+    source: DataFrame,
+    dims: Mapping[str, DataFrame],
+    folded: bool = True,
+    sizes: Mapping[str, int] | None = None,
+) -> DataFrame:
+    """Filters and derivations, then every lookup (broadcast joins for small dimensions)."""
     transformed = pipeline(source, spec.transformations)
-    return functools.reduce(lambda df, d: d.lookup(df, dims[d.name], folded), spec.lookups, transformed)
+    sizes = sizes or {}
+    return functools.reduce(
+        lambda df, d: d.lookup(df, dims[d.name], folded, sizes.get(d.name)), spec.lookups, transformed
+    )
 
 
-def fact_frame(spec: FactSpec, source: DataFrame, dims: Mapping[str, DataFrame], folded: bool = True) -> DataFrame:
-    return spec.aggregate(lookup_frame(spec, source, dims, folded))
+def fact_frame(
+    spec: FactSpec,
+    source: DataFrame,
+    dims: Mapping[str, DataFrame],
+    folded: bool = True,
+    sizes: Mapping[str, int] | None = None,
+) -> DataFrame:
+    return spec.aggregate(lookup_frame(spec, source, dims, folded, sizes))
+
+
+def table_sizes(warehouse, names: Sequence[str]) -> dict[str, int]:
+    """Row counts of several warehouse tables in one job."""
+    parts = [warehouse.read(n).agg(F.count(F.lit(1)).alias("n")).select(F.lit(n).alias("t"), "n") for n in names]
+    union = functools.reduce(lambda a, b: a.unionByName(b), parts)
+    return {r["t"]: r["n"] for r in union.collect()}
 
 
 # ---------------------------------------------------------------------------
@@ -152,29 +175,41 @@ def ensure_static_dimensions(warehouse, source: DataFrame) -> None:
     first = dt.date(bounds[0].year, 1, 1)
     last = dt.date(bounds[1].year, 12, 31)
     days = D.day_table(spark, first, last)
-    existing = warehouse.read(D.DAY.name, D.DAY.table_schema())
-    missing = days.join(existing.select("DayKey"), "DayKey", "left_anti").checkpoint()
-    if not warehouse.exists(D.DAY.name) or not missing.isEmpty():
+    if not warehouse.exists(D.DAY.name):
+        warehouse.write(days, D.DAY.name, mode="append")
+        return
+    existing = warehouse.read(D.DAY.name).select("DayKey")
+    missing = days.join(existing, "DayKey", "left_anti").checkpoint()
+    if not missing.isEmpty():
         warehouse.write(missing, D.DAY.name, mode="append")
 
 
 def merge_dimensions(
     warehouse, source: DataFrame, specs: Sequence[D.DimensionSpec], compat: bool = False
 ) -> dict[str, int]:
-    """Insert-only merge of each regular dimension; returns rows appended per table."""
+    """Insert-only merge of regular dimensions; returns rows appended per table.
+
+    All dimensions go through one member pass, one anti-join against the
+    current tables and one key assignment. The keyed new members are
+    checkpointed before the appends, so no append re-reads the table it grows.
+    """
     if not specs:
         return {}
-    members = D.dimension_members(source, specs).checkpoint()  # small; gathered once
+    spark = source.sparkSession
+    present = {spec.name: warehouse.exists(spec.name) for spec in specs}
+    existing = D.empty_long(spark)
+    for spec in specs:
+        if present[spec.name]:
+            existing = existing.unionByName(D.to_long(spec, warehouse.read(spec.name)))
+    new = D.new_members(D.dimension_members(source, specs), existing, compat)
+    keyed = D.key_members(new, existing).checkpoint()
+    counts = D.member_counts(keyed)
     appended = {}
     for spec in specs:
-        existing = warehouse.read(spec.name, spec.table_schema())
-        keyed = D.keyed_new_members(spec, D.members_for(members, spec), existing, compat)
-        # Cut lineage before appending: the plan must not re-read the table it grows.
-        keyed = keyed.checkpoint()
-        n = keyed.count()
-        if n or not warehouse.exists(spec.name):
+        n = counts.get(spec.name, 0)
+        if n or not present[spec.name]:
             log.info("appending %d members to %s", n, spec.name)
-            warehouse.write(keyed, spec.name, mode="append")
+            warehouse.write(D.from_long(keyed, spec), spec.name, mode="append")
         appended[spec.name] = n
     return appended
 
@@ -196,7 +231,8 @@ def update_fact(
         merge_dimensions(warehouse, source, spec.merged, compat)
         ensure_static_dimensions(warehouse, source)
         dims = {d.name: warehouse.read(d.name, options=read_options) for d in spec.lookups}
-        looked = lookup_frame(spec, source, dims, folded=not compat)
+        sizes = table_sizes(warehouse, [d.name for d in spec.lookups])
+        looked = lookup_frame(spec, source, dims, folded=not compat, sizes=sizes)
         if spec.detail:
             looked = looked.persist(StorageLevel.MEMORY_AND_DISK)
             detail = employee_detail(looked)
