@@ -40,6 +40,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a source read as fewer partitions than there are cores.
+
+    A table stored as one Parquet row group is scanned by one task, and every
+    narrow step fused behind the scan would run in that task too. Large inputs
+    (many files / row groups) already scan in parallel and are left untouched.
+    """
+    want = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+
+
+def snapshot_years(spark: SparkSession, sf_dir: str) -> tuple[int, int]:
+    """First and last snapshot year (one scan of the order date column)."""
+    row = table(spark, sf_dir, "orders").agg(F.min("o_orderdate"), F.max("o_orderdate")).first()
+    return row[0].year, row[1].year
+
+
 def _s(c: Column) -> Column:
     return c.cast("string")
 
@@ -59,17 +76,20 @@ def snapshot_day_parts(order_date: Column) -> list[Column]:
 
 def people(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Employees with nested attributes plus the snapshot day (year, month, day)."""
-    orders = table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"
+    orders = spread(
+        table(spark, sf_dir, "orders").select(
+            "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"
+        )
     )
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     region = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
+    # The dimension-like side of each join is broadcast only after a bounded
+    # count proves it small; beyond the bound (customers at large scale) the
+    # join shuffles on the key and AQE splits skewed customers.
     geo = nation.join(broadcast_checked(region), nation.n_regionkey == region.r_regionkey)
     cust = customer.join(broadcast_checked(geo), customer.c_nationkey == geo.n_nationkey)
-    # orders x customer: both grow with the data; the planner and AQE pick the
-    # strategy from runtime sizes (skewed customers are split by AQE).
-    src = orders.join(cust, orders.o_custkey == cust.c_custkey)
+    src = orders.join(broadcast_checked(cust), orders.o_custkey == cust.c_custkey)
 
     ok, ck, nk = F.col("o_orderkey"), F.col("c_custkey"), F.col("n_nationkey")
     country = F.when(ok % 13 == 0, F.lower("r_name")).otherwise(F.col("r_name"))
@@ -172,7 +192,7 @@ def people_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def event_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Run history from events: one run per (day, 6-hour slot, user batch)."""
-    ev = table(spark, sf_dir, "events").select(
+    ev = spread(table(spark, sf_dir, "events")).select(
         "event_id",
         "event_type",
         (F.col("user_id") % 4).alias("batch"),

@@ -20,6 +20,7 @@ from .. import config
 from ..functions.keys import fold, null_safe_match
 from . import extractors as X
 from .lookups import broadcast_checked, lookup
+from ..session import materialize
 from .surrogate import assign_keys
 
 
@@ -178,12 +179,12 @@ def build_dimensions(
 ) -> tuple[dict[str, DataFrame], dict[str, int]]:
     """Dimensions as first merges build them from ``people``, and their row counts.
 
-    The keyed members are checkpointed once: they are small, reused by every
+    The keyed members are materialized once: they are small, reused by every
     lookup, and must not be recomputed from the people frame.
     """
     members = dimension_members(people, specs)
     new = members if compat else fold_members(members)
-    keyed = key_members(new, empty_long(people.sparkSession)).checkpoint()
+    keyed = materialize(key_members(new, empty_long(people.sparkSession)), "dimensions")
     counts = member_counts(keyed)
     return {spec.name: from_long(keyed, spec) for spec in specs}, {s.name: counts.get(s.name, 0) for s in specs}
 

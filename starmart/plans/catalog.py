@@ -50,15 +50,15 @@ def _derived(spark: SparkSession, sf: str) -> DataFrame:
     return pipeline(_people(spark, sf), FT.derivations(AS_OF))
 
 
-def _dims(people: DataFrame) -> tuple[dict[str, DataFrame], dict[str, int]]:
+def _dims(people: DataFrame, sf: str) -> tuple[dict[str, DataFrame], dict[str, int]]:
     """All nine dimensions as a first publish builds them from ``people``, with row counts."""
     dims, sizes = D.build_dimensions(people)
     spark = people.sparkSession
     dims[D.AGE_GROUP.name] = D.age_group_table(spark)
     sizes[D.AGE_GROUP.name] = len(config.AGE_BANDS) + 1
-    years = people.agg(F.min("year"), F.max("year")).first()
-    dims[D.DAY.name] = D.day_table(spark, f"{years[0]:04d}-01-01", f"{years[1]:04d}-12-31")
-    sizes[D.DAY.name] = (dt.date(years[1], 12, 31) - dt.date(years[0], 1, 1)).days + 1
+    first, last = fixtures.snapshot_years(spark, sf)
+    dims[D.DAY.name] = D.day_table(spark, f"{first:04d}-01-01", f"{last:04d}-12-31")
+    sizes[D.DAY.name] = (dt.date(last, 12, 31) - dt.date(first, 1, 1)).days + 1
     return dims, sizes
 
 
@@ -196,8 +196,8 @@ def dim_day(spark, sf):
 
 
 def _dims_static_day(spark, sf):
-    years = _people(spark, sf).agg(F.min("year"), F.max("year")).first()
-    return D.day_table(spark, f"{years[0]:04d}-01-01", f"{years[1]:04d}-12-31")
+    first, last = fixtures.snapshot_years(spark, sf)
+    return D.day_table(spark, f"{first:04d}-01-01", f"{last:04d}-12-31")
 
 
 def dim_age_group(spark, sf):
@@ -247,7 +247,7 @@ def dim_merge_all(spark, sf):
 def _lookup(spec: D.DimensionSpec, folded: bool = True) -> Query:
     def run(spark, sf):
         people = _derived(spark, sf)
-        dims, sizes = _dims(_people(spark, sf))
+        dims, sizes = _dims(_people(spark, sf), sf)
         out = spec.lookup(people, dims[spec.name], folded=folded, rows=sizes[spec.name])
         extra = ["ExactDate"] if spec.kind == "day" else []
         return out.select(_emp(), spec.key, *extra)
@@ -270,19 +270,19 @@ def agg_rule(spark, sf):
 
 def fact1_headcount(spark, sf):
     people = _people(spark, sf)
-    dims, sizes = _dims(people)
+    dims, sizes = _dims(people, sf)
     return FT.fact_frame(FT.headcount_fact(AS_OF), people, dims, sizes=sizes)
 
 
 def fact2_org_count(spark, sf):
     people = _people(spark, sf)
-    dims, sizes = _dims(people)
+    dims, sizes = _dims(people, sf)
     return FT.fact_frame(FT.organization_fact(), people, dims, sizes=sizes)
 
 
 def employee_detail_query(spark, sf):
     people = _people(spark, sf)
-    dims, sizes = _dims(people)
+    dims, sizes = _dims(people, sf)
     return employee_detail(FT.lookup_frame(FT.headcount_fact(AS_OF), people, dims, sizes=sizes))
 
 

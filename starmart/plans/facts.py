@@ -26,6 +26,7 @@ from ..operators.extractors import FORMAL_ORG_COLUMNS, INFORMAL_ORG_COLUMNS
 from ..operators.filters import fact_filters
 from ..operators.rules import Rule, aggregation, pipeline
 from ..schemas import EMPLOYEE_DETAIL
+from ..session import materialize
 
 log = logging.getLogger(__name__)
 
@@ -179,7 +180,7 @@ def ensure_static_dimensions(warehouse, source: DataFrame) -> None:
         warehouse.write(days, D.DAY.name, mode="append")
         return
     existing = warehouse.read(D.DAY.name).select("DayKey")
-    missing = days.join(existing, "DayKey", "left_anti").checkpoint()
+    missing = materialize(days.join(existing, "DayKey", "left_anti"), "new-days")
     if not missing.isEmpty():
         warehouse.write(missing, D.DAY.name, mode="append")
 
@@ -191,7 +192,7 @@ def merge_dimensions(
 
     All dimensions go through one member pass, one anti-join against the
     current tables and one key assignment. The keyed new members are
-    checkpointed before the appends, so no append re-reads the table it grows.
+    materialized before the appends, so no append re-reads the table it grows.
     """
     if not specs:
         return {}
@@ -202,7 +203,7 @@ def merge_dimensions(
         if present[spec.name]:
             existing = existing.unionByName(D.to_long(spec, warehouse.read(spec.name)))
     new = D.new_members(D.dimension_members(source, specs), existing, compat)
-    keyed = D.key_members(new, existing).checkpoint()
+    keyed = materialize(D.key_members(new, existing), "new-members")
     counts = D.member_counts(keyed)
     appended = {}
     for spec in specs:
@@ -221,6 +222,7 @@ def update_fact(
     read_options: Mapping[str, str] | None = None,
     write_options: Mapping[str, str] | None = None,
     compat: bool = False,
+    static_ready: bool = False,
 ) -> int:
     """Refresh one fact from a loaded snapshot frame; returns the fact's row count."""
     owned = not source.is_cached
@@ -229,7 +231,8 @@ def update_fact(
     looked = None
     try:
         merge_dimensions(warehouse, source, spec.merged, compat)
-        ensure_static_dimensions(warehouse, source)
+        if not static_ready:
+            ensure_static_dimensions(warehouse, source)
         dims = {d.name: warehouse.read(d.name, options=read_options) for d in spec.lookups}
         sizes = table_sizes(warehouse, [d.name for d in spec.lookups])
         looked = lookup_frame(spec, source, dims, folded=not compat, sizes=sizes)
@@ -264,9 +267,12 @@ def publish(
     """Headcount first (it maintains the shared dimensions), then organisation."""
     source = source.persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        ensure_static_dimensions(warehouse, source)
         out = {}
         for spec in (headcount_fact(as_of), organization_fact()):
-            out[spec.name] = update_fact(spec, warehouse, source, read_options, write_options, compat)
+            out[spec.name] = update_fact(
+                spec, warehouse, source, read_options, write_options, compat, static_ready=True
+            )
         return out
     finally:
         source.unpersist()

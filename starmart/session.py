@@ -11,7 +11,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the engine relies on; applied only by ``build_session``.
 DEFAULT_CONF = {
@@ -70,3 +70,16 @@ def session_conf(spark: SparkSession, key: str, default: str | None = None) -> s
         return spark.conf.get(key)
     except Exception:  # unset key without default raises in some versions
         return default
+
+
+def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
+    """Write ``df`` once as Parquet in the shared scratch folder and read it back.
+
+    Cuts the lineage (a lost executor re-reads the files instead of recomputing
+    the plan) with a single job; ``DataFrame.checkpoint()`` runs the plan twice
+    unless it is cached first.
+    """
+    spark = df.sparkSession
+    path = new_scratch_dir(spark, f"stage-{label}")
+    df.write.parquet(path)
+    return spark.read.parquet(path)

@@ -70,11 +70,13 @@ class ParquetWarehouse:
         writer.parquet(self.location(name))
 
     def write_fact(self, df: DataFrame, name: str, options: Mapping[str, str] | None = None) -> None:
-        # Rebalance by day: AQE splits a skewed day and merges small ones, so
-        # each task writes few files and no task holds an oversized day.
-        balanced = df.hint("rebalance", FACT_PARTITION)
+        # The fact arrives aggregated (map-side partial aggregation already ran),
+        # so one day's rows are bounded by its key combinations. Clustering by
+        # day gives one file per day and spreads the days over all writers.
+        n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        clustered = df.repartition(n, FACT_PARTITION)
         opts = _merged({"partitionOverwriteMode": "dynamic"}, options)
-        self.write(balanced, name, mode="overwrite", options=opts, partition_by=(FACT_PARTITION,))
+        self.write(clustered, name, mode="overwrite", options=opts, partition_by=(FACT_PARTITION,))
 
 
 class JdbcWarehouse:
