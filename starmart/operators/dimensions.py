@@ -43,6 +43,11 @@ class DimensionSpec:
             return self.schema
         return T.StructType([T.StructField(self.key, T.IntegerType())] + [T.StructField(a, T.StringType()) for a in self.attrs])
 
+    def lookup_step(self, dim: DataFrame, folded: bool = True, rows: int | None = None) -> tuple:
+        """This lookup as a step for :func:`lookups.lookup_many` (name dimensions only)."""
+        cols = self.people_cols() if self.people_cols else []
+        return (dim, self.key, cols, self.attrs, folded, rows)
+
     def lookup(self, people: DataFrame, dim: DataFrame, folded: bool = True, rows: int | None = None) -> DataFrame:
         """Add this dimension's key; ``rows`` (if known) spares the size check."""
         if self.kind == "day":
@@ -109,12 +114,15 @@ def from_long(long: DataFrame, spec: DimensionSpec) -> DataFrame:
     )
 
 
-def dimension_members(source: DataFrame, specs: tuple[DimensionSpec, ...] | list[DimensionSpec]) -> DataFrame:
-    """Distinct candidate members of several dimensions from one pass over the source.
+def dimension_members(
+    source: DataFrame, specs: tuple[DimensionSpec, ...] | list[DimensionSpec], folded: bool = False
+) -> DataFrame:
+    """Candidate members of several dimensions from one pass over the source.
 
     Each source row yields one entry per dimension (none where the extractor's
-    filter rejects it); one distinct collapses them with map-side partial
-    aggregation. Distinct is case-sensitive and keeps null members.
+    filter rejects it); one aggregation collapses them with map-side partial
+    aggregation: case-sensitive distinct (null is a member), or with ``folded``
+    one member per case-folded value directly.
     """
     entries = []
     for s in specs:
@@ -123,8 +131,8 @@ def dimension_members(source: DataFrame, specs: tuple[DimensionSpec, ...] | list
         if s.extractor.keep is not None:
             entry = F.when(s.extractor.keep(), entry)
         entries.append(entry)
-    exploded = source.select(F.explode(F.array(*entries)).alias("m"))
-    return exploded.filter(F.col("m").isNotNull()).select("m.*").distinct()
+    exploded = source.select(F.explode(F.array(*entries)).alias("m")).filter(F.col("m").isNotNull()).select("m.*")
+    return fold_members(exploded) if folded else exploded.distinct()
 
 
 def members_for(members: DataFrame, spec: DimensionSpec) -> DataFrame:
@@ -138,13 +146,14 @@ def fold_members(members: DataFrame, attrs: tuple[str, ...] = SLOTS, by: tuple[s
     return members.groupBy(*groups).agg(*[F.min(a).alias(a) for a in attrs]).select(*by, *attrs)
 
 
-def new_members(members: DataFrame, existing: DataFrame, compat: bool = False) -> DataFrame:
+def new_members(members: DataFrame, existing: DataFrame, compat: bool = False, folded: bool = False) -> DataFrame:
     """Members (long layout) whose folded value is not in ``existing`` yet (left anti join).
 
     Default folds first, so spellings differing only in case that arrive
     together give one member; ``compat`` keeps every case-sensitive spelling.
+    ``folded`` says ``members`` is folded already.
     """
-    new = members if compat else fold_members(members)
+    new = members if (compat or folded) else fold_members(members)
     old = existing.select(F.col("dim").alias("_old_dim"), *[F.col(s).alias(f"_old_{s}") for s in SLOTS])
     cond = (new["dim"] == old["_old_dim"]) & null_safe_match(
         [new[s] for s in SLOTS], [old[f"_old_{s}"] for s in SLOTS], folded=True
@@ -182,8 +191,7 @@ def build_dimensions(
     The keyed members are materialized once: they are small, reused by every
     lookup, and must not be recomputed from the people frame.
     """
-    members = dimension_members(people, specs)
-    new = members if compat else fold_members(members)
+    new = dimension_members(people, specs, folded=not compat)
     keyed = materialize(key_members(new, empty_long(people.sparkSession)), "dimensions")
     counts = member_counts(keyed)
     return {spec.name: from_long(keyed, spec) for spec in specs}, {s.name: counts.get(s.name, 0) for s in specs}

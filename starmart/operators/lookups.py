@@ -54,3 +54,26 @@ def lookup(
     cond = [left[lt].eqNullSafe(right[rt]) for lt, rt in zip(left_tmp, tmp)]
     joined = left.join(broadcast_checked(right, max_rows, rows), cond, "inner")
     return joined.drop(*left_tmp, *tmp)
+
+
+def lookup_many(people: DataFrame, steps: Sequence[tuple], max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Several lookups with one projection for all probe keys and one for the result.
+
+    ``steps``: (dim frame, key, people columns, dimension attributes, folded, rows
+    or None). Same result as chained :func:`lookup` calls, with a shorter plan.
+    """
+    probes = {}
+    joins = []
+    for n, (dim, key, people_cols, dim_attrs, folded, rows) in enumerate(steps):
+        f = fold if folded else (lambda c: c)
+        lv = [f"_lv{n}_{i}" for i in range(len(dim_attrs))]
+        lk = [f"_lk{n}_{i}" for i in range(len(dim_attrs))]
+        probes.update({t: f(c) for t, c in zip(lv, people_cols)})
+        right = dim.select(F.col(key), *[f(F.col(a)).alias(t) for a, t in zip(dim_attrs, lk)])
+        joins.append((broadcast_checked(right, max_rows, rows), lv, lk))
+    out = people.select("*", *[c.alias(t) for t, c in probes.items()])
+    temps = list(probes)
+    for right, lv, lk in joins:
+        out = out.join(right, [out[a].eqNullSafe(right[b]) for a, b in zip(lv, lk)], "inner")
+        temps += lk
+    return out.drop(*temps)

@@ -14,7 +14,6 @@ import logging
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -24,6 +23,7 @@ from ..operators import dimensions as D
 from ..operators.detail import employee_detail
 from ..operators.extractors import FORMAL_ORG_COLUMNS, INFORMAL_ORG_COLUMNS
 from ..operators.filters import fact_filters
+from ..operators.lookups import lookup_many
 from ..operators.rules import Rule, aggregation, pipeline
 from ..schemas import EMPLOYEE_DETAIL
 from ..session import materialize
@@ -137,11 +137,15 @@ def lookup_frame(
     sizes: Mapping[str, int] | None = None,
 ) -> DataFrame:
     """Filters and derivations, then every lookup (broadcast joins for small dimensions)."""
-    transformed = pipeline(source, spec.transformations)
+    out = pipeline(source, spec.transformations)
     sizes = sizes or {}
-    return functools.reduce(
-        lambda df, d: d.lookup(df, dims[d.name], folded, sizes.get(d.name)), spec.lookups, transformed
-    )
+    names = [d for d in spec.lookups if d.kind != "day"]
+    if names:
+        out = lookup_many(out, [d.lookup_step(dims[d.name], folded, sizes.get(d.name)) for d in names])
+    for d in spec.lookups:
+        if d.kind == "day":
+            out = d.lookup(out, dims[d.name], folded, sizes.get(d.name))
+    return out
 
 
 def fact_frame(
@@ -201,8 +205,9 @@ def merge_dimensions(
     existing = D.empty_long(spark)
     for spec in specs:
         if present[spec.name]:
-            existing = existing.unionByName(D.to_long(spec, warehouse.read(spec.name)))
-    new = D.new_members(D.dimension_members(source, specs), existing, compat)
+            existing = existing.unionByName(D.to_long(spec, warehouse.read(spec.name, spec.table_schema())))
+    members = D.dimension_members(source, specs, folded=not compat)
+    new = D.new_members(members, existing, compat, folded=not compat)
     keyed = materialize(D.key_members(new, existing), "new-members")
     counts = D.member_counts(keyed)
     appended = {}
@@ -224,36 +229,45 @@ def update_fact(
     compat: bool = False,
     static_ready: bool = False,
 ) -> int:
-    """Refresh one fact from a loaded snapshot frame; returns the fact's row count."""
-    owned = not source.is_cached
-    if owned:
-        source = source.persist(StorageLevel.MEMORY_AND_DISK)
-    looked = None
-    try:
-        merge_dimensions(warehouse, source, spec.merged, compat)
-        if not static_ready:
-            ensure_static_dimensions(warehouse, source)
-        dims = {d.name: warehouse.read(d.name, options=read_options) for d in spec.lookups}
-        sizes = table_sizes(warehouse, [d.name for d in spec.lookups])
-        looked = lookup_frame(spec, source, dims, folded=not compat, sizes=sizes)
-        if spec.detail:
-            looked = looked.persist(StorageLevel.MEMORY_AND_DISK)
-            detail = employee_detail(looked)
-            if not detail.isEmpty():
-                opts = {"truncate": "true", **dict(write_options or {})}
-                warehouse.write(detail, config.EMPLOYEE_DETAIL, mode="overwrite", options=opts)
-            elif not warehouse.exists(config.EMPLOYEE_DETAIL):
-                empty = source.sparkSession.createDataFrame([], EMPLOYEE_DETAIL)
-                warehouse.write(empty, config.EMPLOYEE_DETAIL, mode="overwrite")
-        fact = spec.aggregate(looked)
-        rows = Observation(f"rows of {spec.name}")
-        warehouse.write_fact(fact.observe(rows, F.count(F.lit(1)).alias("rows")), spec.name, options=write_options)
-        return int(rows.get["rows"])
-    finally:
-        if looked is not None and spec.detail:
-            looked.unpersist()
-        if owned:
-            source.unpersist()
+    """Refresh one fact from a loaded snapshot frame; returns the fact's row count.
+
+    Nothing of the source is cached: each pass reads only the columns it needs
+    (the member pass the dimension columns, the fact pass the lookup and
+    measure columns). The employee detail needs the rows of the latest day that
+    survives the lookups; that day is the fact's greatest DayKey, observed while
+    the fact is written, so the detail pass reads that one day's partitions only.
+    """
+    merge_dimensions(warehouse, source, spec.merged, compat)
+    if not static_ready:
+        ensure_static_dimensions(warehouse, source)
+    dims = {d.name: warehouse.read(d.name, d.table_schema(), options=read_options) for d in spec.lookups}
+    sizes = table_sizes(warehouse, [d.name for d in spec.lookups])
+    folded = not compat
+
+    fact = fact_frame(spec, source, dims, folded, sizes)
+    stats = Observation(f"stats of {spec.name}")
+    observed = fact.observe(stats, F.count(F.lit(1)).alias("rows"), F.max("DayKey").alias("latest"))
+    warehouse.write_fact(observed, spec.name, options=write_options)
+    result = stats.get
+
+    if spec.detail:
+        overwrite_detail(warehouse, spec, source, dims, sizes, result["latest"], folded, write_options)
+    return int(result["rows"])
+
+
+def overwrite_detail(warehouse, spec, source, dims, sizes, latest_day_key, folded=True, write_options=None) -> bool:
+    """Replace the employee detail with the latest day's people; keep it when there are none."""
+    if latest_day_key is None:
+        if not warehouse.exists(config.EMPLOYEE_DETAIL):
+            empty = source.sparkSession.createDataFrame([], EMPLOYEE_DETAIL)
+            warehouse.write(empty, config.EMPLOYEE_DETAIL, mode="overwrite")
+        return False
+    y, m, d = latest_day_key // 10000, latest_day_key // 100 % 100, latest_day_key % 100
+    day = source.filter((F.col("year") == y) & (F.col("month") == m) & (F.col("day") == d))  # partition filter
+    detail = employee_detail(lookup_frame(spec, day, dims, folded, sizes))
+    opts = {"truncate": "true", **dict(write_options or {})}
+    warehouse.write(detail, config.EMPLOYEE_DETAIL, mode="overwrite", options=opts)
+    return True
 
 
 def publish(
@@ -265,14 +279,8 @@ def publish(
     compat: bool = False,
 ) -> dict[str, int]:
     """Headcount first (it maintains the shared dimensions), then organisation."""
-    source = source.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        ensure_static_dimensions(warehouse, source)
-        out = {}
-        for spec in (headcount_fact(as_of), organization_fact()):
-            out[spec.name] = update_fact(
-                spec, warehouse, source, read_options, write_options, compat, static_ready=True
-            )
-        return out
-    finally:
-        source.unpersist()
+    ensure_static_dimensions(warehouse, source)
+    out = {}
+    for spec in (headcount_fact(as_of), organization_fact()):
+        out[spec.name] = update_fact(spec, warehouse, source, read_options, write_options, compat, static_ready=True)
+    return out

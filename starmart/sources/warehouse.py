@@ -40,21 +40,29 @@ class ParquetWarehouse:
         self.root = root.rstrip("/")
         self.read_options = dict(read_options or {})
         self.write_options = dict(write_options or {})
+        self._known: set[str] = set()  # tables seen or written; tables are never dropped
 
     def location(self, name: str) -> str:
         return f"{self.root}/{name}"
 
     def exists(self, name: str) -> bool:
+        if name in self._known:
+            return True
         try:
             self.spark.read.parquet(self.location(name))
-            return True
         except AnalysisException:
             return False
+        self._known.add(name)
+        return True
 
     def read(self, name: str, schema: T.StructType | None = None, options: Mapping[str, str] | None = None) -> DataFrame:
+        """Read a table; with ``schema`` a missing table reads as empty and no footers are inferred."""
         if schema is not None and not self.exists(name):
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.options(**_merged(self.read_options, options)).parquet(self.location(name))
+        reader = self.spark.read.options(**_merged(self.read_options, options))
+        if schema is not None:
+            reader = reader.schema(schema)
+        return reader.parquet(self.location(name))
 
     def write(
         self,
@@ -68,6 +76,7 @@ class ParquetWarehouse:
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(self.location(name))
+        self._known.add(name)
 
     def write_fact(self, df: DataFrame, name: str, options: Mapping[str, str] | None = None) -> None:
         # The fact arrives aggregated (map-side partial aggregation already ran),
