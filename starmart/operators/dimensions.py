@@ -132,7 +132,11 @@ def dimension_members(
             entry = F.when(s.extractor.keep(), entry)
         entries.append(entry)
     exploded = source.select(F.explode(F.array(*entries)).alias("m")).filter(F.col("m").isNotNull()).select("m.*")
-    return fold_members(exploded) if folded else exploded.distinct()
+    # Distinct first: a hash aggregate with map-side combining. Folding takes
+    # min() of strings, which Spark runs as a sort aggregate, so it runs on the
+    # few distinct members rather than on every source row.
+    distinct = exploded.distinct()
+    return fold_members(distinct) if folded else distinct
 
 
 def members_for(members: DataFrame, spec: DimensionSpec) -> DataFrame:
@@ -158,11 +162,16 @@ def new_members(members: DataFrame, existing: DataFrame, compat: bool = False, f
     cond = (new["dim"] == old["_old_dim"]) & null_safe_match(
         [new[s] for s in SLOTS], [old[f"_old_{s}"] for s in SLOTS], folded=True
     )
-    return new.join(broadcast_checked(old), cond, "left_anti")
+    # Both sides hold dimension members only; AQE turns this into a broadcast
+    # join when the stored tables are small at run time, else it stays a
+    # shuffle join on the member key.
+    return new.join(old, cond, "left_anti")
 
 
-def key_members(new: DataFrame, existing: DataFrame) -> DataFrame:
-    """Keys for new members, continuing after each dimension's largest key."""
+def key_members(new: DataFrame, existing: DataFrame | None) -> DataFrame:
+    """Keys for new members, continuing after each dimension's largest key (from 1 if none)."""
+    if existing is None:
+        return assign_keys(new, "key", SLOTS, start=0, group_cols=("dim",)).select("dim", "key", *SLOTS)
     starts = existing.groupBy("dim").agg(F.max("key").alias("_start"))  # one row per dimension
     with_start = new.join(F.broadcast(starts), "dim", "left").withColumn(
         "_start", F.coalesce(F.col("_start"), F.lit(0))
@@ -192,7 +201,7 @@ def build_dimensions(
     lookup, and must not be recomputed from the people frame.
     """
     new = dimension_members(people, specs, folded=not compat)
-    keyed = materialize(key_members(new, empty_long(people.sparkSession)), "dimensions")
+    keyed = materialize(key_members(new, None), "dimensions")
     counts = member_counts(keyed)
     return {spec.name: from_long(keyed, spec) for spec in specs}, {s.name: counts.get(s.name, 0) for s in specs}
 

@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from .. import config
 from ..functions.paths import path_part
-from .lookups import broadcast_checked
 
 RUN_PARTS = ("year", "month", "day", "hour")
 
@@ -52,7 +51,8 @@ def latest_runs(runs: DataFrame) -> DataFrame:
     )
     cond = [runs[c].eqNullSafe(F.col(f"_b_{c}")) for c in config.DAY_PARTS]
     cond += [runs["hour"] == F.col("_b_hour"), runs["start"] == F.col("_b_start")]
-    joined = runs.join(broadcast_checked(best), cond)
+    # run-history sized on both sides: AQE broadcasts at run time when small
+    joined = runs.join(best, cond)
     return joined.select(*runs.columns)
 
 

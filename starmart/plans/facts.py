@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from .. import config
 from ..functions.people import age, age_band, on_day
 from ..operators import dimensions as D
-from ..operators.detail import employee_detail
+from ..operators.detail import detail_columns, employee_detail
 from ..operators.extractors import FORMAL_ORG_COLUMNS, INFORMAL_ORG_COLUMNS
 from ..operators.filters import fact_filters
 from ..operators.lookups import lookup_many
@@ -159,10 +159,11 @@ def fact_frame(
 
 
 def table_sizes(warehouse, names: Sequence[str]) -> dict[str, int]:
-    """Row counts of several warehouse tables in one job."""
-    parts = [warehouse.read(n).agg(F.count(F.lit(1)).alias("n")).select(F.lit(n).alias("t"), "n") for n in names]
+    """Row counts of several warehouse tables: one scan of all of them, one shuffle."""
+    parts = [warehouse.read(n).select(F.lit(n).alias("t")) for n in names]
     union = functools.reduce(lambda a, b: a.unionByName(b), parts)
-    return {r["t"]: r["n"] for r in union.collect()}
+    counts = {r["t"]: r["n"] for r in union.groupBy("t").agg(F.count(F.lit(1)).alias("n")).collect()}
+    return {n: counts.get(n, 0) for n in names}
 
 
 # ---------------------------------------------------------------------------
@@ -196,23 +197,28 @@ def merge_dimensions(
 
     All dimensions go through one member pass, one anti-join against the
     current tables and one key assignment. The keyed new members are
-    materialized before the appends, so no append re-reads the table it grows.
+    materialized before the appends, so no append re-reads the table it grows;
+    the per-dimension counts are observed while they are written.
     """
     if not specs:
         return {}
     spark = source.sparkSession
     present = {spec.name: warehouse.exists(spec.name) for spec in specs}
-    existing = D.empty_long(spark)
-    for spec in specs:
-        if present[spec.name]:
-            existing = existing.unionByName(D.to_long(spec, warehouse.read(spec.name, spec.table_schema())))
     members = D.dimension_members(source, specs, folded=not compat)
-    new = D.new_members(members, existing, compat, folded=not compat)
-    keyed = materialize(D.key_members(new, existing), "new-members")
-    counts = D.member_counts(keyed)
+    if any(present.values()):
+        existing = functools.reduce(
+            lambda a, b: a.unionByName(b),
+            [D.to_long(s, warehouse.read(s.name, s.table_schema())) for s in specs if present[s.name]],
+        )
+        keyed = D.key_members(D.new_members(members, existing, compat, folded=not compat), existing)
+    else:  # first publish: every member is new and keys start at 1
+        keyed = D.key_members(members, None)
+    counts = Observation("new members")
+    keyed = keyed.observe(counts, *[F.count_if(F.col("dim") == s.name).alias(s.name) for s in specs])
+    keyed = materialize(keyed, "new-members")
     appended = {}
     for spec in specs:
-        n = counts.get(spec.name, 0)
+        n = int(counts.get[spec.name])
         if n or not present[spec.name]:
             log.info("appending %d members to %s", n, spec.name)
             warehouse.write(D.from_long(keyed, spec), spec.name, mode="append")
@@ -264,7 +270,8 @@ def overwrite_detail(warehouse, spec, source, dims, sizes, latest_day_key, folde
         return False
     y, m, d = latest_day_key // 10000, latest_day_key // 100 % 100, latest_day_key % 100
     day = source.filter((F.col("year") == y) & (F.col("month") == m) & (F.col("day") == d))  # partition filter
-    detail = employee_detail(lookup_frame(spec, day, dims, folded, sizes))
+    # every surviving row of this frame is of the latest day already
+    detail = lookup_frame(spec, day, dims, folded, sizes).select(*detail_columns())
     opts = {"truncate": "true", **dict(write_options or {})}
     warehouse.write(detail, config.EMPLOYEE_DETAIL, mode="overwrite", options=opts)
     return True
