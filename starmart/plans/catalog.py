@@ -50,9 +50,16 @@ def _derived(spark: SparkSession, sf: str) -> DataFrame:
     return pipeline(_people(spark, sf), FT.derivations(AS_OF))
 
 
-def _dims(people: DataFrame, sf: str) -> tuple[dict[str, DataFrame], dict[str, int]]:
-    """All nine dimensions as a first publish builds them from ``people``, with row counts."""
-    dims, sizes = D.build_dimensions(people)
+def _dims(
+    people: DataFrame, sf: str, needed: tuple[D.DimensionSpec, ...] | None = None
+) -> tuple[dict[str, DataFrame], dict[str, int]]:
+    """Dimensions as a first publish builds them from ``people``, with row counts.
+
+    Keys are numbered per dimension, so building only the ``needed`` regular
+    dimensions gives the same keys as building all of them.
+    """
+    regular = tuple(d for d in (needed or D.REGULAR) if not d.static)
+    dims, sizes = D.build_dimensions(people, regular) if regular else ({}, {})
     spark = people.sparkSession
     dims[D.AGE_GROUP.name] = D.age_group_table(spark)
     sizes[D.AGE_GROUP.name] = len(config.AGE_BANDS) + 1
@@ -247,7 +254,7 @@ def dim_merge_all(spark, sf):
 def _lookup(spec: D.DimensionSpec, folded: bool = True) -> Query:
     def run(spark, sf):
         people = _derived(spark, sf)
-        dims, sizes = _dims(_people(spark, sf), sf)
+        dims, sizes = _dims(_people(spark, sf), sf, (spec,))
         out = spec.lookup(people, dims[spec.name], folded=folded, rows=sizes[spec.name])
         extra = ["ExactDate"] if spec.kind == "day" else []
         return out.select(_emp(), spec.key, *extra)
@@ -276,8 +283,9 @@ def fact1_headcount(spark, sf):
 
 def fact2_org_count(spark, sf):
     people = _people(spark, sf)
-    dims, sizes = _dims(people, sf)
-    return FT.fact_frame(FT.organization_fact(), people, dims, sizes=sizes)
+    spec = FT.organization_fact()
+    dims, sizes = _dims(people, sf, spec.lookups)
+    return FT.fact_frame(spec, people, dims, sizes=sizes)
 
 
 def employee_detail_query(spark, sf):
