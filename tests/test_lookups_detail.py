@@ -82,3 +82,30 @@ def test_rule_pipeline(spark):
     assert rows(out) == [("a", 2)]
     assert keep_left(df, out) is df
     assert config.WORKER_TYPES == ("E", "C")
+
+
+def test_broadcast_only_under_the_bound(spark):
+    from starmart.operators.lookups import broadcast_checked
+
+    big = spark.range(50).withColumnRenamed("id", "k")
+    small_plan = spark.range(100).join(broadcast_checked(big, max_rows=100), F.col("id") == F.col("k"))
+    big_plan = spark.range(100).join(broadcast_checked(big, max_rows=10), F.col("id") == F.col("k"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "BroadcastHashJoin" in small_plan._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" not in big_plan._jdf.queryExecution().executedPlan().toString()
+        assert big_plan.count() == small_plan.count() == 50
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_batched_lookups_equal_chained_lookups(spark):
+    from starmart.operators.lookups import lookup_many
+
+    people = spark.createDataFrame(
+        [("1", "Male", "G1"), ("2", "male", None), ("3", None, "g1"), ("4", "X", "G1")], "id string, gender string, grade string"
+    )
+    dims, sizes = D.build_dimensions(people.withColumnRenamed("id", "_id"), (D.GENDER, D.GRADE))
+    chained = D.GRADE.lookup(D.GENDER.lookup(people, dims[D.GENDER.name]), dims[D.GRADE.name])
+    batched = lookup_many(people, [D.GENDER.lookup_step(dims[D.GENDER.name]), D.GRADE.lookup_step(dims[D.GRADE.name])])
+    assert rows(batched) == rows(chained.select(*batched.columns))
