@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from . import config
-from .operators.lookups import broadcast_checked
+from .operators.lookups import broadcast_checked, fits
 from .schemas import PEOPLE_COLUMNS
 from .session import scratch_root
 
@@ -36,8 +36,20 @@ FIXTURE_VERSION = 3
 AS_OF_LIT = "1998-03-01"
 
 
+# Declared schemas of the supplied tables this job reads (no inference job per read).
+SUPPLIED = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    reader = spark.read.schema(SUPPLIED[name]) if name in SUPPLIED else spark.read
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def spread(df: DataFrame) -> DataFrame:
@@ -74,6 +86,18 @@ def snapshot_day_parts(order_date: Column) -> list[Column]:
     ]
 
 
+_SMALL: dict[tuple[str, str], bool] = {}
+
+
+def _build_side(df: DataFrame, sf_dir: str, label: str) -> DataFrame:
+    """``broadcast_checked`` with the verdict remembered per input folder (the
+    supplied tables do not change while a process runs)."""
+    key = (sf_dir.rstrip("/"), label)
+    if key not in _SMALL:
+        _SMALL[key] = fits(df, config.BROADCAST_MAX_ROWS)
+    return broadcast_checked(df, rows=0 if _SMALL[key] else config.BROADCAST_MAX_ROWS + 1)
+
+
 def people(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Employees with nested attributes plus the snapshot day (year, month, day)."""
     orders = spread(
@@ -87,9 +111,9 @@ def people(spark: SparkSession, sf_dir: str) -> DataFrame:
     # The dimension-like side of each join is broadcast only after a bounded
     # count proves it small; beyond the bound (customers at large scale) the
     # join shuffles on the key and AQE splits skewed customers.
-    geo = nation.join(broadcast_checked(region), nation.n_regionkey == region.r_regionkey)
-    cust = customer.join(broadcast_checked(geo), customer.c_nationkey == geo.n_nationkey)
-    src = orders.join(broadcast_checked(cust), orders.o_custkey == cust.c_custkey)
+    geo = nation.join(_build_side(region, sf_dir, "region"), nation.n_regionkey == region.r_regionkey)
+    cust = customer.join(_build_side(geo, sf_dir, "geo"), customer.c_nationkey == geo.n_nationkey)
+    src = orders.join(_build_side(cust, sf_dir, "customer"), orders.o_custkey == cust.c_custkey)
 
     ok, ck, nk = F.col("o_orderkey"), F.col("c_custkey"), F.col("n_nationkey")
     country = F.when(ok % 13 == 0, F.lower("r_name")).otherwise(F.col("r_name"))
