@@ -59,8 +59,12 @@ def spread(df: DataFrame) -> DataFrame:
     narrow step fused behind the scan would run in that task too. Large inputs
     (many files / row groups) already scan in parallel and are left untouched.
     """
-    want = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+    try:
+        want = df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (e.g. a Spark Connect session): leave as is
+        return df
+    return df.repartition(want) if have < want else df
 
 
 def snapshot_years(spark: SparkSession, sf_dir: str) -> tuple[int, int]:

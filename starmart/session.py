@@ -53,11 +53,13 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 def scratch_root(spark: SparkSession) -> str:
     """Folder for derived tables: next to the checkpoints, on shared storage."""
-    sc = spark.sparkContext
-    configured = sc.getConf().get("spark.checkpoint.dir", None)
+    configured = session_conf(spark, "spark.checkpoint.dir")
     if configured:
         return configured.rstrip("/") + "/starmart"
-    return os.path.dirname(checkpoint_root(spark).rstrip("/")) + "/starmart"
+    try:
+        return os.path.dirname(checkpoint_root(spark).rstrip("/")) + "/starmart"
+    except Exception:  # no SparkContext (Spark Connect): a local folder, as in tests
+        return tempfile.mkdtemp(prefix="starmart-scratch-")
 
 
 def new_scratch_dir(spark: SparkSession, label: str) -> str:
@@ -67,9 +69,15 @@ def new_scratch_dir(spark: SparkSession, label: str) -> str:
 
 def session_conf(spark: SparkSession, key: str, default: str | None = None) -> str | None:
     try:
-        return spark.conf.get(key)
+        value = spark.conf.get(key, None)
     except Exception:  # unset key without default raises in some versions
-        return default
+        value = None
+    if value is None:
+        try:
+            value = spark.sparkContext.getConf().get(key, None)
+        except Exception:
+            value = None
+    return default if value is None else value
 
 
 def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
