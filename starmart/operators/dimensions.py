@@ -139,10 +139,6 @@ def dimension_members(
     return fold_members(distinct) if folded else distinct
 
 
-def members_for(members: DataFrame, spec: DimensionSpec) -> DataFrame:
-    return members.filter(F.col("dim") == spec.name).select(*[F.col(s).alias(a) for s, a in zip(SLOTS, spec.attrs)])
-
-
 def fold_members(members: DataFrame, attrs: tuple[str, ...] = SLOTS, by: tuple[str, ...] = ("dim",)) -> DataFrame:
     """One member per case-folded value: the smallest spelling of each attribute."""
     by = tuple(b for b in by if b in members.columns)
@@ -179,14 +175,6 @@ def key_members(new: DataFrame, existing: DataFrame | None) -> DataFrame:
     return assign_keys(with_start, "key", SLOTS, start="_start", group_cols=("dim",)).select("dim", "key", *SLOTS)
 
 
-def empty_long(spark: SparkSession) -> DataFrame:
-    schema = T.StructType(
-        [T.StructField("dim", T.StringType()), T.StructField("key", T.IntegerType())]
-        + [T.StructField(s, T.StringType()) for s in SLOTS]
-    )
-    return spark.createDataFrame([], schema)
-
-
 def member_counts(long: DataFrame) -> dict[str, int]:
     """Rows per dimension (one small action over at most one row per dimension)."""
     return {r["dim"]: r["n"] for r in long.groupBy("dim").agg(F.count(F.lit(1)).alias("n")).collect()}

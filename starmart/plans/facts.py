@@ -1,9 +1,10 @@
 """Facts: specifications, the refresh, and publishing.
 
-A fact refresh: persist the loaded source -> merge the regular dimensions (all
-members gathered in one pass over the source) -> read the dimensions -> filter
-and derive -> look up every key -> (headcount only) overwrite the employee
-detail -> aggregate -> write the fact -> return its row count.
+A fact refresh: merge the regular dimensions (all members gathered in one pass
+over the source) -> read the dimensions -> filter and derive -> look up every
+key -> aggregate -> write the fact and count it -> (headcount only) overwrite
+the employee detail with the latest day's people. Nothing is cached; every pass
+reads only the columns it needs.
 """
 
 from __future__ import annotations
