@@ -171,12 +171,21 @@ def table_sizes(warehouse, names: Sequence[str]) -> dict[str, int]:
 # Refresh with a warehouse
 # ---------------------------------------------------------------------------
 
-def ensure_static_dimensions(warehouse, source: DataFrame) -> None:
-    """Age groups once; day rows for every snapshot day of the source not yet present."""
+def snapshot_day(prefix: str = "") -> F.Column:
+    return F.make_date(F.col(prefix + "year"), F.col(prefix + "month"), F.col(prefix + "day"))
+
+
+def ensure_static_dimensions(warehouse, source: DataFrame, bounds: tuple | None = None) -> None:
+    """Age groups once; day rows for every year of the source's snapshot days not yet present.
+
+    ``bounds`` (first, last snapshot day) spares a pass over the source when the
+    caller observed them already.
+    """
     spark = source.sparkSession
     if not warehouse.exists(D.AGE_GROUP.name):
         warehouse.write(D.age_group_table(spark), D.AGE_GROUP.name, mode="overwrite")
-    bounds = source.agg(F.min(F.make_date("year", "month", "day")), F.max(F.make_date("year", "month", "day"))).first()
+    if bounds is None:
+        bounds = tuple(source.agg(F.min(snapshot_day()), F.max(snapshot_day())).first())
     if bounds[0] is None:
         return
     first = dt.date(bounds[0].year, 1, 1)
@@ -286,9 +295,9 @@ def publish(
     write_options: Mapping[str, str] | None = None,
     compat: bool = False,
 ) -> dict[str, int]:
-    """Headcount first (it maintains the shared dimensions), then organisation."""
-    ensure_static_dimensions(warehouse, source)
+    """Headcount first (it maintains the shared dimensions and the day table), then organisation."""
     out = {}
     for spec in (headcount_fact(as_of), organization_fact()):
-        out[spec.name] = update_fact(spec, warehouse, source, read_options, write_options, compat, static_ready=True)
+        ready = spec.name != config.FACT_HEADCOUNT
+        out[spec.name] = update_fact(spec, warehouse, source, read_options, write_options, compat, static_ready=ready)
     return out
