@@ -31,7 +31,7 @@ from .session import scratch_root
 WORK_LOCATIONS = PEOPLE_COLUMNS["work_location"].dataType
 
 # Bump when a derivation rule changes, so a stale landing tree is not reused.
-FIXTURE_VERSION = 3
+FIXTURE_VERSION = 4
 
 AS_OF_LIT = "1998-03-01"
 
@@ -301,9 +301,15 @@ def people_snapshot_tree(spark: SparkSession, sf_dir: str) -> str:
             F.lpad(_s(F.col("day")), 2, "0"), F.col("r.tag"),
         ).alias("etlid"),
     )
-    writers = max(16, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    writers = max(16, shuffle)
+    # One run is one day's whole snapshot: spread each run over `salts` writers
+    # (a deterministic salt, so a retried task writes the same rows) instead of
+    # sending it to one task. Locally that is one writer per run.
+    salts = max(1, shuffle // 64)
+    salt = F.pmod(F.xxhash64(F.col("id.employee_number")), F.lit(salts))
     (
-        p.repartition(writers, *config.PARTITION_KEYS)
+        p.repartition(writers, *config.PARTITION_KEYS, salt)
         .write.mode("overwrite")
         .partitionBy(*config.PARTITION_KEYS)
         .parquet(root)
