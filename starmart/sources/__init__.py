@@ -1,6 +1,6 @@
 """Readers and writers: snapshot trees, run history, and the warehouse."""
 
-from .snapshots import chosen_runs, load_snapshots, scan_snapshots
+from .snapshots import chosen_runs, load_snapshots, read_run_history, scan_snapshots
 from .warehouse import CsvWarehouse, JdbcWarehouse, ParquetWarehouse
 
 __all__ = [
@@ -9,5 +9,6 @@ __all__ = [
     "ParquetWarehouse",
     "chosen_runs",
     "load_snapshots",
+    "read_run_history",
     "scan_snapshots",
 ]

@@ -24,6 +24,15 @@ from ..operators.lookups import broadcast_checked
 from ..schemas import PEOPLE_SNAPSHOT
 
 
+def read_run_history(warehouse, table: str = config.HISTORY_TABLE, options: Mapping[str, str] | None = None) -> DataFrame:
+    """The ETL run history table (a JDBC table in production).
+
+    The success / data source / ETL filters applied by :func:`chosen_runs` are
+    plain column predicates, so Spark pushes them into the database query.
+    """
+    return warehouse.read(table, options=options)
+
+
 def scan_snapshots(
     spark: SparkSession,
     root: str,

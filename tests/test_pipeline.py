@@ -73,3 +73,19 @@ def test_detail_kept_when_increment_is_empty(spark, sf):
 
 def test_csv_roundtrip_matches(spark, sf):
     assert rows(C.csv_roundtrip(spark, sf)) == rows(C.fact1_headcount(spark, sf))
+
+
+def test_history_read_from_a_warehouse_table(spark, sf):
+    from starmart.sources import read_run_history
+
+    wh = ParquetWarehouse(spark, new_scratch_dir(spark, "test-history"))
+    wh.write(fixtures.people_runs(spark, sf), config.HISTORY_TABLE, mode="overwrite")
+    history = read_run_history(wh)
+    root = fixtures.people_snapshot_tree(spark, sf)
+    from_table = load_snapshots(spark, root, history).select(F.col("id.employee_number").alias("e"), "etlid")
+    derived = load_snapshots(spark, root, fixtures.people_runs(spark, sf)).select(
+        F.col("id.employee_number").alias("e"), "etlid"
+    )
+    assert rows(from_table) == rows(derived)
+    plan = history.filter(F.col("status") == "SUCCESS")._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(status), EqualTo(status,SUCCESS)]" in plan
