@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from .. import config
 from ..functions.people import age, age_band, on_day
 from ..operators import dimensions as D
-from ..operators.detail import detail_columns, employee_detail
+from ..operators.detail import detail_columns
 from ..operators.extractors import FORMAL_ORG_COLUMNS, INFORMAL_ORG_COLUMNS
 from ..operators.filters import fact_filters
 from ..operators.lookups import lookup_many
