@@ -39,6 +39,6 @@ def aggregation(keys: Sequence[str | Column], first: Column, *more: Column) -> R
     return apply
 
 
-def pipeline(df: DataFrame, rules: Iterable[Rule]) -> DataFrame:
+def apply_rules(df: DataFrame, rules: Iterable[Rule]) -> DataFrame:
     """Apply the rules in order (a left fold with ``DataFrame.transform``)."""
     return functools.reduce(lambda acc, rule: acc.transform(rule), rules, df)

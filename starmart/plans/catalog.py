@@ -20,7 +20,7 @@ from ..operators import extractors as X
 from ..operators import history as H
 from ..operators.detail import employee_detail
 from ..operators.filters import allowed, is_active, not_denied_person_type
-from ..operators.rules import aggregation, filter_rule, no_rule, pipeline
+from ..operators.rules import aggregation, apply_rules, filter_rule, no_rule
 from ..session import new_scratch_dir
 from ..sources.snapshots import load_snapshots
 from ..sources.warehouse import CsvWarehouse, ParquetWarehouse
@@ -47,7 +47,7 @@ def _people(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _derived(spark: SparkSession, sf: str) -> DataFrame:
-    return pipeline(_people(spark, sf), FT.derivations(AS_OF))
+    return apply_rules(_people(spark, sf), FT.derivations(AS_OF))
 
 
 def _dims(
@@ -152,7 +152,7 @@ def filter_whitelist(spark, sf):
         filter_rule(allowed("assignment_status", config.ASSIGNMENT_STATUSES)),
         filter_rule(allowed("worker_type", config.WORKER_TYPES)),
     ]
-    return pipeline(_people(spark, sf), rules).select(_emp(), "worker_type", "assignment_status")
+    return apply_rules(_people(spark, sf), rules).select(_emp(), "worker_type", "assignment_status")
 
 
 def filter_blacklist(spark, sf):
@@ -272,7 +272,7 @@ def agg_rule(spark, sf):
         no_rule,
         aggregation(["gender"], F.count(F.lit(1)).alias("people")),
     ]
-    return pipeline(_people(spark, sf), rules)
+    return apply_rules(_people(spark, sf), rules)
 
 
 def fact1_headcount(spark, sf):

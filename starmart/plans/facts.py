@@ -25,7 +25,7 @@ from ..operators.detail import detail_columns
 from ..operators.extractors import FORMAL_ORG_COLUMNS, INFORMAL_ORG_COLUMNS
 from ..operators.filters import fact_filters
 from ..operators.lookups import lookup_many
-from ..operators.rules import Rule, aggregation, pipeline
+from ..operators.rules import Rule, aggregation, apply_rules
 from ..schemas import EMPLOYEE_DETAIL
 from ..session import materialize
 
@@ -138,7 +138,7 @@ def lookup_frame(
     sizes: Mapping[str, int] | None = None,
 ) -> DataFrame:
     """Filters and derivations, then every lookup (broadcast joins for small dimensions)."""
-    out = pipeline(source, spec.transformations)
+    out = apply_rules(source, spec.transformations)
     sizes = sizes or {}
     names = [d for d in spec.lookups if d.kind != "day"]
     if names:

@@ -3,7 +3,7 @@ import datetime as dt
 from starmart import config
 from starmart.operators import dimensions as D
 from starmart.operators.detail import employee_detail, latest_day_rows
-from starmart.operators.rules import aggregation, filter_rule, keep_left, no_rule, pipeline
+from starmart.operators.rules import aggregation, apply_rules, filter_rule, keep_left, no_rule
 from starmart.schemas import DETAIL_COLUMNS, PEOPLE_COLUMNS
 from tests.conftest import rows
 from pyspark.sql import functions as F
@@ -76,9 +76,9 @@ def test_latest_day_rows_uses_no_single_partition_window(spark):
     assert latest_day_rows(df).count() == 14
 
 
-def test_rule_pipeline(spark):
+def test_apply_rules(spark):
     df = spark.createDataFrame([("a", True), ("a", True), ("b", False), ("b", None)], "g string, ok boolean")
-    out = pipeline(df, [filter_rule(F.col("ok")), no_rule, aggregation(["g"], F.count(F.lit(1)).alias("n"))])
+    out = apply_rules(df, [filter_rule(F.col("ok")), no_rule, aggregation(["g"], F.count(F.lit(1)).alias("n"))])
     assert rows(out) == [("a", 2)]
     assert keep_left(df, out) is df
     assert config.WORKER_TYPES == ("E", "C")
