@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, sharding
+from . import balltree, decontam, licenses, mixing, sharding
 from .common import table
 
 
@@ -18,6 +18,21 @@ def op1_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "shard.size", "shard.text_crc32", F.lit("rows").alias("law"), "shard.shard", "shard.slot", F.lit(None).cast("int").alias("grown_shard"), "shard.curve")
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows in all documents."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    marked = docs.withColumn("hits", decontam.benchmark_hits(table(spark, sf_dir, "benchmark"), F.col("text")))
+    hits = F.col("hits")
+    return marked.select(
+        "doc_id",
+        hits["n_words"].alias("n_words"),
+        hits["n_hit"].alias("n_hit"),
+        F.size(hits["items"]).cast("long").alias("n_items"),
+        F.sha2(F.array_join(hits["items"], ","), 256).alias("items_sha256"),
+        decontam.contaminated(hits).alias("contaminated"),
+    )
+
+
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mix of all documents at source weights 1, 2, 3, repeating."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
@@ -25,6 +40,86 @@ def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.select("doc_id", "mix.size", "mix.source_size", "mix.target", (F.col("mix.size") * F.col("mix.copies")).alias("taken"))
 
 
+def op9_ball_tree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 nearest of every 50th vector among all others."""
+    return balltree.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+def op10_license_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases and labels of all documents."""
+    return licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+OP5_SQL = r"""
+WITH b AS (
+  SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), win AS (
+  SELECT DISTINCT item_id, least(len(w), 13) AS width, array_to_string(list_slice(w, i, i + least(len(w), 13) - 1), ' ') AS win
+  FROM (SELECT *, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS i FROM b WHERE len(w) > 0)
+), d AS (
+  SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w FROM documents
+), p AS (
+  SELECT doc_id, i, width, array_to_string(list_slice(w, i, i + width - 1), ' ') AS win
+  FROM (SELECT *, unnest(range(1, len(w) + 1)) AS i FROM d), (SELECT DISTINCT width FROM win) WHERE i + width - 1 <= len(w)
+), m AS (
+  SELECT doc_id, i, width, item_id FROM p JOIN win USING (width, win)
+), hit AS (
+  SELECT doc_id, count(DISTINCT k) AS n FROM (SELECT doc_id, unnest(range(i, i + width)) AS k FROM m) GROUP BY doc_id
+), found AS (
+  SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, coalesce(item_id::VARCHAR, 'null') AS item FROM m) GROUP BY doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(hit.n, 0)::BIGINT AS n_hit, coalesce(found.n, 0)::BIGINT AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(hit.n, 0) > 0 AND 20 * coalesce(hit.n, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN found USING (doc_id)
+"""
+
+OP9_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id
+)
+SELECT query_id::BIGINT AS query_id, rank::INTEGER AS rank, vec_id::BIGINT AS vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5
+"""
+
+
+def op10_sql() -> str:
+    """The license scan with word positions as rows."""
+    rows = []
+    for k, t in enumerate(licenses.templates()):
+        rows += [f"({k}, '{t.label}', {str(t.base).lower()}, {p}, '{w}', {str(t.key_at <= p < t.key_at + len(t.key)).lower()})" for p, w in enumerate(t.words)]
+    return rf"""
+WITH t(k, label, base, p, word, key) AS (VALUES {", ".join(rows)}),
+d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), pos AS (
+  SELECT doc_id, i, w[i + 1] AS word FROM (SELECT doc_id, w, unnest(range(0, len(w))) AS i FROM d) WHERE w[i + 1] IN (SELECT word FROM t)
+), idf AS (
+  SELECT word, 1 + ln(((SELECT count(*) FROM d) + 1) / (count(DISTINCT doc_id) + 1)) AS weight FROM (SELECT word, doc_id FROM pos UNION ALL SELECT DISTINCT word, NULL FROM t) GROUP BY word
+), rare AS (
+  SELECT k, min(p) AS p, word, row_number() OVER (PARTITION BY k ORDER BY any_value(weight) DESC, word) AS r FROM t JOIN idf USING (word) GROUP BY k, word
+), start AS (
+  SELECT doc_id, k, i - p AS s FROM pos JOIN rare USING (word) WHERE r = 1 AND i >= p
+), agree AS (
+  SELECT start.doc_id, start.k, s, label, base, count(*) FILTER (key AND pos.word IS NOT NULL) = count(*) FILTER (key)
+    AND count(*) FILTER (r <= {licenses.ANCHORS} AND rare.p IS NOT NULL AND pos.word IS NOT NULL) = count(*) FILTER (r <= {licenses.ANCHORS} AND rare.p IS NOT NULL) AS fits,
+    round(coalesce(sum(weight) FILTER (pos.word IS NOT NULL), 0) / sum(weight), 6) AS share
+  FROM start JOIN t USING (k) JOIN idf ON idf.word = t.word LEFT JOIN rare ON rare.k = start.k AND rare.p = t.p
+  LEFT JOIN pos ON pos.doc_id = start.doc_id AND pos.i = start.s + t.p AND pos.word = t.word
+  GROUP BY start.doc_id, start.k, s, label, base
+), g AS (
+  SELECT doc_id, count(*) FILTER (base) AS n_base, min(s) FILTER (base) AS first_word, max(s) FILTER (base) AS last_word,
+    string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base) AS base_labels,
+    string_agg(DISTINCT label, ',' ORDER BY label) FILTER (share >= {licenses.MIN_SHARE}) AS labels, max(share) FILTER (share >= {licenses.MIN_SHARE}) AS score
+  FROM agree WHERE fits GROUP BY doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word, last_word::BIGINT AS last_word,
+  coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0) AS score FROM d LEFT JOIN g USING (doc_id)
+"""
+
+
 OP8_SQL = r"""
 WITH d AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents
@@ -48,7 +143,12 @@ SELECT doc_id, size, ss::BIGINT AS source_size, target, (size * (floor(rate) + C
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_hilbert_shards": op1_hilbert_shards,
-    "op8_mix_sources": op8_mix_sources,
+    f.__name__: f
+    for f in (op1_hilbert_shards, op5_decontaminate, op8_mix_sources, op9_ball_tree_search, op10_license_index)
+}
+ORACLE_SQL: dict[str, str] = {
+    "op5_decontaminate": OP5_SQL,
+    "op8_mix_sources": OP8_SQL,
+    "op9_ball_tree_search": OP9_SQL,
+    "op10_license_index": op10_sql(),
 }
-ORACLE_SQL: dict[str, str] = {"op8_mix_sources": OP8_SQL}
