@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import balltree, decontam, licenses, mixing, sharding
+from . import balltree, decontam, licenses, mixing, sharding, simhash
 from .common import table
 
 
@@ -33,6 +33,12 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_golay_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents."""
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", simhash.fingerprint_hex(F.col("fp")).alias("fingerprint"), "component_id")
+
+
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mix of all documents at source weights 1, 2, 3, repeating."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
@@ -144,7 +150,7 @@ SELECT doc_id, size, ss::BIGINT AS source_size, target, (size * (floor(rate) + C
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_hilbert_shards, op5_decontaminate, op8_mix_sources, op9_ball_tree_search, op10_license_index)
+    for f in (op1_hilbert_shards, op5_decontaminate, op6_golay_simhash, op8_mix_sources, op9_ball_tree_search, op10_license_index)
 }
 ORACLE_SQL: dict[str, str] = {
     "op5_decontaminate": OP5_SQL,

@@ -13,6 +13,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import free_names, ranked
 
@@ -47,7 +48,7 @@ def hilbert_index(cells: np.ndarray, bits: int) -> np.ndarray:
     return index
 
 
-@F.pandas_udf("long")
+@F.pandas_udf(T.LongType())
 def curve(a: pd.Series, b: pd.Series, c: pd.Series, d: pd.Series) -> pd.Series:
     return pd.Series(hilbert_index(np.stack([s.to_numpy(np.uint64) for s in (a, b, c, d)]), BITS).astype(np.int64))
 
