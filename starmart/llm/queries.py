@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import balltree, decontam, licenses, mixing, sharding, simhash, warc
+from . import balltree, decontam, langid, licenses, mixing, sharding, simhash, warc
 from .common import table
 
 
@@ -18,6 +18,12 @@ def op1_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "shard.size", "shard.text_crc32", F.lit("rows").alias("law"), "shard.shard", "shard.slot", F.lit(None).cast("int").alias("grown_shard"), "shard.curve")
 
 
+def op2_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from the documents not held out."""
+    done = langid.identify(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+    return done.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), F.col("language.lang").alias("lang_pred"), "language.score", "language.languages", "language.shares")
+
+
 def op3_warc_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages written to WARC archives and read back."""
     done = warc.round_trip(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
@@ -156,7 +162,7 @@ SELECT doc_id, size, ss::BIGINT AS source_size, target, (size * (floor(rate) + C
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_hilbert_shards, op3_warc_chunks, op5_decontaminate, op6_golay_simhash, op8_mix_sources, op9_ball_tree_search, op10_license_index)
+    for f in (op1_hilbert_shards, op2_language_mixture, op3_warc_chunks, op5_decontaminate, op6_golay_simhash, op8_mix_sources, op9_ball_tree_search, op10_license_index)
 }
 ORACLE_SQL: dict[str, str] = {
     "op5_decontaminate": OP5_SQL,
