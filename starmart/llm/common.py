@@ -65,3 +65,13 @@ def ranked(df: DataFrame, order: Sequence[Column], rank: str, label: str) -> Dat
         .withColumn(rank, F.col(size) + F.col(pos))
         .drop(part, pos, size)
     )
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner drop the shuffle files of finished steps (it acts when the JVM collects garbage)."""
+    spark.sparkContext._jvm.System.gc()
+
+
+def text_digest(text: Column) -> Column:
+    """16 bytes that stand for a whole text."""
+    return F.unhex(F.md5(text.cast("binary")))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import balltree, decontam, langid, licenses, mixing, sharding, simhash, warc
+from . import balltree, debruijn, decontam, langid, licenses, mixing, sharding, simhash, warc
 from .common import table
 
 
@@ -30,6 +30,11 @@ def op3_warc_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op4_debruijn_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the windows that start in earlier ones."""
+    return debruijn.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows in all documents."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -68,6 +73,22 @@ def op10_license_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+OP4_SQL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents
+), p AS (
+  SELECT doc_id, i, array_to_string(list_slice(w, i, i + 12), ' ') AS win FROM (SELECT *, unnest(range(1, len(w) - 11)) AS i FROM d)
+), m AS (
+  SELECT win, min(doc_id) AS first FROM p GROUP BY win
+), h AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS k FROM p JOIN m USING (win) WHERE first < doc_id
+), r AS (
+  SELECT x.doc_id, count(h.k) AS n, string_agg(word, ' ' ORDER BY x.k) FILTER (h.k IS NULL) AS kept
+  FROM (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS k FROM d) x LEFT JOIN h ON h.doc_id = x.doc_id AND h.k = x.k GROUP BY x.doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN r USING (doc_id)
+"""
+
 OP5_SQL = r"""
 WITH b AS (
   SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
@@ -162,9 +183,10 @@ SELECT doc_id, size, ss::BIGINT AS source_size, target, (size * (floor(rate) + C
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_hilbert_shards, op2_language_mixture, op3_warc_chunks, op5_decontaminate, op6_golay_simhash, op8_mix_sources, op9_ball_tree_search, op10_license_index)
+    for f in (op1_hilbert_shards, op2_language_mixture, op3_warc_chunks, op4_debruijn_spans, op5_decontaminate, op6_golay_simhash, op8_mix_sources, op9_ball_tree_search, op10_license_index)
 }
 ORACLE_SQL: dict[str, str] = {
+    "op4_debruijn_spans": OP4_SQL,
     "op5_decontaminate": OP5_SQL,
     "op8_mix_sources": OP8_SQL,
     "op9_ball_tree_search": OP9_SQL,
