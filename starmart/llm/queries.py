@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import balltree, debruijn, decontam, langid, licenses, mixing, sharding, simhash, warc
+from . import balltree, debruijn, decontam, langid, licenses, mixing, sharding, simhash, suffix, warc
 from .common import table
 
 
@@ -56,6 +56,11 @@ def op6_golay_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.fingerprint_hex(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op7_induced_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the 100-byte strings that start earlier."""
+    return suffix.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mix of all documents at source weights 1, 2, 3, repeating."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
@@ -183,7 +188,7 @@ SELECT doc_id, size, ss::BIGINT AS source_size, target, (size * (floor(rate) + C
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_hilbert_shards, op2_language_mixture, op3_warc_chunks, op4_debruijn_spans, op5_decontaminate, op6_golay_simhash, op8_mix_sources, op9_ball_tree_search, op10_license_index)
+    for f in (op1_hilbert_shards, op2_language_mixture, op3_warc_chunks, op4_debruijn_spans, op5_decontaminate, op6_golay_simhash, op7_induced_suffixes, op8_mix_sources, op9_ball_tree_search, op10_license_index)
 }
 ORACLE_SQL: dict[str, str] = {
     "op4_debruijn_spans": OP4_SQL,
