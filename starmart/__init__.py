@@ -7,7 +7,6 @@ operators/  DataFrame -> DataFrame building blocks (rules, filters, history,
             extractors, surrogate keys, dimension merge, lookups, detail)
 sources/    warehouse readers / writers (Parquet, JDBC, CSV) and snapshot loading
 plans/      fact specifications, the fact refresh, publish, query catalogue
-streaming/  intentionally empty: the published job is batch-only
 """
 
 __all__ = ["config", "schemas", "session", "fixtures"]

@@ -35,14 +35,15 @@ REPORT_DATA_SOURCE = "Report"
 MODEL_DATA_SOURCE = "Model"
 SUCCESS_STATUS = "SUCCESS"
 
+# Path patterns of the compatibility mode.
+COMPAT_PATH_PART = r"=(\d+)\S"
+COMPAT_WATERMARK = r"year=(\d+)\Smonth=(\d+)\Sday=(\d+)\S"
+
 # Partition keys shared by run history and snapshot trees.
 PARTITION_KEYS = ("year", "month", "day", "hour", "etlid")
 DAY_PARTS = ("year", "month", "day")
 
-# ---------------------------------------------------------------------------
-# Table names
-# ---------------------------------------------------------------------------
-
+# Table names.
 FACT_HEADCOUNT = "reporting.EmployeeHeadcountFact"
 FACT_ORGANIZATION = "reporting.OrganizationCountFact"
 
@@ -57,6 +58,10 @@ DIM_INFORMAL_ORG = "reporting.InformalOrgDim"
 DIM_FORMAL_ORG = "reporting.FormalOrgDim"
 EMPLOYEE_DETAIL = "reporting.EmployeeDetail"
 
+# ---------------------------------------------------------------------------
+# Own settings
+# ---------------------------------------------------------------------------
+
 # The as-of date every query and test uses, so results are repeatable.
 QUERY_AS_OF = _dt.date(1998, 3, 1)
 

@@ -21,10 +21,8 @@ import hashlib
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
-from . import config
-from .operators.lookups import broadcast_checked, fits
+from . import config, storage
 from .schemas import PEOPLE_COLUMNS
 from .session import scratch_root
 
@@ -90,18 +88,6 @@ def snapshot_day_parts(order_date: Column) -> list[Column]:
     ]
 
 
-_SMALL: dict[tuple[str, str], bool] = {}
-
-
-def _build_side(df: DataFrame, sf_dir: str, label: str) -> DataFrame:
-    """``broadcast_checked`` with the verdict remembered per input folder (the
-    supplied tables do not change while a process runs)."""
-    key = (sf_dir.rstrip("/"), label)
-    if key not in _SMALL:
-        _SMALL[key] = fits(df, config.BROADCAST_MAX_ROWS)
-    return broadcast_checked(df, rows=0 if _SMALL[key] else config.BROADCAST_MAX_ROWS + 1)
-
-
 def people(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Employees with nested attributes plus the snapshot day (year, month, day)."""
     orders = spread(
@@ -112,12 +98,11 @@ def people(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     region = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    # The dimension-like side of each join is broadcast only after a bounded
-    # count proves it small; beyond the bound (customers at large scale) the
-    # join shuffles on the key and AQE splits skewed customers.
-    geo = nation.join(_build_side(region, sf_dir, "region"), nation.n_regionkey == region.r_regionkey)
-    cust = customer.join(_build_side(geo, sf_dir, "geo"), customer.c_nationkey == geo.n_nationkey)
-    src = orders.join(_build_side(cust, sf_dir, "customer"), orders.o_custkey == cust.c_custkey)
+    # Spark broadcasts the sides whose measured size allows it; customers at
+    # large scale shuffle on the key, and AQE splits skewed customers.
+    geo = nation.join(region, nation.n_regionkey == region.r_regionkey)
+    cust = customer.join(geo, customer.c_nationkey == geo.n_nationkey)
+    src = orders.join(cust, orders.o_custkey == cust.c_custkey)
 
     ok, ck, nk = F.col("o_orderkey"), F.col("c_custkey"), F.col("n_nationkey")
     country = F.when(ok % 13 == 0, F.lower("r_name")).otherwise(F.col("r_name"))
@@ -267,28 +252,18 @@ def event_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Snapshot landing tree (written once per input folder, then reused)
 # ---------------------------------------------------------------------------
 
-def _complete(spark: SparkSession, path: str) -> bool:
-    """True once the tree at ``path`` has been written completely (marker exists)."""
-    try:
-        spark.read.parquet(f"{path}.complete")
-        return True
-    except AnalysisException:
-        return False
-
-
-def _mark_complete(spark: SparkSession, path: str) -> None:
-    spark.range(1).write.mode("overwrite").parquet(f"{path}.complete")
-
-
 def landing_root(spark: SparkSession, sf_dir: str) -> str:
-    tag = hashlib.sha1(sf_dir.rstrip("/").encode()).hexdigest()[:10]
+    """A folder named after the input's path and the state of the tables the people come from."""
+    sf = sf_dir.rstrip("/")
+    facts = [sf] + [storage.fingerprint(spark, f"{sf}/{t}.parquet") for t in ("orders", "customer", "nation", "region")]
+    tag = hashlib.sha1("|".join(facts).encode()).hexdigest()[:10]
     return f"{scratch_root(spark)}/landing-v{FIXTURE_VERSION}-{tag}"
 
 
 def people_snapshot_tree(spark: SparkSession, sf_dir: str) -> str:
     """Write the Model snapshot runs (a, b) as year/month/day/hour/etlid Parquet."""
     root = landing_root(spark, sf_dir) + "/people"
-    if _complete(spark, root):
+    if storage.exists(spark, f"{root}.complete/_SUCCESS"):
         return root
     runs = F.array(F.struct(F.lit("a").alias("tag"), F.lit(6).alias("hour")),
                    F.struct(F.lit("b").alias("tag"), F.lit(18).alias("hour")))
@@ -301,18 +276,8 @@ def people_snapshot_tree(spark: SparkSession, sf_dir: str) -> str:
             F.lpad(_s(F.col("day")), 2, "0"), F.col("r.tag"),
         ).alias("etlid"),
     )
-    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    writers = max(16, shuffle)
-    # One run is one day's whole snapshot: spread each run over `salts` writers
-    # (a deterministic salt, so a retried task writes the same rows) instead of
-    # sending it to one task. Locally that is one writer per run.
-    salts = max(1, shuffle // 64)
-    salt = F.pmod(F.xxhash64(F.col("id.employee_number")), F.lit(salts))
-    (
-        p.repartition(writers, *config.PARTITION_KEYS, salt)
-        .write.mode("overwrite")
-        .partitionBy(*config.PARTITION_KEYS)
-        .parquet(root)
-    )
-    _mark_complete(spark, root)
+    # One run is one day's whole snapshot; the rebalance splits runs of any size
+    # into tasks of the advised size and joins small ones.
+    p.hint("rebalance", *config.PARTITION_KEYS).write.mode("overwrite").partitionBy(*config.PARTITION_KEYS).parquet(root)
+    spark.range(1).write.mode("overwrite").parquet(f"{root}.complete")
     return root

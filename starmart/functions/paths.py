@@ -7,6 +7,8 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .. import config
+
 
 def path_part(path: Column | str, part: str, compat: bool = False) -> Column:
     """Value of ``part=<digits>`` in a directory path.
@@ -18,16 +20,20 @@ def path_part(path: Column | str, part: str, compat: bool = False) -> Column:
     """
     c = F.col(path) if isinstance(path, str) else path
     if compat:
-        return F.regexp_extract(c, part + r"=(\d+)\S", 1)
+        return F.regexp_extract(c, part + config.COMPAT_PATH_PART, 1)
     return F.regexp_extract(c, part + r"=(\d+)", 1).try_cast("int")
 
 
-_WATERMARK = re.compile(r"year=(\d+)\Smonth=(\d+)\Sday=(\d+)\S")
+_WATERMARK = re.compile(r"year=(\d+)[^\d\s]month=(\d+)[^\d\s]day=(\d+)")
+
 
+def parse_watermark(path: str, compat: bool = False) -> tuple[str, str, str]:
+    """(year, month, day) strings of the last loaded path; exactly one match.
 
-def parse_watermark(path: str) -> tuple[str, str, str]:
-    """(year, month, day) strings of the last loaded path; exactly one match."""
-    found = _WATERMARK.findall(path)
+    Default: the whole day, also at the end of the path. ``compat``: the day must
+    be followed by one more character, so ``day=15`` at the end gives day ``1``.
+    """
+    found = (re.compile(config.COMPAT_WATERMARK) if compat else _WATERMARK).findall(path)
     if len(found) != 1:
-        raise ValueError("Wrong partition path: " + path)
+        raise ValueError(("Wrong partition path: " if compat else "no single year/month/day in the path: ") + path)
     return found[0]

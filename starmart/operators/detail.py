@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..functions.nested import first_location_code, first_location_country, last_manager_email
@@ -10,7 +10,7 @@ from ..functions.nested import first_location_code, first_location_country, last
 
 def detail_columns() -> list[Column]:
     """Output columns in their declared order (rows are not de-duplicated)."""
-    return [
+    return [  # FIXED VALUES (output schema)
         F.col("id.employee_number").alias("EmployeeNumber"),
         F.col("employee_name.full_name").alias("EmployeeName"),
         F.col("user_type").alias("PersonType"),
@@ -30,18 +30,3 @@ def detail_columns() -> list[Column]:
         F.col("managers.id.employee_number").alias("ManagerNumber"),
         last_manager_email().alias("ManagerEmail"),
     ]
-
-
-def latest_day_rows(frame: DataFrame, date_col: str = "ExactDate") -> DataFrame:
-    """Rows whose date is the frame's greatest date.
-
-    The greatest date is a global aggregate (partial per task, one row out),
-    joined back as a one-row broadcast, instead of a window without partitions,
-    which would sort every row in a single task.
-    """
-    latest = frame.agg(F.max(date_col).alias("_latest_day"))
-    return frame.join(F.broadcast(latest), F.col(date_col) == F.col("_latest_day")).drop("_latest_day")
-
-
-def employee_detail(frame: DataFrame) -> DataFrame:
-    return latest_day_rows(frame).select(*detail_columns())

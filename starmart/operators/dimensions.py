@@ -114,17 +114,28 @@ def from_long(long: DataFrame, spec: DimensionSpec) -> DataFrame:
     )
 
 
+#: Stands in the ``dim`` column for the snapshot days that a member pass met.
+SNAPSHOT_DAYS = "snapshot days"
+
+
 def dimension_members(
-    source: DataFrame, specs: tuple[DimensionSpec, ...] | list[DimensionSpec], folded: bool = False
+    source: DataFrame,
+    specs: tuple[DimensionSpec, ...] | list[DimensionSpec],
+    folded: bool = False,
+    day: Column | None = None,
 ) -> DataFrame:
     """Candidate members of several dimensions from one pass over the source.
 
     Each source row yields one entry per dimension (none where the extractor's
     filter rejects it); one aggregation collapses them with map-side partial
     aggregation: case-sensitive distinct (null is a member), or with ``folded``
-    one member per case-folded value directly.
+    one member per case-folded value directly. ``day`` adds its distinct values
+    as rows of ``SNAPSHOT_DAYS``.
     """
     entries = []
+    if day is not None:
+        blank = [F.lit(None).cast("string").alias(a) for a in SLOTS[1:]]
+        entries.append(F.struct(F.lit(SNAPSHOT_DAYS).alias("dim"), day.cast("string").alias(SLOTS[0]), *blank))
     for s in specs:
         cols = s.extractor.columns() + [F.lit(None)] * (WIDTH - len(s.attrs))
         entry = F.struct(F.lit(s.name).alias("dim"), *[c.cast("string").alias(a) for a, c in zip(SLOTS, cols)])
@@ -133,17 +144,17 @@ def dimension_members(
         entries.append(entry)
     exploded = source.select(F.explode(F.array(*entries)).alias("m")).filter(F.col("m").isNotNull()).select("m.*")
     # Distinct first: a hash aggregate with map-side combining. Folding takes
-    # min() of strings, which Spark runs as a sort aggregate, so it runs on the
+    # min() of structs, which Spark runs as a sort aggregate, so it runs on the
     # few distinct members rather than on every source row.
     distinct = exploded.distinct()
     return fold_members(distinct) if folded else distinct
 
 
 def fold_members(members: DataFrame, attrs: tuple[str, ...] = SLOTS, by: tuple[str, ...] = ("dim",)) -> DataFrame:
-    """One member per case-folded value: the smallest spelling of each attribute."""
+    """One member per case-folded value: the smallest of its rows, compared attribute by attribute."""
     by = tuple(b for b in by if b in members.columns)
     groups = [F.col(b) for b in by] + [fold(a).alias(f"_f_{i}") for i, a in enumerate(attrs)]
-    return members.groupBy(*groups).agg(*[F.min(a).alias(a) for a in attrs]).select(*by, *attrs)
+    return members.groupBy(*groups).agg(F.min(F.struct(*attrs)).alias("_m")).select(*by, *[f"_m.{a}" for a in attrs])
 
 
 def new_members(members: DataFrame, existing: DataFrame, compat: bool = False, folded: bool = False) -> DataFrame:
@@ -175,6 +186,11 @@ def key_members(new: DataFrame, existing: DataFrame | None) -> DataFrame:
     return assign_keys(with_start, "key", SLOTS, start="_start", group_cols=("dim",)).select("dim", "key", *SLOTS)
 
 
+def member_rows(source: DataFrame, spec: DimensionSpec) -> DataFrame:
+    """Case-sensitive distinct members of one dimension, without keys, as a merge reads them."""
+    return from_long(dimension_members(source, [spec]).withColumn("key", F.lit(None).cast("int")), spec).drop(spec.key)
+
+
 def member_counts(long: DataFrame) -> dict[str, int]:
     """Rows per dimension (one small action over at most one row per dimension)."""
     return {r["dim"]: r["n"] for r in long.groupBy("dim").agg(F.count(F.lit(1)).alias("n")).collect()}

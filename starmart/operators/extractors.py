@@ -2,7 +2,7 @@
 
 An extractor names the dimension's attribute columns and the people expression
 for each; the same expressions are the left side of the dimension's lookup.
-Distinct is case-sensitive and keeps null as a member.
+``dimensions.dimension_members`` collects the members of all of them in one pass.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..functions.nested import first_location_country
@@ -27,11 +27,6 @@ class Extractor:
         """People expressions, one per attribute (unaliased)."""
         return [s() for s in self.sources]
 
-    def extract(self, people: DataFrame) -> DataFrame:
-        if self.keep is not None:
-            people = people.filter(self.keep())
-        return people.select(*[c.alias(a) for c, a in zip(self.columns(), self.attrs)]).distinct()
-
 
 def _col(name: str) -> Callable[[], Column]:
     return lambda: F.col(name)
@@ -43,7 +38,7 @@ GENDER = Extractor(("name",), (_col("gender"),))
 GRADE = Extractor(("name",), (_col("grade"),))
 PERSON_TYPE = Extractor(("name",), (_col("user_type"),), keep=not_denied_person_type)
 
-# people column -> dimension column
+# FIXED VALUES (output schema): people column -> dimension column
 INFORMAL_ORG_COLUMNS = (
     ("org_business_unit", "BusinessUnit"),
     ("org_service_line", "ServiceLine"),
@@ -59,18 +54,3 @@ INFORMAL_ORG = Extractor(
     tuple(d for _, d in INFORMAL_ORG_COLUMNS), tuple(_col(s) for s, _ in INFORMAL_ORG_COLUMNS)
 )
 FORMAL_ORG = Extractor(tuple(d for _, d in FORMAL_ORG_COLUMNS), tuple(_col(s) for s, _ in FORMAL_ORG_COLUMNS))
-
-
-def rename_columns(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
-    """Bulk rename in one projection."""
-    return df.withColumnsRenamed(mapping)
-
-
-def informal_org_members(people: DataFrame) -> DataFrame:
-    cols = [s for s, _ in INFORMAL_ORG_COLUMNS]
-    return rename_columns(people.select(*cols).distinct(), dict(INFORMAL_ORG_COLUMNS))
-
-
-def formal_org_members(people: DataFrame) -> DataFrame:
-    cols = [s for s, _ in FORMAL_ORG_COLUMNS]
-    return rename_columns(people.select(*cols).distinct(), dict(FORMAL_ORG_COLUMNS))

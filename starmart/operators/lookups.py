@@ -1,8 +1,8 @@
 """Dimension lookups: attach surrogate keys to the people frame.
 
-Dimensions are small next to the people frame, so lookups broadcast them; a
-dimension is broadcast only after a bounded count shows it is small enough, and
-otherwise joined by shuffle (AQE then splits skewed keys).
+A dimension whose row count the caller knows to be small is broadcast; any other
+is left to Spark, which broadcasts it at run time if its measured size allows
+and else joins by shuffle, splitting skewed keys.
 """
 
 from __future__ import annotations
@@ -16,18 +16,20 @@ from ..config import BROADCAST_MAX_ROWS
 from ..functions.keys import fold
 
 
-def fits(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows + 1)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def broadcast_checked(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, rows: int | None = None) -> DataFrame:
+    """``F.broadcast(df)`` when ``rows``, a count the caller knows, is under the bound, else ``df``."""
+    return F.broadcast(df) if rows is not None and rows <= max_rows else df
 
 
-def broadcast_checked(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, rows: int | None = None) -> DataFrame:
-    """``F.broadcast(df)`` when the row count is proven under the bound, else ``df``.
+def lookup_side(dim: DataFrame, key: str, attrs: Sequence[str], names: Sequence[str], folded: bool) -> DataFrame:
+    """``key`` and the match values under ``names``.
 
-    ``rows`` is a count the caller already knows; otherwise a bounded count runs.
+    Folded: one row per folded value with its smallest key, so a table that holds
+    several spellings of a member matches each person once.
     """
-    small = rows <= max_rows if rows is not None else fits(df, max_rows)
-    return F.broadcast(df) if small else df
+    f = fold if folded else (lambda c: c)
+    side = dim.select(F.col(key), *[f(F.col(a)).alias(t) for a, t in zip(attrs, names)])
+    return side.groupBy(*names).agg(F.min(key).alias(key)) if folded else side
 
 
 def lookup(
@@ -48,7 +50,7 @@ def lookup(
     """
     f = fold if folded else (lambda c: c)
     tmp = [f"_lk_{i}" for i in range(len(dim_attrs))]
-    right = dim.select(F.col(key), *[f(F.col(a)).alias(t) for a, t in zip(dim_attrs, tmp)])
+    right = lookup_side(dim, key, dim_attrs, tmp, folded)
     left_tmp = [f"_lv_{i}" for i in range(len(dim_attrs))]
     left = people.withColumns({t: f(c) for t, c in zip(left_tmp, people_cols)})
     cond = [left[lt].eqNullSafe(right[rt]) for lt, rt in zip(left_tmp, tmp)]
@@ -69,7 +71,7 @@ def lookup_many(people: DataFrame, steps: Sequence[tuple], max_rows: int = BROAD
         lv = [f"_lv{n}_{i}" for i in range(len(dim_attrs))]
         lk = [f"_lk{n}_{i}" for i in range(len(dim_attrs))]
         probes.update({t: f(c) for t, c in zip(lv, people_cols)})
-        right = dim.select(F.col(key), *[f(F.col(a)).alias(t) for a, t in zip(dim_attrs, lk)])
+        right = lookup_side(dim, key, dim_attrs, lk, folded)
         joins.append((broadcast_checked(right, max_rows, rows), lv, lk))
     out = people.select("*", *[c.alias(t) for t, c in probes.items()])
     temps = list(probes)

@@ -18,7 +18,6 @@ from ..functions.people import age, age_band, on_day
 from ..operators import dimensions as D
 from ..operators import extractors as X
 from ..operators import history as H
-from ..operators.detail import employee_detail
 from ..operators.filters import allowed, is_active, not_denied_person_type
 from ..operators.rules import aggregation, apply_rules, filter_rule, no_rule
 from ..session import new_scratch_dir
@@ -31,6 +30,9 @@ AS_OF = config.QUERY_AS_OF
 # The incremental queries resume after this path (1 March 1998, evening run).
 WATERMARK_PATH = "/landing/people/year=1998/month=03/day=01/hour=18/etlid=p19980301b/"
 WATERMARK = ("1998", "03", "01")
+# A watermark whose path ends at the day, without a slash.
+DAY_LAST_PATH = "/landing/people/year=1998/month=03/day=16"
+DAY_LAST = ("1998", "03", "16")
 # First batch of the two-step merges: snapshots before 1996.
 FIRST_YEAR = 1996
 FIRST_BATCH_SQL = "year < 1996"
@@ -139,6 +141,10 @@ def load_missing(spark, sf):
     return _load_cols(_loaded(spark, sf, since=WATERMARK_PATH))
 
 
+def load_missing_day_last(spark, sf):
+    return _load_cols(_loaded(spark, sf, since=DAY_LAST_PATH))
+
+
 def load_missing_compat(spark, sf):
     return _load_cols(_loaded(spark, sf, since=WATERMARK_PATH, compat=True))
 
@@ -186,16 +192,8 @@ def people_separation(spark, sf):
 # Dimension members, static tables, merges
 # ---------------------------------------------------------------------------
 
-def _extract(ex: X.Extractor) -> Query:
-    return lambda spark, sf: ex.extract(_people(spark, sf))
-
-
-def dim_extract_informal_org(spark, sf):
-    return X.informal_org_members(_people(spark, sf))
-
-
-def dim_extract_formal_org(spark, sf):
-    return X.formal_org_members(_people(spark, sf))
+def _extract(spec: D.DimensionSpec) -> Query:
+    return lambda spark, sf: D.member_rows(_people(spark, sf), spec)
 
 
 def dim_day(spark, sf):
@@ -291,7 +289,9 @@ def fact2_org_count(spark, sf):
 def employee_detail_query(spark, sf):
     people = _people(spark, sf)
     dims, sizes = _dims(people, sf)
-    return employee_detail(FT.lookup_frame(FT.headcount_fact(AS_OF), people, dims, sizes=sizes))
+    spec = FT.headcount_fact(AS_OF)
+    latest = FT.latest_day(spec, people, dims, sizes=sizes)
+    return FT.detail_frame(spec, people, dims, latest, sizes=sizes)
 
 
 def _published(spark, sf, runs: int = 1) -> ParquetWarehouse:
@@ -327,6 +327,62 @@ def detail_overwrite(spark, sf):
     return wh.read(config.EMPLOYEE_DETAIL)
 
 
+# A dimension of one member an employee, for merges of high cardinality.
+EMAIL = D.DimensionSpec("reporting.EmailDim", "EmailKey", ("email",), X.Extractor(("email",), (lambda: F.col("email"),)))
+
+
+def dim_merge_high_cardinality(spark, sf):
+    """One member an employee, merged twice: the second merge appends to a large table."""
+    return _two_step(EMAIL)(spark, sf)
+
+
+def _preloaded(spark, sf) -> ParquetWarehouse:
+    """A warehouse whose day table is there before the first publish, with keys 1..n."""
+    wh = _warehouse(spark)
+    days = _dims_static_day(spark, sf)
+    first = days.agg(F.min("ExactDate")).first()[0]
+    own = days.withColumn("DayKey", (F.datediff("ExactDate", F.lit(first)) + 1).cast("int"))
+    wh.write(own, D.DAY.name)
+    FT.update_fact(FT.headcount_fact(AS_OF), wh, _loaded(spark, sf))
+    return wh
+
+
+def fact1_preloaded_day(spark, sf):
+    """The headcount with a preloaded day table; its keys are mapped to yyyymmdd for comparison."""
+    wh = _preloaded(spark, sf)
+    day = wh.read(D.DAY.name).select("DayKey", (F.col("year") * 10000 + F.col("month") * 100 + F.col("day")).alias("date"))
+    fact = wh.read(config.FACT_HEADCOUNT).join(day, "DayKey").withColumn("DayKey", F.col("date"))
+    return fact.select(*FT.HEADCOUNT_KEYS, "EmployeeCount", "NewHireCount", "SeparationCount")
+
+
+def detail_preloaded_day(spark, sf):
+    return _preloaded(spark, sf).read(config.EMPLOYEE_DETAIL)
+
+
+def fact1_after_compat_merge(spark, sf):
+    """Dimensions merged with every spelling, then the default lookups: each person counts once."""
+    wh = _warehouse(spark)
+    people = _people(spark, sf)
+    FT.merge_dimensions(wh, people, D.REGULAR, compat=True)
+    dims = _dims(people, sf, (D.AGE_GROUP, D.DAY))[0] | {d.name: wh.read(d.name, d.table_schema()) for d in D.REGULAR}
+    return FT.fact_frame(FT.headcount_fact(AS_OF), people, dims)
+
+
+# The day whose people all become inactive before the second run of fact_rerun_empty_day.
+EMPTY_DAY = dt.date(1995, 6, 16)
+
+
+def fact_rerun_empty_day(spark, sf):
+    """Two runs; in the second, nobody is active on one day, whose fact rows must go."""
+    wh = _warehouse(spark)
+    spec = FT.headcount_fact(AS_OF)
+    FT.update_fact(spec, wh, _loaded(spark, sf))
+    source = _loaded(spark, sf)
+    gone = FT.snapshot_day() == F.lit(EMPTY_DAY)
+    FT.update_fact(spec, wh, source.withColumn("is_active", F.when(gone, F.lit(False)).otherwise(F.col("is_active"))))
+    return wh.read(config.FACT_HEADCOUNT).select(*FT.HEADCOUNT_KEYS, "EmployeeCount", "NewHireCount", "SeparationCount")
+
+
 def publish_all(spark, sf):
     """Row counts of every table a publish writes."""
     wh = _published(spark, sf)
@@ -366,6 +422,7 @@ def queries() -> dict[str, Query]:
         "win_first_value": win_first_value,
         "load_all": load_all,
         "load_missing": load_missing,
+        "load_missing_day_last": load_missing_day_last,
         "load_missing_compat": load_missing_compat,
         "filter_whitelist": filter_whitelist,
         "filter_blacklist": filter_blacklist,
@@ -374,13 +431,13 @@ def queries() -> dict[str, Query]:
         "people_age": people_age,
         "people_new_hire": people_new_hire,
         "people_separation": people_separation,
-        "dim_extract_location": _extract(X.LOCATION),
-        "dim_extract_nationality": _extract(X.NATIONALITY),
-        "dim_extract_gender": _extract(X.GENDER),
-        "dim_extract_grade": _extract(X.GRADE),
-        "dim_extract_person_type": _extract(X.PERSON_TYPE),
-        "dim_extract_informal_org": dim_extract_informal_org,
-        "dim_extract_formal_org": dim_extract_formal_org,
+        "dim_extract_location": _extract(D.LOCATION),
+        "dim_extract_nationality": _extract(D.NATIONALITY),
+        "dim_extract_gender": _extract(D.GENDER),
+        "dim_extract_grade": _extract(D.GRADE),
+        "dim_extract_person_type": _extract(D.PERSON_TYPE),
+        "dim_extract_informal_org": _extract(D.INFORMAL_ORG),
+        "dim_extract_formal_org": _extract(D.FORMAL_ORG),
         "dim_day": dim_day,
         "dim_age_group": dim_age_group,
         "dim_merge_incremental": _two_step(D.GENDER),
@@ -405,6 +462,11 @@ def queries() -> dict[str, Query]:
         "fact1_end_to_end": fact1_end_to_end,
         "fact2_end_to_end": fact2_end_to_end,
         "fact_idempotent_write": fact_idempotent_write,
+        "dim_merge_high_cardinality": dim_merge_high_cardinality,
+        "fact1_preloaded_day": fact1_preloaded_day,
+        "detail_preloaded_day": detail_preloaded_day,
+        "fact1_after_compat_merge": fact1_after_compat_merge,
+        "fact_rerun_empty_day": fact_rerun_empty_day,
         "publish_all": publish_all,
         "csv_roundtrip": csv_roundtrip,
     }
@@ -459,6 +521,16 @@ def _two_step_sql(dim: str, compat: bool = False) -> str:
     return "WITH " + O.PEOPLE.strip() + ",\n" + O.two_step_merge(dim, "people", FIRST_BATCH_SQL, compat).strip()
 
 
+def _high_cardinality_sql() -> str:
+    keyed = "CAST(row_number() OVER (ORDER BY email) AS INTEGER)"
+    first = f"SELECT email FROM people GROUP BY email HAVING count(*) FILTER ({FIRST_BATCH_SQL}) > 0"
+    return (
+        _w(O.PEOPLE, f"k1 AS (SELECT {keyed} AS EmailKey, email FROM ({first}))")
+        + f"SELECT * FROM k1 UNION ALL SELECT {keyed} + (SELECT count(*) FROM k1)::INTEGER, email "
+        + "FROM (SELECT DISTINCT email FROM people WHERE email NOT IN (SELECT email FROM k1))"
+    )
+
+
 def _merge_all_sql() -> str:
     parts = []
     for dim in O.FACT1_DIMS:
@@ -524,6 +596,7 @@ def oracle_sql() -> dict[str, str]:
         + ") WINDOW w AS (PARTITION BY year, month, day ORDER BY hour DESC NULLS LAST, start DESC NULLS LAST)",
         "load_all": _load_sql(),
         "load_missing": _load_sql(since=WATERMARK),
+        "load_missing_day_last": _load_sql(since=DAY_LAST),
         "load_missing_compat": _load_sql(compat=True, since=WATERMARK),
         "filter_whitelist": people
         + "SELECT employee_number, worker_type, assignment_status FROM people "
@@ -575,6 +648,11 @@ def oracle_sql() -> dict[str, str]:
         "fact1_end_to_end": fact1_e2e,
         "fact2_end_to_end": loaded.rstrip() + ",\n" + O.organization_sql("loaded").strip(),
         "fact_idempotent_write": fact1_e2e,
+        "dim_merge_high_cardinality": _high_cardinality_sql(),
+        "fact1_preloaded_day": fact1_e2e,
+        "detail_preloaded_day": loaded.rstrip() + ",\n" + O.detail_sql("loaded").strip(),
+        "fact1_after_compat_merge": people.rstrip() + ",\n" + O.headcount_sql("people", spellings=True).strip(),
+        "fact_rerun_empty_day": f"SELECT * FROM ({fact1_e2e}) WHERE DayKey <> {EMPTY_DAY:%Y%m%d}",
         "publish_all": _publish_all_sql(),
         "csv_roundtrip": people.rstrip() + ",\n" + O.headcount_sql("people").strip(),
     }

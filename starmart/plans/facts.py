@@ -15,7 +15,8 @@ import logging
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .. import config
@@ -31,6 +32,7 @@ from ..session import materialize
 
 log = logging.getLogger(__name__)
 
+# FIXED VALUES (output schema): the facts' key columns.
 HEADCOUNT_KEYS = (
     "AgeGroupKey",
     "LocationKey",
@@ -175,65 +177,81 @@ def snapshot_day(prefix: str = "") -> F.Column:
     return F.make_date(F.col(prefix + "year"), F.col(prefix + "month"), F.col(prefix + "day"))
 
 
-def ensure_static_dimensions(warehouse, source: DataFrame, bounds: tuple | None = None) -> None:
-    """Age groups once; day rows for every year of the source's snapshot days not yet present.
+def snapshot_days(source: DataFrame) -> list[dt.date]:
+    """The snapshot days of a source (calendar days only reach the driver)."""
+    days = source.select(snapshot_day().alias("day")).distinct().where("day IS NOT NULL")
+    return sorted(r["day"] for r in days.collect())
 
-    ``bounds`` (first, last snapshot day) spares a pass over the source when the
-    caller observed them already.
+
+def ensure_static_dimensions(warehouse, spark: SparkSession, found: Sequence[dt.date]) -> None:
+    """Seed the age groups and the day table if they are absent; ``found`` are the source's days in order.
+
+    A day table that is there keeps its rows and keys. Only one whose keys are all
+    of the form yyyymmdd, as seeded here, gets the years it lacks; days are
+    compared by (year, month, day). A table with keys of its own is left alone.
     """
-    spark = source.sparkSession
     if not warehouse.exists(D.AGE_GROUP.name):
         warehouse.write(D.age_group_table(spark), D.AGE_GROUP.name, mode="overwrite")
-    if bounds is None:
-        bounds = tuple(source.agg(F.min(snapshot_day()), F.max(snapshot_day())).first())
-    if bounds[0] is None:
+    if not found:
         return
-    first = dt.date(bounds[0].year, 1, 1)
-    last = dt.date(bounds[1].year, 12, 31)
-    days = D.day_table(spark, first, last)
+    days = D.day_table(spark, dt.date(found[0].year, 1, 1), dt.date(found[-1].year, 12, 31))
     if not warehouse.exists(D.DAY.name):
         warehouse.write(days, D.DAY.name, mode="append")
         return
-    existing = warehouse.read(D.DAY.name).select("DayKey")
-    missing = materialize(days.join(existing, "DayKey", "left_anti"), "new-days")
+    existing = warehouse.read(D.DAY.name, D.DAY.table_schema())
+    own = F.col("DayKey") == F.col("year") * 10000 + F.col("month") * 100 + F.col("day")
+    if existing.agg(F.count_if(~F.coalesce(own, F.lit(False)))).first()[0]:
+        return
+    missing = materialize(days.join(existing, list(config.DAY_PARTS), "left_anti"), "new-days")
     if not missing.isEmpty():
-        warehouse.write(missing, D.DAY.name, mode="append")
+        warehouse.write(missing.select(*days.columns), D.DAY.name, mode="append")
 
 
 def merge_dimensions(
     warehouse, source: DataFrame, specs: Sequence[D.DimensionSpec], compat: bool = False
 ) -> dict[str, int]:
-    """Insert-only merge of regular dimensions; returns rows appended per table.
+    """Insert-only merge of regular dimensions; returns rows appended per table."""
+    return merge_with_days(warehouse, source, specs, compat)[0]
+
+
+def merge_with_days(
+    warehouse, source: DataFrame, specs: Sequence[D.DimensionSpec], compat: bool = False
+) -> tuple[dict[str, int], list[dt.date]]:
+    """``merge_dimensions``, and the snapshot days met in its pass over the source.
 
     All dimensions go through one member pass, one anti-join against the
     current tables and one key assignment. The keyed new members are
     materialized before the appends, so no append re-reads the table it grows;
-    the per-dimension counts are observed while they are written.
+    the per-dimension counts are taken from that file. Where the store assigns
+    keys itself, the attributes are appended without any.
     """
     if not specs:
-        return {}
-    spark = source.sparkSession
+        return {}, snapshot_days(source)
     present = {spec.name: warehouse.exists(spec.name) for spec in specs}
-    members = D.dimension_members(source, specs, folded=not compat)
+    met = materialize(D.dimension_members(source, specs, folded=not compat, day=snapshot_day()), "members")
+    days = met.where(F.col("dim") == D.SNAPSHOT_DAYS).where("a0 IS NOT NULL").select("a0").distinct().collect()
+    members = met.where(F.col("dim") != D.SNAPSHOT_DAYS)
     if any(present.values()):
         existing = functools.reduce(
             lambda a, b: a.unionByName(b),
             [D.to_long(s, warehouse.read(s.name, s.table_schema())) for s in specs if present[s.name]],
         )
-        keyed = D.key_members(D.new_members(members, existing, compat, folded=not compat), existing)
-    else:  # first publish: every member is new and keys start at 1
-        keyed = D.key_members(members, None)
-    counts = Observation("new members")
-    keyed = keyed.observe(counts, *[F.count_if(F.col("dim") == s.name).alias(s.name) for s in specs])
-    keyed = materialize(keyed, "new-members")
-    appended = {}
+        members = D.new_members(members, existing, compat, folded=not compat)
+    else:
+        existing = None  # first publish: every member is new and keys start at 1
+    if warehouse.assigns_keys:
+        new = members.withColumn("key", F.lit(None).cast("int"))
+    else:
+        new = D.key_members(members, existing)
+    new = materialize(new, "new-members")
+    counts = D.member_counts(new)
     for spec in specs:
-        n = int(counts.get[spec.name])
+        n = counts.get(spec.name, 0)
         if n or not present[spec.name]:
             log.info("appending %d members to %s", n, spec.name)
-            warehouse.write(D.from_long(keyed, spec), spec.name, mode="append")
-        appended[spec.name] = n
-    return appended
+            rows = D.from_long(new, spec)
+            warehouse.write(rows.drop(spec.key) if warehouse.assigns_keys else rows, spec.name, mode="append")
+    return {spec.name: counts.get(spec.name, 0) for spec in specs}, sorted(dt.date.fromisoformat(r["a0"]) for r in days)
 
 
 def update_fact(
@@ -249,42 +267,105 @@ def update_fact(
 
     Nothing of the source is cached: each pass reads only the columns it needs
     (the member pass the dimension columns, the fact pass the lookup and
-    measure columns). The employee detail needs the rows of the latest day that
-    survives the lookups; that day is the fact's greatest DayKey, observed while
-    the fact is written, so the detail pass reads that one day's partitions only.
+    measure columns). Rows are counted behind the write's shuffle. Days of the
+    source that a refresh leaves without rows are cleared, so a day's rows are
+    always those of its last run. The detail needs the latest day that survives
+    the lookups, which is the latest of the days written, so the detail pass reads
+    that day's partitions only.
     """
-    merge_dimensions(warehouse, source, spec.merged, compat)
+    _, days = merge_with_days(warehouse, source, spec.merged, compat)
     if not static_ready:
-        ensure_static_dimensions(warehouse, source)
+        ensure_static_dimensions(warehouse, source.sparkSession, days)
+    if not days:  # nothing loaded: facts and detail stay as they are
+        if spec.detail:
+            ensure_detail(warehouse, source.sparkSession)
+        return 0
     dims = {d.name: warehouse.read(d.name, d.table_schema(), options=read_options) for d in spec.lookups}
     sizes = table_sizes(warehouse, [d.name for d in spec.lookups])
     folded = not compat
 
-    fact = fact_frame(spec, source, dims, folded, sizes)
+    again = warehouse.exists(spec.name)
     stats = Observation(f"stats of {spec.name}")
-    observed = fact.observe(stats, F.count(F.lit(1)).alias("rows"), F.max("DayKey").alias("latest"))
-    warehouse.write_fact(observed, spec.name, options=write_options)
-    result = stats.get
-
+    measures = (F.count(F.lit(1)).alias("rows"), F.collect_set("DayKey").alias("days"))  # at most a key a calendar day
+    fact = fact_frame(spec, source, dims, folded, sizes)
+    warehouse.write_fact(fact, spec.name, options=write_options, stats=stats, measures=measures)
+    rows, written = observed(stats)
+    if again:
+        clear_empty_days(warehouse, spec.name, days, dims[D.DAY.name], written)
     if spec.detail:
-        overwrite_detail(warehouse, spec, source, dims, sizes, result["latest"], folded, write_options)
-    return int(result["rows"])
-
-
-def overwrite_detail(warehouse, spec, source, dims, sizes, latest_day_key, folded=True, write_options=None) -> bool:
-    """Replace the employee detail with the latest day's people; keep it when there are none."""
-    if latest_day_key is None:
-        if not warehouse.exists(config.EMPLOYEE_DETAIL):
-            empty = source.sparkSession.createDataFrame([], EMPLOYEE_DETAIL)
-            warehouse.write(empty, config.EMPLOYEE_DETAIL, mode="overwrite")
-        return False
-    y, m, d = latest_day_key // 10000, latest_day_key // 100 % 100, latest_day_key % 100
-    day = source.filter((F.col("year") == y) & (F.col("month") == m) & (F.col("day") == d))  # partition filter
-    # every surviving row of this frame is of the latest day already
-    detail = lookup_frame(spec, day, dims, folded, sizes).select(*detail_columns())
-    opts = {"truncate": "true", **dict(write_options or {})}
-    warehouse.write(detail, config.EMPLOYEE_DETAIL, mode="overwrite", options=opts)
-    return True
+        keys = dims[D.DAY.name].where(F.col("DayKey").isin(sorted(written)))
+        latest = keys.agg(F.max("ExactDate")).first()[0] if written else None
+        overwrite_detail(warehouse, spec, source, dims, sizes, latest, folded, write_options)
+    return rows
+
+
+def observed(stats: Observation) -> tuple[int, set[int]]:
+    """Rows and day keys of a written fact; Spark keeps no metrics of a frame it finds empty while planning."""
+    try:
+        got = stats.get
+    except Py4JJavaError:
+        return 0, set()
+    return int(got["rows"]), set(got["days"])
+
+
+def clear_empty_days(warehouse, name: str, days: Sequence[dt.date], day: DataFrame, written: set[int]) -> list[int]:
+    """Clear the fact's days that the source covers but that got no rows (calendar days only reach the driver)."""
+    parts = [(d.year, d.month, d.day) for d in days]
+    covered = source_days(day.sparkSession, parts).join(day, list(config.DAY_PARTS)).select("DayKey").collect()
+    return warehouse.clear_days(name, sorted({r["DayKey"] for r in covered} - written))
+
+
+def source_days(spark: SparkSession, parts: Sequence[tuple]) -> DataFrame:
+    return spark.createDataFrame(list(parts), "year int, month int, day int")
+
+
+def detail_frame(
+    spec: FactSpec,
+    source: DataFrame,
+    dims: Mapping[str, DataFrame],
+    latest: dt.date,
+    folded: bool = True,
+    sizes: Mapping[str, int] | None = None,
+) -> DataFrame:
+    """The people of the day ``latest`` that survive the filters and lookups, as detail rows.
+
+    The day's (year, month, day) comes from the day table and filters the source
+    before the lookups, so only that day's partitions are read.
+    """
+    parts = dims[D.DAY.name].where(F.col("ExactDate") == F.lit(latest)).select(*config.DAY_PARTS).distinct().collect()
+    wanted = functools.reduce(
+        lambda a, b: a | b,
+        [(F.col("year") == r["year"]) & (F.col("month") == r["month"]) & (F.col("day") == r["day"]) for r in parts],
+        F.lit(False),
+    )
+    looked = lookup_frame(spec, source.filter(wanted), dims, folded, sizes)
+    return looked.where(F.col("ExactDate") == F.lit(latest)).select(*detail_columns())
+
+
+def latest_day(spec: FactSpec, source: DataFrame, dims: Mapping[str, DataFrame], folded: bool = True, sizes=None) -> dt.date | None:
+    """Greatest date among the rows that survive the filters and lookups."""
+    return lookup_frame(spec, source, dims, folded, sizes).agg(F.max("ExactDate")).first()[0]
+
+
+def overwrite_detail(warehouse, spec, source, dims, sizes, latest, folded=True, write_options=None) -> bool:
+    """Replace the employee detail with the latest day's people; keep it when there are none.
+
+    The new rows are written aside first, and the table is touched only if there are any.
+    """
+    if latest is not None:
+        detail = materialize(detail_frame(spec, source, dims, latest, folded, sizes), "detail")
+        if not detail.isEmpty():
+            opts = {"truncate": "true", **dict(write_options or {})}
+            warehouse.write(detail, config.EMPLOYEE_DETAIL, mode="overwrite", options=opts)
+            return True
+    ensure_detail(warehouse, source.sparkSession)
+    return False
+
+
+def ensure_detail(warehouse, spark: SparkSession) -> None:
+    """An empty detail table where there is none yet."""
+    if not warehouse.exists(config.EMPLOYEE_DETAIL):
+        warehouse.write(spark.createDataFrame([], EMPLOYEE_DETAIL), config.EMPLOYEE_DETAIL, mode="overwrite")
 
 
 def publish(

@@ -112,9 +112,10 @@ def members(dim: str, src: str, folded: bool = True, where: str | None = None) -
     conds = [c for c in (keep, where) if c]
     w = (" WHERE " + " AND ".join(conds)) if conds else ""
     if folded:
-        sel = ", ".join(f"min({e}) AS {a}" for a, e in cols)
+        row = "struct_pack(" + ", ".join(f"{a} := {e}" for a, e in cols) + ")"
+        sel = ", ".join(f"m.{a} AS {a}" for a, _ in cols)
         grp = ", ".join(f"lower({e})" for _, e in cols)
-        return f"SELECT {sel} FROM {src}{w} GROUP BY {grp}"
+        return f"SELECT {sel} FROM (SELECT min({row}) AS m FROM {src}{w} GROUP BY {grp})"
     sel = ", ".join(f"{e} AS {a}" for a, e in cols)
     return f"SELECT DISTINCT {sel} FROM {src}{w}"
 
@@ -141,9 +142,20 @@ def folded_match(dim: str, left: str, right: str, left_is_people: bool) -> str:
     return " AND ".join(parts)
 
 
-def dim_ctes(src: str, prefix: str = "d_") -> str:
-    """Every regular dimension as a first merge from ``src`` builds it."""
-    return ",\n".join(f"{prefix}{dim} AS ({keyed(dim, members(dim, src))})" for dim in DIMS)
+def dim_ctes(src: str, prefix: str = "d_", spellings: bool = False) -> str:
+    """Every regular dimension as a first merge from ``src`` builds it.
+
+    ``spellings``: merged with every spelling, then seen as lookups see it, one
+    row a folded value with the smallest key.
+    """
+    if not spellings:
+        return ",\n".join(f"{prefix}{dim} AS ({keyed(dim, members(dim, src))})" for dim in DIMS)
+    out = []
+    for dim, (key, cols, _) in DIMS.items():
+        low = ", ".join(f"lower({a}) AS {a}" for a, _ in cols)
+        by = ", ".join(f"lower({a})" for a, _ in cols)
+        out.append(f"{prefix}{dim} AS (SELECT min({key}) AS {key}, {low} FROM ({keyed(dim, members(dim, src, folded=False))}) GROUP BY {by})")
+    return ",\n".join(out)
 
 
 def two_step_merge(dim: str, src: str, first_where: str, compat: bool = False) -> str:
@@ -186,11 +198,11 @@ def lookup_joins(alias: str, dims: list[str], prefix: str = "d_", folded: bool =
 FACT1_DIMS = ["location", "person_type", "gender", "grade", "nationality", "informal_org", "formal_org"]
 
 
-def headcount_sql(src: str) -> str:
+def headcount_sql(src: str, spellings: bool = False) -> str:
     """Fact 1 from a people-like relation ``src`` (dimensions built from it, unfiltered)."""
     return f"""
 {derived(src, "f1_src")},
-{dim_ctes(src)},
+{dim_ctes(src, spellings=spellings)},
 f1 AS (
   SELECT d_location.LocationKey, d_person_type.PersonTypeKey, d_gender.GenderKey, d_grade.GradeKey,
          d_nationality.NationalityKey, d_informal_org.InformalOrgKey, d_formal_org.FormalOrgKey,

@@ -1,4 +1,4 @@
-"""Declared schemas: the people snapshot, run history, dimensions, facts, detail."""
+"""Declared schemas: the people snapshot and the employee detail."""
 
 from __future__ import annotations
 
@@ -57,29 +57,6 @@ RUN_PARTITIONS = DAY_PARTITIONS + [T.StructField("hour", I), T.StructField("etli
 # The snapshot tree as read: people columns plus the directory partitions.
 PEOPLE_SNAPSHOT = T.StructType(PEOPLE_COLUMNS.fields + RUN_PARTITIONS)
 
-RUN_HISTORY = T.StructType(
-    [
-        T.StructField("status", S),
-        T.StructField("datasource_name", S),
-        T.StructField("etl_name", S),
-        T.StructField("data_path", S),
-        T.StructField("start", T.TimestampType()),
-        T.StructField("run_guid", S),
-    ]
-)
-
-NAME_DIM = lambda key: T.StructType([T.StructField(key, I), T.StructField("name", S)])
-
-DAY_DIM = T.StructType(
-    [
-        T.StructField("DayKey", I),
-        T.StructField("year", I),
-        T.StructField("month", I),
-        T.StructField("day", I),
-        T.StructField("ExactDate", T.DateType()),
-    ]
-)
-
 DETAIL_COLUMNS = (
     "EmployeeNumber",
     "EmployeeName",

@@ -1,8 +1,9 @@
 """Session settings and the shared scratch folder.
 
 On a cluster the scratch folder is the one named by ``spark.checkpoint.dir``
-(shared storage every executor can reach). Only when the session has none, as
-in local tests, do we create a local one and register it.
+(shared storage every executor can reach). Only when the session has none and
+runs in one process, as in local tests, do we create a local one and register
+it; on any other master a missing setting is an error.
 """
 
 from __future__ import annotations
@@ -38,6 +39,11 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, **extra
     return spark
 
 
+def is_local(master: str) -> bool:
+    """Whether driver and executors are one process (and so share local folders)."""
+    return master == "local" or master.startswith("local[")
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder; set a local one only when none is configured."""
     sc = spark.sparkContext
@@ -46,6 +52,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not is_local(sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="starmart-checkpoint-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -56,10 +64,7 @@ def scratch_root(spark: SparkSession) -> str:
     configured = session_conf(spark, "spark.checkpoint.dir")
     if configured:
         return configured.rstrip("/") + "/starmart"
-    try:
-        return os.path.dirname(checkpoint_root(spark).rstrip("/")) + "/starmart"
-    except Exception:  # no SparkContext (Spark Connect): a local folder, as in tests
-        return tempfile.mkdtemp(prefix="starmart-scratch-")
+    return os.path.dirname(checkpoint_root(spark).rstrip("/")) + "/starmart"
 
 
 def new_scratch_dir(spark: SparkSession, label: str) -> str:

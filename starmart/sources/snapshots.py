@@ -1,12 +1,11 @@
 """Snapshot loading: scan the partitioned snapshot tree, keep the chosen runs.
 
 Full load keeps the latest successful run of every day; incremental load keeps
-only days after the last loaded path. Both end in an inner join of the tree
-with the chosen runs on the five partition keys. The runs side is one row per
-day, so it is broadcast (after a bounded count); a broadcast join on partition
-columns also lets Spark prune partitions dynamically. The incremental
-watermark is additionally applied as a literal partition filter, which prunes
-whole directories at planning time.
+only days after the last loaded path, and lists only those days' folders. Both
+end in an inner join of the tree with the chosen runs on the five partition
+keys. The chosen runs (about one row per day) are written once, so the history is
+read once and Spark knows their size: it broadcasts them while they are small,
+and a broadcast join on partition columns prunes partitions dynamically.
 """
 
 from __future__ import annotations
@@ -20,8 +19,9 @@ from pyspark.sql import types as T
 from .. import config
 from ..functions.paths import parse_watermark
 from ..operators.history import after_day, latest_runs, run_keys, successful_runs, with_path_parts
-from ..operators.lookups import broadcast_checked
+from .. import storage
 from ..schemas import PEOPLE_SNAPSHOT
+from ..session import materialize
 
 
 def read_run_history(warehouse, table: str = config.HISTORY_TABLE, options: Mapping[str, str] | None = None) -> DataFrame:
@@ -33,15 +33,34 @@ def read_run_history(warehouse, table: str = config.HISTORY_TABLE, options: Mapp
     return warehouse.read(table, options=options)
 
 
+def day_folders(spark: SparkSession, root: str, after: tuple[str, str, str]) -> list[str]:
+    """Folders of the days after (year, month, day), listing only the years and months they lie in."""
+    limit = tuple(int(x) for x in after)
+    level: list[tuple[tuple[int, ...], str]] = [((), root.rstrip("/"))]
+    for part in config.DAY_PARTS:
+        below = []
+        for key, folder in level:
+            for name in storage.children(spark, folder):
+                label, _, value = name.partition("=")
+                if label == part and value.isdigit() and (*key, int(value)) >= limit[: len(key) + 1]:
+                    below.append(((*key, int(value)), f"{folder}/{name}"))
+        level = below
+    return [folder for key, folder in level if key > limit]
+
+
 def scan_snapshots(
     spark: SparkSession,
     root: str,
     schema: T.StructType = PEOPLE_SNAPSHOT,
     fmt: str = "parquet",
     options: Mapping[str, str] | None = None,
+    folders: list[str] | None = None,
 ) -> DataFrame:
-    """Directory-partitioned tree with an imposed schema (partition columns included)."""
-    return spark.read.schema(schema).format(fmt).options(**dict(options or {})).load(root)
+    """Directory-partitioned tree with an imposed schema; ``folders`` limits it to parts of the tree."""
+    if folders is not None and not folders:
+        return spark.createDataFrame([], schema)
+    reader = spark.read.schema(schema).format(fmt).options(**dict(options or {}))
+    return reader.load(root) if folders is None else reader.option("basePath", root).load(folders)
 
 
 def chosen_runs(
@@ -55,7 +74,7 @@ def chosen_runs(
     runs = with_path_parts(successful_runs(history, data_source, etl), compat)
     best = latest_runs(runs)
     if since is not None:
-        best = best.filter(after_day("year", "month", "day", parse_watermark(since), compat))
+        best = best.filter(after_day("year", "month", "day", parse_watermark(since, compat), compat))
     keys = run_keys(best)
     if compat:  # string parts meet int partition columns; unparsable parts do not join
         keys = keys.select(*[F.col(c).try_cast("int").alias(c) for c in ("year", "month", "day", "hour")], "etlid")
@@ -76,7 +95,8 @@ def load_snapshots(
 ) -> DataFrame:
     """Snapshot rows of the chosen runs, with the partition columns and nothing from history."""
     keys = chosen_runs(history, data_source, etl, since, compat)
-    snap = scan_snapshots(spark, root, schema, fmt, options)
-    if since is not None and not compat:
-        snap = snap.filter(after_day("year", "month", "day", parse_watermark(since)))
-    return snap.join(broadcast_checked(keys), list(config.PARTITION_KEYS))
+    folders = day_folders(spark, root, parse_watermark(since)) if since is not None and not compat else None
+    snap = scan_snapshots(spark, root, schema, fmt, options, folders)
+    # Spark prunes partitions by a join's small side only if a comparison filters that side.
+    runs = materialize(keys, "chosen-runs").where(F.col("hour") >= 0)
+    return snap.join(runs, list(config.PARTITION_KEYS))

@@ -1,17 +1,21 @@
 """Where dimensions, facts and the detail table live: Parquet, JDBC or CSV.
 
-Every warehouse offers the same four calls: ``exists``, ``read``, ``write`` and
-``write_fact``. Read options and write options are kept apart (a dimension read
-never receives write options such as ``truncate``).
+Every warehouse offers the same calls: ``exists``, ``read``, ``write``,
+``write_fact`` and ``clear_days``. A table is absent only if the store says it is not there;
+any other failure raises, so an outage never looks like a first publish. Read
+options and write options are kept apart (a dimension read never receives write
+options such as ``truncate``). ``assigns_keys`` says that the store numbers
+dimension members itself (identity columns): merges then append attributes only.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
+
+from .. import storage
 
 FACT_PARTITION = "DayKey"
 
@@ -22,6 +26,16 @@ def _merged(base: Mapping[str, str] | None, extra: Mapping[str, str] | None) ->
     return out
 
 
+def _clustered(df: DataFrame, stats: Observation | None, measures: Sequence[Column]) -> DataFrame:
+    """Fact rows dealt by day in tasks of the advised size, counted after the shuffle.
+
+    The rebalance lets AQE split a day that is large and join days that are
+    small. Counting behind it is exact also when map tasks run again.
+    """
+    out = df.hint("rebalance", FACT_PARTITION)
+    return out.observe(stats, *measures) if stats is not None else out
+
+
 class ParquetWarehouse:
     """Tables as Parquet folders under one root.
 
@@ -42,18 +56,16 @@ class ParquetWarehouse:
         self.write_options = dict(write_options or {})
         self._known: set[str] = set()  # tables seen or written; tables are never dropped
 
+    assigns_keys = False
+
     def location(self, name: str) -> str:
         return f"{self.root}/{name}"
 
     def exists(self, name: str) -> bool:
-        if name in self._known:
+        if name in self._known or storage.children(self.spark, self.location(name)):
+            self._known.add(name)
             return True
-        try:
-            self.spark.read.parquet(self.location(name))
-        except AnalysisException:
-            return False
-        self._known.add(name)
-        return True
+        return False
 
     def read(self, name: str, schema: T.StructType | None = None, options: Mapping[str, str] | None = None) -> DataFrame:
         """Read a table; with ``schema`` a missing table reads as empty and no footers are inferred."""
@@ -78,15 +90,26 @@ class ParquetWarehouse:
         writer.parquet(self.location(name))
         self._known.add(name)
 
-    def write_fact(self, df: DataFrame, name: str, options: Mapping[str, str] | None = None) -> None:
-        # The fact arrives aggregated (map-side partial aggregation already ran),
-        # so one day's rows are bounded by its key combinations. Clustering by
-        # day gives one file per day and spreads the days over all writers.
-        n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        clustered = df.repartition(n, FACT_PARTITION)
+    def write_fact(
+        self,
+        df: DataFrame,
+        name: str,
+        options: Mapping[str, str] | None = None,
+        stats: Observation | None = None,
+        measures: Sequence[Column] = (),
+    ) -> None:
         opts = _merged({"partitionOverwriteMode": "dynamic"}, options)
+        clustered = _clustered(df, stats, measures)
         self.write(clustered, name, mode="overwrite", options=opts, partition_by=(FACT_PARTITION,))
 
+    def clear_days(self, name: str, keys: Sequence[int]) -> list[int]:
+        """Remove the partitions of days that a refresh covered and left without rows."""
+        held = set(storage.children(self.spark, self.location(name)))
+        gone = [k for k in keys if f"{FACT_PARTITION}={k}" in held]
+        for k in gone:
+            storage.remove(self.spark, f"{self.location(name)}/{FACT_PARTITION}={k}")
+        return gone
+
 
 class JdbcWarehouse:
     """Tables in a database reached over JDBC.
@@ -104,19 +127,26 @@ class JdbcWarehouse:
         properties: Mapping[str, str] | None = None,
         read_options: Mapping[str, str] | None = None,
         write_options: Mapping[str, str] | None = None,
+        assigns_keys: bool = False,
+        tables: str = "information_schema.tables",
     ) -> None:
         self.spark = spark
         self.url = url
+        self.assigns_keys = assigns_keys
+        self.tables = tables
         self.properties = dict(properties or {})
         self.read_options = dict(read_options or {})
         self.write_options = dict(write_options or {})
 
     def exists(self, name: str) -> bool:
-        try:
-            self.read(name).schema  # noqa: B018 - resolves the table
-            return True
-        except Exception:  # driver-specific "no such table" errors
-            return False
+        """Whether the database's catalogue lists the table; connection and login errors raise."""
+        schema, _, bare = name.rpartition(".")
+        quoted = lambda x: "'" + x.lower().replace("'", "''") + "'"
+        where = f"lower(table_name) = {quoted(bare)}"
+        if schema:
+            where += f" AND lower(table_schema) = {quoted(schema)}"
+        query = f"(SELECT table_name FROM {self.tables} WHERE {where}) listed"
+        return not self.spark.read.jdbc(self.url, query, properties=dict(self.properties)).isEmpty()
 
     def read(self, name: str, schema: T.StructType | None = None, options: Mapping[str, str] | None = None) -> DataFrame:
         if schema is not None and not self.exists(name):
@@ -135,14 +165,26 @@ class JdbcWarehouse:
         writer = df.write.mode(mode).options(**_merged(self.write_options, options))
         writer.jdbc(self.url, name, properties=dict(self.properties))
 
-    def write_fact(self, df: DataFrame, name: str, options: Mapping[str, str] | None = None) -> None:
+    def write_fact(
+        self,
+        df: DataFrame,
+        name: str,
+        options: Mapping[str, str] | None = None,
+        stats: Observation | None = None,
+        measures: Sequence[Column] = (),
+    ) -> None:
         # The database owns idempotence here: facts are appended.
-        self.write(df, name, mode="append", options=options)
+        self.write(_clustered(df, stats, measures), name, mode="append", options=options)
+
+    def clear_days(self, name: str, keys: Sequence[int]) -> list[int]:  # noqa: ARG002 - appended facts are kept
+        return []
 
 
 class CsvWarehouse:
     """Flat tables as CSV folders (``<root>/<table>``), header on."""
 
+    assigns_keys = False
+
     def __init__(
         self,
         spark: SparkSession,
@@ -159,11 +201,7 @@ class CsvWarehouse:
         return f"{self.root}/{name}"
 
     def exists(self, name: str) -> bool:
-        try:
-            self.spark.read.options(**self.read_options).csv(self.location(name))
-            return True
-        except AnalysisException:
-            return False
+        return bool(storage.children(self.spark, self.location(name)))
 
     def read(self, name: str, schema: T.StructType | None = None, options: Mapping[str, str] | None = None) -> DataFrame:
         reader = self.spark.read.options(**_merged(self.read_options, options))
@@ -186,5 +224,21 @@ class CsvWarehouse:
             writer = writer.partitionBy(*partition_by)
         writer.csv(self.location(name))
 
-    def write_fact(self, df: DataFrame, name: str, options: Mapping[str, str] | None = None) -> None:
-        self.write(df, name, mode="append", options=options)
+    def write_fact(
+        self,
+        df: DataFrame,
+        name: str,
+        options: Mapping[str, str] | None = None,
+        stats: Observation | None = None,
+        measures: Sequence[Column] = (),
+    ) -> None:
+        """Replaces the days of ``df`` and keeps the others, like the Parquet form."""
+        opts = _merged({"partitionOverwriteMode": "dynamic"}, options)
+        self.write(_clustered(df, stats, measures), name, mode="overwrite", options=opts, partition_by=(FACT_PARTITION,))
+
+    def clear_days(self, name: str, keys: Sequence[int]) -> list[int]:
+        held = set(storage.children(self.spark, self.location(name)))
+        gone = [k for k in keys if f"{FACT_PARTITION}={k}" in held]
+        for k in gone:
+            storage.remove(self.spark, f"{self.location(name)}/{FACT_PARTITION}={k}")
+        return gone

@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from starmart.operators import dimensions as D
+from starmart.operators import extractors as X
 from starmart.operators.filters import allowed, not_denied
 from starmart.operators.surrogate import assign_keys
 from starmart.plans import facts as FT
@@ -11,7 +12,7 @@ from tests.conftest import rows
 
 
 def genders(spark, values):
-    return spark.createDataFrame([(v,) for v in values], "gender string")
+    return spark.createDataFrame([(v, 2024, 1, 1) for v in values], "gender string, year int, month int, day int")
 
 
 def test_allow_and_deny_lists_fold_case_and_drop_null(spark):
@@ -60,6 +61,27 @@ def test_multi_column_merge_matches_all_columns(spark):
     ]
 
 
+def test_folding_keeps_one_row_of_the_member(spark):
+    src = spark.createDataFrame([("BU", "sl"), ("bu", "SL")], "business_group string, operating_unit string")
+    dims, _ = D.build_dimensions(src, (D.FORMAL_ORG,))
+    assert rows(dims[D.FORMAL_ORG.name]) == [(1, "BU", "sl")]  # not BU with SL, which no row holds
+
+
+def test_keys_stay_unique_when_a_large_dimension_grows(spark):
+    """Merge 300,000 members, then 600,000, alone and next to another dimension."""
+    email = D.DimensionSpec("EmailDim", "EmailKey", ("email",), X.Extractor(("email",), (lambda: F.col("email"),)))
+    for specs in ([email], [email, D.GENDER]):
+        wh = ParquetWarehouse(spark, new_scratch_dir(spark, "test-large"))
+        for n in (300_000, 600_000):
+            cols = [F.sha1(F.col("id").cast("string")).alias("email"), (F.col("id") % 9).cast("string").alias("gender")]
+            src = spark.range(0, n, 1, 8).select(*cols, *[F.lit(1).alias(c) for c in ("month", "day")], F.lit(2024).alias("year"))
+            FT.merge_dimensions(wh, src, specs)
+        got = wh.read("EmailDim").agg(F.count("EmailKey"), F.countDistinct("EmailKey"), F.min("EmailKey"), F.max("EmailKey"))
+        assert tuple(got.first()) == (600_000, 600_000, 1, 600_000)
+        if len(specs) > 1:
+            assert rows(wh.read(D.GENDER.name)) == [(k + 1, str(k)) for k in range(9)]
+
+
 @pytest.mark.parametrize("partitions", [1, 3, 8])
 def test_assign_keys_dense_and_independent_of_partitioning(spark, partitions):
     df = spark.range(0, 500).select(

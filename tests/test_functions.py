@@ -67,8 +67,15 @@ def test_path_parts(spark, path, y, m, d, h, cy, cm, cd, ch):
 
 
 def test_parse_watermark():
-    assert parse_watermark("/a/year=2024/month=01/day=20/hour=03/") == ("2024", "01", "20")
-    with pytest.raises(ValueError, match="Wrong partition path"):
+    for compat in (False, True):
+        assert parse_watermark("/a/year=2024/month=01/day=20/hour=03/", compat) == ("2024", "01", "20")
+    # a path that ends at the day: the whole day, or what the compatibility pattern makes of it
+    assert parse_watermark("/a/year=2024/month=01/day=15") == ("2024", "01", "15")
+    assert parse_watermark("/a/year=2024/month=01/day=5") == ("2024", "01", "5")
+    assert parse_watermark("/a/year=2024/month=01/day=15", compat=True) == ("2024", "01", "1")
+    with pytest.raises(ValueError):
+        parse_watermark("/a/year=2024/month=01/day=5", compat=True)
+    with pytest.raises(ValueError, match="partition path|no single"):
         parse_watermark("/a/year=2024/month=01/")
     with pytest.raises(ValueError):
         parse_watermark("/a/year=1/month=2/day=3/b/year=1/month=2/day=4/")

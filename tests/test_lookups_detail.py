@@ -2,7 +2,7 @@ import datetime as dt
 
 from starmart import config
 from starmart.operators import dimensions as D
-from starmart.operators.detail import employee_detail, latest_day_rows
+from starmart.operators.detail import detail_columns
 from starmart.operators.rules import aggregation, apply_rules, filter_rule, keep_left, no_rule
 from starmart.schemas import DETAIL_COLUMNS, PEOPLE_COLUMNS
 from tests.conftest import rows
@@ -52,7 +52,7 @@ def _person(num, day, hierarchy, location):
     )
 
 
-def test_employee_detail_latest_day_and_manager_email(spark):
+def test_detail_columns_and_manager_email(spark):
     d1, d2 = dt.date(2024, 1, 1), dt.date(2024, 1, 16)
     frame = _detail_frame(
         spark,
@@ -63,17 +63,26 @@ def test_employee_detail_latest_day_and_manager_email(spark):
             _person("3", d2, None, None),
         ],
     )
-    out = employee_detail(frame)
+    out = frame.where(F.col("ExactDate") == F.lit(d2)).select(*detail_columns())
     assert tuple(out.columns) == DETAIL_COLUMNS
     got = rows(out, "EmployeeNumber", "ManagerEmail", "Location", "Country", "ManagerName", "ManagerNumber")
     assert got == [("2", "b@x", "C", "Spain", "Boss", "9"), ("3", None, None, None, "Boss", "9"), ("3", None, None, None, "Boss", "9")]
 
 
-def test_latest_day_rows_uses_no_single_partition_window(spark):
-    df = spark.range(100).select(F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 7).cast("int")).alias("ExactDate"))
-    plan = latest_day_rows(df)._jdf.queryExecution().executedPlan().toString()
-    assert "Window" not in plan
-    assert latest_day_rows(df).count() == 14
+def test_two_spellings_match_each_person_once(spark):
+    people = spark.createDataFrame([("1", "Male"), ("2", "male")], "id string, gender string")
+    dim = spark.createDataFrame([(3, "male"), (2, "Male"), (4, None)], "GenderKey int, name string")
+    assert rows(D.GENDER.lookup(people, dim), "id", "GenderKey") == [("1", 2), ("2", 2)]
+
+
+def test_counts_never_exceed_the_filtered_people(spark, sf):
+    from starmart import fixtures
+    from starmart.operators.filters import fact_filters
+    from starmart.plans import catalog
+
+    people = apply_rules(fixtures.people(spark, sf), fact_filters()).count()
+    counted = catalog.fact1_after_compat_merge(spark, sf).agg(F.sum("EmployeeCount")).first()[0]
+    assert 0 < counted <= people
 
 
 def test_apply_rules(spark):
@@ -88,8 +97,8 @@ def test_broadcast_only_under_the_bound(spark):
     from starmart.operators.lookups import broadcast_checked
 
     big = spark.range(50).withColumnRenamed("id", "k")
-    small_plan = spark.range(100).join(broadcast_checked(big, max_rows=100), F.col("id") == F.col("k"))
-    big_plan = spark.range(100).join(broadcast_checked(big, max_rows=10), F.col("id") == F.col("k"))
+    small_plan = spark.range(100).join(broadcast_checked(big, max_rows=100, rows=50), F.col("id") == F.col("k"))
+    big_plan = spark.range(100).join(broadcast_checked(big, max_rows=10, rows=50), F.col("id") == F.col("k"))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         assert "BroadcastHashJoin" in small_plan._jdf.queryExecution().executedPlan().toString()
