@@ -164,6 +164,32 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base,
 """
 
 
+OP7_SQL = """
+WITH d AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), p AS (
+  SELECT doc_id, i, md5(substr(h, 2 * i + 1, 200)) AS w FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2 - 99)) AS i FROM d)
+), k AS (
+  SELECT doc_id, i, min(doc_id) OVER (PARTITION BY w) AS first, min(i) OVER (PARTITION BY w, doc_id) AS own FROM p
+), x AS (
+  SELECT doc_id, i, coalesce(i > lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 100, true)::INTEGER AS opens FROM k WHERE first < doc_id OR own < i
+), r AS (
+  SELECT doc_id, n, min(i) AS s, max(i) + 100 AS e FROM (SELECT *, sum(opens) OVER (PARTITION BY doc_id ORDER BY i) AS n FROM x) GROUP BY doc_id, n
+), gap AS (
+  SELECT doc_id, s, e, coalesce(lag(e) OVER (PARTITION BY doc_id ORDER BY s), 0) AS before FROM r
+), piece AS (
+  SELECT d.doc_id, s, substr(h, 2 * before + 1, 2 * (s - before)) AS t FROM gap JOIN d USING (doc_id)
+  UNION ALL
+  SELECT d.doc_id, 1000000000000, substr(h, 2 * coalesce(last, 0) + 1) FROM d LEFT JOIN (SELECT doc_id, max(e) AS last FROM r GROUP BY doc_id) USING (doc_id)
+), kept AS (
+  SELECT doc_id, string_agg(t, '' ORDER BY s) AS t FROM piece GROUP BY doc_id
+), g AS (
+  SELECT doc_id, sum(e - s) AS removed, count(*) AS spans FROM r GROUP BY doc_id
+)
+SELECT doc_id, (len(h) // 2)::BIGINT AS n_bytes, coalesce(removed, 0)::BIGINT AS n_removed, coalesce(spans, 0)::BIGINT AS n_spans, sha256(unhex(t)) AS kept_sha256
+FROM d JOIN kept USING (doc_id) LEFT JOIN g USING (doc_id)
+"""
+
 OP8_SQL = r"""
 WITH d AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents
@@ -193,6 +219,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE_SQL: dict[str, str] = {
     "op4_debruijn_spans": OP4_SQL,
     "op5_decontaminate": OP5_SQL,
+    "op7_induced_suffixes": OP7_SQL,
     "op8_mix_sources": OP8_SQL,
     "op9_ball_tree_search": OP9_SQL,
     "op10_license_index": op10_sql(),
