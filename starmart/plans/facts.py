@@ -220,10 +220,10 @@ def merge_with_days(
     """``merge_dimensions``, and the snapshot days met in its pass over the source.
 
     All dimensions go through one member pass, one anti-join against the
-    current tables and one key assignment. The keyed new members are
-    materialized before the appends, so no append re-reads the table it grows;
-    the per-dimension counts are taken from that file. Where the store assigns
-    keys itself, the attributes are appended without any.
+    current tables and one key assignment. The new members are stored before the
+    appends, so no append re-reads the table it grows; the per-dimension counts
+    are taken from that file. Where the store assigns keys itself, the
+    attributes are appended without any.
     """
     if not specs:
         return {}, snapshot_days(source)
@@ -240,10 +240,9 @@ def merge_with_days(
     else:
         existing = None  # first publish: every member is new and keys start at 1
     if warehouse.assigns_keys:
-        new = members.withColumn("key", F.lit(None).cast("int"))
+        new = materialize(members.withColumn("key", F.lit(None).cast("int")), "new-members")
     else:
-        new = D.key_members(members, existing)
-    new = materialize(new, "new-members")
+        new = D.key_members(members, existing)  # reads only the file that the key assignment wrote
     counts = D.member_counts(new)
     for spec in specs:
         n = counts.get(spec.name, 0)
