@@ -32,7 +32,7 @@ class BucketQueue:
         self.limit, self.file = limit, None
 
     def push(self, chars: np.ndarray, entries: np.ndarray) -> None:
-        order = np.argsort(chars, kind="stable")
+        order = np.argsort(chars.astype(np.uint16), kind="stable")  # a radix sort
         chars, entries = chars[order], entries[order]
         starts = np.flatnonzero(np.diff(chars, prepend=-1))
         for part in np.split(entries, starts[1:]):
@@ -91,7 +91,7 @@ def carried(lcp: np.ndarray, chars: np.ndarray, least: np.ndarray, depth: int) -
     value since its bucket's last entry; it is brought up to date.
     """
     n = len(lcp)
-    order = np.argsort(chars, kind="stable")
+    order = np.argsort(chars.astype(np.uint16), kind="stable")
     ordered = chars[order]
     first = np.diff(ordered, prepend=-1) != 0
     start = np.where(first, 0, np.concatenate([[0], order[:-1] + 1]))
@@ -182,15 +182,18 @@ def sorted_seeds(text: np.ndarray, small: np.ndarray, depth: int, limit: int) ->
     is_seed[places] = True
     order = np.concatenate([at[is_seed[at]] for at, _ in induce(text, small, by_char, np.zeros(len(by_char), np.int32), depth, limit, False)][::-1])
     if len(order) < len(places):  # the end of the text is induced by nothing
-        order = np.concatenate([np.setdiff1d(places, order), order])
+        rest = is_seed.copy()
+        rest[order] = False
+        order = np.concatenate([np.flatnonzero(rest), order])
     index = np.empty(len(text), np.int64)
     index[places] = np.arange(len(places))
     size = np.diff(np.append(places, places[-1])) + 1  # to the next one, inclusive
-    power = np.cumprod(np.full(int(size.max()), 0x9E3779B97F4A7C15, np.uint64))
-    inner = np.arange(len(text)) - places[np.maximum(np.searchsorted(places, np.arange(len(text)), "right") - 1, 0)]
-    term = (text.astype(np.uint64) + np.uint64(1)) * np.uint64(0xC2B2AE3D27D4EB4F)
-    term = (term ^ (term >> np.uint64(29))) * power[np.clip(inner, 0, len(power) - 1)]
-    key = np.add.reduceat(term, places) + text[np.append(places[1:], places[-1])].astype(np.uint64) * np.uint64(0x165667B19E3779F9)
+    power = np.cumprod(np.full(max(int(size.max()), len(text) - int(places[-1])), 0x9E3779B97F4A7C15, np.uint64))
+    covered = text[places[0] :]
+    inner = np.arange(len(covered)) - np.repeat(places - places[0], np.diff(np.append(places, len(text))))
+    spread = (np.arange(ALPHABET, dtype=np.uint64) + np.uint64(1)) * np.uint64(0xC2B2AE3D27D4EB4F)
+    term = (spread ^ (spread >> np.uint64(29)))[covered] * power[inner]
+    key = np.add.reduceat(term, places - places[0]) + text[np.append(places[1:], places[-1])].astype(np.uint64) * np.uint64(0x165667B19E3779F9)
     ranked = index[order]
     new = np.concatenate([[True], (key[ranked][1:] != key[ranked][:-1]) | (size[ranked][1:] != size[ranked][:-1])])
     name = np.empty(len(places), np.int64)
@@ -198,9 +201,8 @@ def sorted_seeds(text: np.ndarray, small: np.ndarray, depth: int, limit: int) ->
     span = 1  # substrings a name stands for; each has two characters of its own at least
     while name.max(initial=0) < len(places) and 2 * span < depth:
         after = np.append(name[span:], np.zeros(min(span, len(name)), np.int64))[: len(name)]
-        pair = np.lexsort((after, name))
+        pair = np.argsort(name * (len(name) + 1) + after, kind="stable")
         new = np.concatenate([[True], (name[pair][1:] != name[pair][:-1]) | (after[pair][1:] != after[pair][:-1])])
-        name = name.copy()
         fresh = np.empty(len(places), np.int64)
         fresh[pair] = np.cumsum(new)
         name, span = fresh, 2 * span
