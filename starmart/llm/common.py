@@ -7,6 +7,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from starmart import storage
 from starmart.session import materialize
 
 #: Characters between words: space and the ASCII controls tab to carriage return.
@@ -72,6 +73,13 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def discard(*written: DataFrame) -> None:
+    """Remove tables that ``materialize`` wrote and that no step to come, or to be repeated, reads."""
+    for df in written:
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            storage.remove(df.sparkSession, folder)
+
+
 def text_digest(text: Column) -> Column:
     """16 bytes that stand for a whole text."""
     return F.unhex(F.md5(text.cast("binary")))

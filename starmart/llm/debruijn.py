@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 
 from starmart.session import materialize
 
-from .common import ranked, release, shuffle_partitions, text_digest
+from .common import discard, ranked, release, shuffle_partitions, text_digest
 
 WIDTH = 13  # words of a window
 BLOCK_WORDS = 1 << 21  # words hashed together on the sending side
@@ -137,8 +137,25 @@ def unpacked(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     return tid, np.concatenate([unplanes(x.as_buffer()) for x in table["pos"]])
 
 
-def met(table: pa.Table) -> pa.Table:
-    """Of the windows of a bucket, the places of those that more than one document sent."""
+PACKED = pa.schema([("part", pa.int32()), ("tid", pa.list_(pa.int64())), ("n", pa.list_(pa.int32())), ("pos", pa.binary())])
+PACKED_ROWS = "part int, tid array<long>, n array<int>, pos binary"
+
+
+def packed(tid: np.ndarray, pos: np.ndarray, parts: int) -> pa.Table:
+    """Places dealt by document into ``parts``: a row a part, whatever the number of documents."""
+    order = np.lexsort((pos, tid, tid % parts))
+    tid, pos = tid[order], pos[order]
+    rows = []
+    for at in np.split(np.arange(len(tid)), np.flatnonzero(np.diff(tid % parts)) + 1):
+        if len(at):
+            edges = np.flatnonzero(np.diff(tid[at], prepend=-1))
+            rows.append((int(tid[at[0]] % parts), tid[at[edges]], np.diff(edges, append=len(at)), planes(pos[at])))
+    columns = zip(*rows, strict=True) if rows else ([] for _ in PACKED)
+    return pa.Table.from_arrays([pa.array(list(c), f.type) for c, f in zip(columns, PACKED, strict=True)], schema=PACKED)
+
+
+def met(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Of the windows of a bucket, document and place of those that more than one document sent."""
     tid, pos = unpacked(table)
     bits = np.concatenate([np.frombuffer(x.as_buffer(), "<u4") for x in table["hash"]])
     order = np.lexsort((tid, bits))
@@ -147,7 +164,12 @@ def met(table: pa.Table) -> pa.Table:
     group = np.cumsum(first) - 1
     last = np.append(np.flatnonzero(first)[1:] - 1, len(bits) - 1)
     several = (tid[np.flatnonzero(first)] != tid[last])[group]
-    tid, pos = tid[several], pos[several]
+    return tid[several], pos[several]
+
+
+def gathered(table: pa.Table) -> pa.Table:
+    """All places of the documents of a part, a row a document."""
+    tid, pos = unpacked(table)
     order = np.lexsort((pos, tid))
     return listed(tid[order], pos[order])
 
@@ -218,32 +240,28 @@ def distinct_texts(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFra
 
 
 def candidates(texts: DataFrame, words: int) -> DataFrame:
-    """``tid``, ``pos``: places of all windows that may stand in two texts (column texts: tid, text)."""
+    """``tid``, ``pos``: places of all windows that may stand in two texts (``texts``: tid, text); a row a text."""
     spark = texts.sparkSession
     buckets = max(shuffle_partitions(spark), math.ceil(words / BUCKET_WORDS))
     rows = "bucket int, tid array<long>, n array<int>, pos binary, hash binary"
-    packed = texts.select("tid", "text").mapInArrow(sent(buckets), rows)
-    places = "tid long, pos array<int>"
+    blocks = texts.select("tid", "text").mapInArrow(sent(buckets), "bucket int, tid array<long>, n array<int>, pos binary, hash binary")
     key = F.when(F.col("bucket") < 0, -1 - F.pmod(F.xxhash64(F.col("tid")[0], "pos"), F.lit(buckets))).otherwise(F.col("bucket"))
 
     def split(table: pa.Table) -> pa.Table:
-        if table["bucket"][0].as_py() >= 0:
-            return met(table)
-        tid, pos = unpacked(table)
-        order = np.lexsort((pos, tid))
-        return listed(tid[order], pos[order])
+        return packed(*(met(table) if table["bucket"][0].as_py() >= 0 else unpacked(table)), buckets)
 
-    return materialize(packed.withColumn("key", key).groupBy("key").applyInArrow(split, places), "candidates")
+    parts = blocks.withColumn("key", key).groupBy("key").applyInArrow(split, PACKED_ROWS)
+    return materialize(parts.groupBy("part").applyInArrow(gathered, "tid long, pos array<int>"), "candidates")
 
 
 def repeated_spans(docs: DataFrame, texts: DataFrame) -> DataFrame:
     """tid, doc_id, start, windows, source_tid, source_doc, source_start, path of every repeated span.
 
-    ``docs``: tid, doc_id, text. A path is a maximal run of edges through nodes
+    ``docs``: tid, doc_id, text; ``texts``: tid, pos as ``candidates`` gives them. A path is a maximal run of edges through nodes
     with one repeated edge in and one out whose first sources follow each other.
     """
     spark = docs.sparkSession
-    places = texts.groupBy("tid").agg(F.flatten(F.collect_list("pos")).alias("places"))  # at most a document's length
+    places = texts.select("tid", F.col("pos").alias("places"))
     found = materialize(docs.join(places, "tid").select("tid", "doc_id", "text", "places").mapInArrow(graph_edges, OCCURRENCE_ROWS), "occurrences")
     release(spark)
     firsts = F.when(F.col("first"), F.col("tid"))
@@ -264,6 +282,7 @@ def repeated_spans(docs: DataFrame, texts: DataFrame) -> DataFrame:
     paths = edges.join(through, "left", "left").withColumn("opens", opens)
     paths = paths.withColumn("path", F.max(F.when(F.col("opens"), F.col("source_start"))).over(along.rowsBetween(Window.unboundedPreceding, 0)))
     paths = materialize(paths.select("edge", "check", "source_tid", "source_doc", "source_start", "path"), "paths")
+    discard(edges)
     release(spark)
     on = found.select("tid", "doc_id", "pos", "edge", "check").join(paths, ["edge", "check"]).drop("edge", "check")
     line = Window.partitionBy("tid").orderBy("pos")
@@ -280,6 +299,7 @@ def repeated_spans(docs: DataFrame, texts: DataFrame) -> DataFrame:
         F.min("path").alias("path"),
     )
     spans = materialize(spans.drop("span"), "spans")
+    discard(found, paths)
     release(spark)
     return spans
 
