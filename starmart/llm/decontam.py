@@ -22,6 +22,7 @@ from .common import free_names
 
 WINDOW = 13  # words
 BLOCK_BYTES = 32 << 20  # of window text in one automaton
+TOGETHER_BYTES = 4 << 20  # of texts scanned by one automaton after the other
 #: A document is contaminated if hit words times this reach its words.
 HIT_SHARE = 20
 #: Bytes of a word stay (A-Z lower-cased, bytes of non-ASCII characters as they are), all others become a space.
@@ -113,16 +114,26 @@ def benchmark_hits(items: DataFrame, text: Column, id_col: str = "item_id", text
     context = items.sparkSession.sparkContext
     shared = [context.broadcast(block) for block in blocks(items, id_col, text_col)]
 
-    @F.arrow_udf(RESULT)
-    def scan(texts: pa.Array) -> pa.Array:
-        docs = [Hits(raw or b"") for raw in texts.cast(pa.large_binary()).to_pylist()]
+    def results(texts: list[bytes]) -> list[dict]:
+        docs = [Hits(raw) for raw in texts]
         for block in shared:
             machine = automaton(block.value, keep=len(shared) == 1)
             for doc in docs if machine else ():
                 if doc.line:
                     doc.scan(machine)
+        return [doc.result() for doc in docs]
+
+    @F.arrow_udf(RESULT)
+    def scan(texts: pa.Array) -> pa.Array:
+        out, held, size = [], [], 0
+        for text in texts:
+            held.append(text.as_buffer().to_pybytes() if text.is_valid else b"")
+            size += len(held[-1])
+            if size >= TOGETHER_BYTES:
+                out += results(held)
+                held, size = [], 0
         kind = pa.struct([("n_words", pa.int64()), ("n_hit", pa.int64()), ("items", pa.list_(pa.string())), ("spans", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))])
-        return pa.array([doc.result() for doc in docs], kind)
+        return pa.array(out + results(held), kind)
 
     return scan(text)
 
