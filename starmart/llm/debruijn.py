@@ -255,7 +255,7 @@ def candidates(texts: DataFrame, words: int) -> DataFrame:
 
 
 def repeated_spans(docs: DataFrame, texts: DataFrame) -> DataFrame:
-    """tid, doc_id, start, windows, source_tid, source_doc, source_start, path of every repeated span.
+    """tid, doc_id, start, windows, source_tid, source_doc, source_start, path of every span repeated from another text.
 
     ``docs``: tid, doc_id, text; ``texts``: tid, pos as ``candidates`` gives them. A path is a maximal run of edges through nodes
     with one repeated edge in and one out whose first sources follow each other.
@@ -284,7 +284,7 @@ def repeated_spans(docs: DataFrame, texts: DataFrame) -> DataFrame:
     paths = materialize(paths.select("edge", "check", "source_tid", "source_doc", "source_start", "path"), "paths")
     discard(edges)
     release(spark)
-    on = found.select("tid", "doc_id", "pos", "edge", "check").join(paths, ["edge", "check"]).drop("edge", "check")
+    on = found.select("tid", "doc_id", "pos", "edge", "check").join(paths, ["edge", "check"]).where("tid <> source_tid").drop("edge", "check")
     line = Window.partitionBy("tid").orderBy("pos")
     same = [F.lag(c).over(line).eqNullSafe(F.col(c) - step) for c, step in (("pos", 1), ("source_start", 1), ("source_tid", 0), ("path", 0))]
     stepped = on.withColumn("new", (~(same[0] & same[1] & same[2] & same[3])).cast("int"))
