@@ -6,7 +6,9 @@ have equal anchors. Anchors met once need no sorting. Around the others, each ru
 of windows with the same anchor leaves as one short string; strings of one anchor
 meet in one shard, equal ones are collapsed, and the different ones are suffix
 sorted by induction (``induced``): neighbours with 100 bytes in common are equal
-windows, of which all but the earliest are removed.
+windows, of which all but the earliest are removed. Anchors with many different
+runs (one passage in many contexts) are not sorted: their windows are compared by
+digest, first inside a batch and then over all batches, so no shard grows with them.
 """
 
 from __future__ import annotations
@@ -14,10 +16,11 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,6 +38,8 @@ PLACE_BITS = 20
 BLOCK_ANCHORS = 1 << 19  # anchors sent together
 BUCKET_ANCHORS = 1 << 22
 SHARD_STRINGS = 1 << 14  # of up to WIDTH + SLIDE bytes
+SHARD_PARTS = 16  # anchors of a shard are counted in so many parts
+PART_STRINGS = 1 << 11  # a part with more is not sorted, so a shard has SHARD_PARTS times this at most
 GROW = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD)
 
 
@@ -143,6 +148,7 @@ def met(table: pa.Table) -> pa.Table:
 RUN = pa.schema([("anchor", pa.int64()), ("tid", pa.int64()), ("doc_id", pa.int64()), ("start", pa.int64()), ("windows", pa.int64()), ("lead", pa.int32()), ("run", pa.binary())])
 RUN_ROWS = "anchor long, tid long, doc_id long, start long, windows long, lead int, run binary"
 BATCH_ROWS = 30_000
+BATCH_WINDOWS = 1 << 18  # of runs whose windows are compared together
 
 
 def collapsed(rows: list[list]) -> pa.RecordBatch:
@@ -209,6 +215,15 @@ def equal_windows(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndar
     return which[inside], place[inside], klass[inside]
 
 
+def consecutive(tid: np.ndarray, start: np.ndarray, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of windows in order, those that follow one another joined."""
+    order = np.lexsort((start, tid))
+    t, a, n = tid[order], start[order], windows[order]
+    joined = np.concatenate([[True], (t[1:] != t[:-1]) | (a[1:] != a[:-1] + n[:-1])]) if len(t) else np.zeros(0, bool)
+    heads = np.flatnonzero(joined)
+    return t[heads], a[heads], np.add.reduceat(n, heads) if len(heads) else n
+
+
 def repeats_of(table: pa.Table) -> pa.Table:
     """Windows of a shard's runs that also start earlier, as (tid, start, windows) with consecutive starts joined."""
     anchor, tid, doc, start, lead = (table[c].to_numpy() for c in ("anchor", "tid", "doc_id", "start", "lead"))
@@ -236,12 +251,55 @@ def repeats_of(table: pa.Table) -> pa.Table:
         at = start[row] + np.repeat(place, times)
         gone = later(np.repeat(klass, times), doc[row], tid[row], at)
         found.append((tid[row][gone], at[gone], np.ones(int(gone.sum()), np.int64)))
-    t, a, n = (np.concatenate(c) for c in zip(*found, strict=True))
-    order = np.lexsort((a, t))
-    t, a, n = t[order], a[order], n[order]
-    joined = np.concatenate([[True], (t[1:] != t[:-1]) | (a[1:] != a[:-1] + n[:-1])]) if len(t) else np.zeros(0, bool)
-    heads = np.flatnonzero(joined)
-    return pa.Table.from_arrays([pa.array(t[heads]), pa.array(a[heads]), pa.array(np.add.reduceat(n, heads) if len(heads) else n)], schema=REPEATS)
+    return pa.Table.from_arrays([pa.array(c) for c in consecutive(*(np.concatenate(c) for c in zip(*found, strict=True)))], schema=REPEATS)
+
+
+WINDOW = pa.schema([("tid", pa.int64()), ("doc_id", pa.int64()), ("start", pa.int64()), ("windows", pa.int64()), ("key", pa.binary())])
+WINDOW_ROWS = "tid long, doc_id long, start long, windows long, key binary"
+
+
+def first_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Runs to rows of ``WINDOW``: with ``key``, a digest, the windows that start first among those handled
+    together, in the least document or in their text; without, the others, which are removed, by runs."""
+
+    def rows(tids: list, docs: list, starts: list, runs: list[bytes]) -> pa.RecordBatch:
+        size = np.array([len(r) - WIDTH + 1 for r in runs])
+        run = np.repeat(np.arange(len(runs)), size)
+        inside = np.arange(len(run)) - np.repeat(np.cumsum(size) - size, size)
+        known: dict[bytes, int] = {}
+        group = np.array([known.setdefault(r[k : k + WIDTH], len(known)) for r in runs for k in range(len(r) - WIDTH + 1)])
+        tid, doc, start = np.array(tids)[run], np.array(docs)[run], np.array(starts)[run] + inside
+        gone = later(group, doc, tid, start)
+        t, a, n = consecutive(tid[gone], start[gone], np.ones(int(gone.sum()), np.int64))
+        d = np.zeros(len(t), np.int64)  # not needed for removed windows
+        keys = np.array([hashlib.blake2b(w, digest_size=16).digest() for w in known], object)[group[~gone]].tolist()
+        columns = [(t, tid[~gone]), (d, doc[~gone]), (a, start[~gone]), (n, np.ones(len(keys), np.int64))]
+        return pa.RecordBatch.from_arrays([*(pa.array(np.concatenate(c)) for c in columns), pa.array([None] * len(t) + keys, pa.binary())], schema=WINDOW)
+
+    held: tuple[list, list, list, list] = ([], [], [], [])
+    for batch in batches:
+        for k in range(batch.num_rows):
+            for column, values in zip(held, batch.columns, strict=True):
+                column.append(values[k].as_py())
+            if len(held[0]) >= BATCH_WINDOWS // SLIDE:
+                yield rows(*held)
+                held = ([], [], [], [])
+    if held[0]:
+        yield rows(*held)
+
+
+def compared_windows(runs: DataFrame) -> DataFrame:
+    """``repeats_of`` for any number of different runs around one anchor: no window meets more than one row a batch.
+
+    Equal windows are found by 128-bit digests; a window's rows (one a batch, or one a text where
+    texts share the least id) pass through a sort that spills.
+    """
+    windows = materialize(runs.select("tid", "doc_id", "start", "run").mapInArrow(first_windows, WINDOW_ROWS), "windows")
+    least = F.min("doc_id").over(Window.partitionBy("key"))
+    own = F.min("start").over(Window.partitionBy("key", "tid"))
+    met = windows.where("key IS NOT NULL").withColumn("own", own).withColumn("least", least)
+    gone = met.where("doc_id > least OR start > own").unionByName(windows.where("key IS NULL"), allowMissingColumns=True)
+    return gone.select("tid", "start", "windows")
 
 
 CUT = T.StructType().add("n_removed", "long").add("n_spans", "long").add("sha256", "string")
@@ -280,10 +338,15 @@ def repeated_windows(texts: DataFrame, n_bytes: int) -> DataFrame:
     release(spark)
     routed = rows.where("run IS NOT NULL")
     shards = max(shuffle_partitions(spark), math.ceil(routed.count() / SHARD_STRINGS))
-    shard = F.pmod(F.xxhash64("anchor"), F.lit(shards))
-    found = routed.withColumn("shard", shard).groupBy("shard").applyInArrow(repeats_of, REPEAT_ROWS)
+    routed = routed.withColumn("part", F.pmod(F.xxhash64("anchor"), F.lit(SHARD_PARTS * shards)))
+    crowded = materialize(routed.groupBy("part").count().where(F.col("count") > PART_STRINGS).select("part"), "crowded")
+    sorted_runs, others = routed, []
+    if not crowded.isEmpty():
+        sorted_runs = routed.join(crowded, "part", "left_anti")
+        others = [compared_windows(routed.join(crowded, "part", "left_semi"))]
+    found = sorted_runs.withColumn("shard", F.pmod("part", F.lit(shards))).groupBy("shard").applyInArrow(repeats_of, REPEAT_ROWS)
     known = rows.where("run IS NULL").select("tid", "start", "windows")
-    found = materialize(found.unionByName(known), "repeats")
+    found = materialize(reduce(DataFrame.unionByName, [known, *others], found), "repeats")
     release(spark)
     return found
 

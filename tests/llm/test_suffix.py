@@ -93,6 +93,28 @@ def test_edge_cases(spark):
     assert run(spark, rows[:0]) == []
 
 
+def test_one_passage_in_many_contexts(spark, monkeypatch):
+    """A passage, a line of 40 bytes and a row of dashes between different words: no shard grows with them."""
+    monkeypatch.setattr(suffix, "PART_STRINGS", 16, raising=False)
+    sort = suffix.repeats_of
+
+    def bounded(table):
+        if table.num_rows > 16 * 16:
+            raise ValueError(f"{table.num_rows} runs in one shard")
+        return sort(table)
+
+    monkeypatch.setattr(suffix, "repeats_of", bounded)
+    rng = random.Random(12)
+    words = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    passage, line = words(160), words(40)
+    rows = []
+    for i in range(900):
+        common = (passage, line, "-" * 90)[i % 3]
+        rows.append((i // 2 if i < 60 else i, words(70 + i % 50) + common + words(60 + i % 40) + (common + words(50) if i % 7 == 0 else "")))
+    rng.shuffle(rows)
+    assert run(spark, rows) == brute(rows)
+
+
 def test_anchors_belong_to_content(monkeypatch):
     rng = random.Random(4)
     passage = bytes(rng.choice(b"abcdef") for _ in range(400))
