@@ -2,10 +2,10 @@
 
 Templates are short word sequences with mandatory key phrases. Document
 frequencies of the template words are counted over all documents; the rarest
-word of a template is its probe, the next rarest are its anchors. A file's
-places of a probe word give candidate starts, the anchors' places must agree
-with them by relative position, the key phrases must stand verbatim, and the
-share of the template's weight that agrees must reach ``MIN_SHARE``. The base
+word of a template's key phrase is its probe. As the key phrase must stand
+verbatim, a file's places of the probe give every start that any of its rare
+words could give, also one before word 0. There the key phrase is compared, and
+the share of the template's weight that agrees must reach ``MIN_SHARE``. The base
 phrases are templates whose key phrase is the whole phrase, so every one of
 their places is found. All of it is column expressions inside one row.
 """
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from .common import LOWER, UPPER
 
 TOKEN = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-ANCHORS = 3  # rarest words that must agree, the probe included
+ANCHORS = 3  # rarest words that must agree in the query's SQL, the probe included; not asked for here
 MIN_SHARE = 0.6
 
 # Base phrases and their labels.
@@ -83,20 +83,18 @@ def word_weights(words: DataFrame, column: str, vocabulary: list[str]) -> dict[s
     return {w: 1 + math.log((n + 1) / (df.get(w, 0) + 1)) for w in vocabulary}
 
 
-def rare_places(t: Template, weight: dict[str, float]) -> list[int]:
-    """First places of the template's rarest words, rarest first; equal weights in word order."""
-    rare = sorted(set(t.words), key=lambda w: (-weight[w], w))[:ANCHORS]
-    return [t.words.index(w) for w in rare]
+def probe_place(t: Template, weight: dict[str, float]) -> int:
+    """Place in the template of the rarest word of its key phrase; equal weights in word order."""
+    return t.words.index(min(t.key, key=lambda w: (-weight[w], w)), t.key_at)
 
 
 def starts(t: Template, words: Column, weight: dict[str, float]) -> Column:
-    """Starts of the template in a file: probe places whose anchors and key phrase agree by position."""
-    places = rare_places(t, weight)
-    probe = places[0]
+    """Starts of the template in a file: all places around which its key phrase stands, below 0 if the file cuts its beginning."""
+    probe = probe_place(t, weight)
     at = F.filter(F.sequence(F.lit(0), F.size(words) - 1), lambda i: F.get(words, i) == t.words[probe])
     first = F.transform(at, lambda i: i - probe)
-    needed = sorted({*places[1:], *range(t.key_at, t.key_at + len(t.key))})
-    return F.filter(first, lambda s: reduce(lambda a, b: a & b, [F.coalesce(F.get(words, s + p) == t.words[p], F.lit(False)) for p in needed], s >= 0))
+    needed = range(t.key_at, t.key_at + len(t.key))
+    return F.filter(first, lambda s: reduce(lambda a, b: a & b, [F.coalesce(F.get(words, s + p) == t.words[p], F.lit(False)) for p in needed]))
 
 
 def shares(t: Template, found: Column, words: Column, weight: dict[str, float]) -> Column:
@@ -119,13 +117,13 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     weight = word_weights(held, "words", sorted({w for t in known for w in t.words}))
     words = F.col("words")
     none = F.array().cast("array<int>")
-    probes = sorted({t.words[rare_places(t, weight)[0]] for t in known})
+    probes = sorted({t.words[probe_place(t, weight)] for t in known})
     any_probe = F.arrays_overlap(words, F.array(*[F.lit(p) for p in probes]))
 
     placed = held.withColumn("near", any_probe)
     found, passed = [], []
     for k, t in enumerate(known):
-        probe = t.words[rare_places(t, weight)[0]]
+        probe = t.words[probe_place(t, weight)]
         found.append(F.when(F.col("near") & F.array_contains(words, probe), starts(t, words, weight)).otherwise(none).alias(f"at{k}"))
     placed = placed.select(id_col, "words", *found)
     for k, t in enumerate(known):

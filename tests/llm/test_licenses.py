@@ -1,5 +1,6 @@
 """Base phrases and templates against a direct search."""
 
+import math
 import re
 
 from starmart.llm import licenses
@@ -42,6 +43,35 @@ def test_base_phrases_and_added_labels(spark):
         assert (r["score"] > 0) == (r["labels"] != "")
 
 
+def labels_of(rows):
+    """Labels by the rule: the key phrase verbatim anywhere and enough of the weight around it."""
+    words = [WORD.findall("".join(c.lower() if "A" <= c <= "Z" else c for c in text)) for text in rows]
+    weight = {w: 1 + math.log((len(rows) + 1) / (sum(w in ws for ws in words) + 1)) for t in licenses.templates() for w in t.words}
+    out = []
+    for ws in words:
+        found = set()
+        for t in licenses.templates():
+            for k in range(len(ws)):
+                if tuple(ws[k : k + len(t.key)]) == t.key:
+                    s = k - t.key_at
+                    same = sum(weight[w] for p, w in enumerate(t.words) if 0 <= s + p < len(ws) and ws[s + p] == w)
+                    found |= {t.label} if round(same / sum(weight[w] for w in t.words), 6) >= licenses.MIN_SHARE else set()
+        out.append(",".join(sorted(found)))
+    return out
+
+
+def test_headings_at_word_0_and_altered_rare_words(spark):
+    texts = [
+        "GNU General Public License version 3", "Creative Commons Attribution 4.0 International License", "see the file GNU General Public License version 3",
+        "Redistribution and use in source and binary forms, with or without modifications, are permitted", "redistribution and use in source and binary forms",
+        "subject to the rules of the Mozilla Public License, v. 2.0", "License gnu general public license version 3 gnu general public license version 2",
+    ] + ["licensed under the terms or without"] * 40
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = [r["labels"] for r in licenses.scan(docs).orderBy("doc_id").collect()]
+    assert got == labels_of(texts)
+    assert got[0] == "gpl-3" and got[1] == "cc-by" and got[3] == "bsd" and got[5] == "mpl-2"
+
+
 def test_empty_table_and_plan(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert licenses.scan(docs).count() == 0
