@@ -84,3 +84,9 @@ def test_clean_documents_stay(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     kept = corpus_pipeline.language_id(spark, docs, sf)
     assert kept.count() >= 0.97 * docs.where(F.length("text") > 0).count()
+
+
+def test_every_document_with_letters_stays(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    ids = lambda df: sorted(r["doc_id"] for r in df.select("doc_id").collect())
+    assert ids(corpus_pipeline.language_id(spark, docs, sf)) == ids(docs.where(F.col("text").rlike(r"\p{L}") & F.col("lang").isNotNull()))
