@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from . import balltree, debruijn, decontam, langid, licenses, mixing, sharding, simhash, suffix, warc
+from . import balltree, debruijn, decontam, langid, licenses, mixing, periodic, sharding, simhash, suffix, warc
 from .common import table
 
 
@@ -78,6 +81,46 @@ def op10_license_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+@F.arrow_udf(T.StringType())
+def with_period(doc_ids: pa.Array, texts: pa.Array) -> pa.Array:
+    """Texts whose words from one place on repeat with one period, both taken from the crc32 of the id; null stays null."""
+    out = []
+    for doc, text in zip(doc_ids.to_pylist(), texts.cast(pa.large_binary()).to_pylist(), strict=True):
+        words = (text or b"").split()
+        if words:
+            g, n = zlib.crc32(str(doc).encode()) // 10, len(words)
+            a = g % n
+            p = 1 + (n - a) // (3 + g % 8)
+            text = b" ".join(words[:a] + [words[a + i % p] for i in range(n - a)])
+        out.append(text)
+    return pa.array(out, pa.binary()).view(pa.string())
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of every document's words, a tenth of the documents made periodic from one place on."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    tenth = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 10 == 0
+    made = docs.withColumn("text", F.when(tenth, with_period("doc_id", F.when(tenth, F.col("text")))).otherwise(F.col("text")))
+    runs = F.col("periodic.runs")
+    longest = F.array_max(F.transform(runs, lambda r: F.struct(r.length.alias("length"), (-r.start).alias("before"), (-r.period).alias("under"))))
+    listed = F.array_join(F.transform(runs, lambda r: F.concat(F.concat_ws(",", r.start, r.length, r.period), F.lit("\n"))), "")
+    return (
+        periodic.periodic_runs(made)
+        .withColumn("longest", longest)
+        .select(
+            "doc_id",
+            F.size(runs).cast("long").alias("n_runs"),
+            (-F.col("longest.before")).alias("start"),
+            "longest.length",
+            (-F.col("longest.under")).alias("period"),
+            F.expr("1000 * longest.length div -longest.under").alias("exponent_milli"),
+            F.sha2(listed.cast("binary"), 256).alias("runs_sha256"),
+            F.sha2(F.col("periodic.collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+            F.col("periodic.n_words").alias("n_words"),
+        )
+    )
+
+
 OP4_SQL = r"""
 WITH d AS (
   SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents
@@ -214,7 +257,7 @@ SELECT doc_id, size, ss::BIGINT AS source_size, target, (size * (floor(rate) + C
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_hilbert_shards, op2_language_mixture, op3_warc_chunks, op4_debruijn_spans, op5_decontaminate, op6_golay_simhash, op7_induced_suffixes, op8_mix_sources, op9_ball_tree_search, op10_license_index)
+    for f in (op1_hilbert_shards, op2_language_mixture, op3_warc_chunks, op4_debruijn_spans, op5_decontaminate, op6_golay_simhash, op7_induced_suffixes, op8_mix_sources, op9_ball_tree_search, op10_license_index, op11_periodic_runs)
 }
 ORACLE_SQL: dict[str, str] = {
     "op4_debruijn_spans": OP4_SQL,
