@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from . import balltree, debruijn, decontam, langid, licenses, mixing, periodic, sharding, simhash, suffix, warc
+from . import balltree, debruijn, decontam, langid, licenses, merkle, mixing, periodic, sharding, simhash, suffix, warc
 from .common import table
 
 
@@ -121,6 +121,25 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Proofs of all documents, and the root each of them folds to after one leaf in seven is altered."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars")
+    seventh = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    altered = F.when(seventh, merkle.leaf(*[F.col(f) + 1 if f == "n_chars" else F.col(f) for f in merkle.FIELDS]))
+    proved = merkle.proofs(merkle.build(docs, keep={"doc_id": F.col("doc_id"), "altered": altered}))
+    over = merkle.folded(F.coalesce("kept_altered", "digest"), "idx", "n", "tree", "trees", "proof")
+    text = lambda c: F.lower(F.hex(c))
+    return proved.withColumn("over", over).select(
+        F.col("kept_doc_id").alias("doc_id"),
+        text("digest").alias("leaf"),
+        text("subroot").alias("subroot"),
+        text("root").alias("root"),
+        F.sha2(text("proof").cast("binary"), 256).alias("proof_sha256"),
+        text("over").alias("folded_root"),
+        (F.col("over") == F.col("root")).alias("verified"),
+    )
+
+
 OP4_SQL = r"""
 WITH d AS (
   SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents
@@ -255,9 +274,48 @@ WITH d AS (
 SELECT doc_id, size, ss::BIGINT AS source_size, target, (size * (floor(rate) + CASE WHEN u < rate - floor(rate) THEN 1 ELSE 0 END))::BIGINT AS taken FROM r
 """
 
+def op13_sql() -> str:
+    """Trees by recursion over levels, once for the documents of a language and once for the languages."""
+    part = lambda c: f"coalesce(strlen({c}::VARCHAR)::VARCHAR || ':' || {c}::VARCHAR, '-')"
+    leaf = lambda n_chars: f"sha256({' || '.join(part(c) for c in ('doc_id', 'source', 'lang', n_chars, 'text'))})"
+    # crc32 by long division: bits of the reversed polynomial, byte by byte, of the decimal doc_id
+    return f"""
+WITH RECURSIVE crc(doc_id, rest, c) AS (
+  SELECT DISTINCT doc_id, doc_id::VARCHAR, 4294967295::BIGINT FROM documents WHERE doc_id IS NOT NULL
+  UNION ALL
+  SELECT doc_id, substr(rest, 2), list_reduce([xor(c, ord(rest[1])::BIGINT), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, (x & 1) * 3988292384)) FROM crc WHERE rest <> ''
+), d AS (
+  SELECT doc_id, lang, {leaf("n_chars")} AS leaf, CASE WHEN xor(c, 4294967295) % 7 = 0 THEN {leaf("(n_chars + 1)")} END AS altered,
+    row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx, count(*) OVER (PARTITION BY lang) AS n
+  FROM documents LEFT JOIN (SELECT doc_id, c FROM crc WHERE rest = '') USING (doc_id)
+), t AS (
+  SELECT lang, 0 AS level, idx, n, leaf AS h FROM d
+  UNION ALL
+  SELECT lang, level + 1, idx // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY idx)) FROM t WHERE n > 1 GROUP BY lang, level, idx // 2, n
+), g AS (
+  SELECT lang, h AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS idx, count(*) OVER () AS n FROM t WHERE n = 1
+), u AS (
+  SELECT 0 AS level, idx, n, subroot AS h FROM g
+  UNION ALL
+  SELECT level + 1, idx // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY idx)) FROM u WHERE n > 1 GROUP BY level, idx // 2, n
+), p AS (
+  SELECT doc_id, lang, leaf, 0 AS level, idx, n, coalesce(altered, leaf) AS h, '' AS proof FROM d
+  UNION ALL
+  SELECT doc_id, p.lang, leaf, p.level + 1, p.idx // 2, (p.n + 1) // 2, sha256(CASE WHEN p.idx % 2 = 0 THEN p.h || coalesce(s.h, '') ELSE s.h || p.h END), proof || coalesce(s.h, '')
+  FROM p LEFT JOIN t s ON s.lang IS NOT DISTINCT FROM p.lang AND s.level = p.level AND s.idx = xor(p.idx, 1) WHERE p.n > 1
+), q AS (
+  SELECT doc_id, leaf, subroot, 0 AS level, g.idx, g.n, p.h, proof FROM p JOIN g ON p.lang IS NOT DISTINCT FROM g.lang WHERE p.n = 1
+  UNION ALL
+  SELECT doc_id, leaf, subroot, q.level + 1, q.idx // 2, (q.n + 1) // 2, sha256(CASE WHEN q.idx % 2 = 0 THEN q.h || coalesce(s.h, '') ELSE s.h || q.h END), proof || coalesce(s.h, '')
+  FROM q LEFT JOIN u s ON s.level = q.level AND s.idx = xor(q.idx, 1) WHERE q.n > 1
+)
+SELECT doc_id, leaf, subroot, u.h AS root, sha256(proof) AS proof_sha256, q.h AS folded_root, q.h = u.h AS verified FROM q, u WHERE q.n = 1 AND u.n = 1
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_hilbert_shards, op2_language_mixture, op3_warc_chunks, op4_debruijn_spans, op5_decontaminate, op6_golay_simhash, op7_induced_suffixes, op8_mix_sources, op9_ball_tree_search, op10_license_index, op11_periodic_runs)
+    for f in (op1_hilbert_shards, op2_language_mixture, op3_warc_chunks, op4_debruijn_spans, op5_decontaminate, op6_golay_simhash, op7_induced_suffixes, op8_mix_sources, op9_ball_tree_search, op10_license_index, op11_periodic_runs, op13_merkle_manifest)
 }
 ORACLE_SQL: dict[str, str] = {
     "op4_debruijn_spans": OP4_SQL,
@@ -266,4 +324,5 @@ ORACLE_SQL: dict[str, str] = {
     "op8_mix_sources": OP8_SQL,
     "op9_ball_tree_search": OP9_SQL,
     "op10_license_index": op10_sql(),
+    "op13_merkle_manifest": op13_sql(),
 }
