@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from . import balltree, debruijn, decontam, langid, licenses, merkle, mixing, periodic, sharding, simhash, suffix, warc
+from . import balltree, debruijn, decontam, langid, licenses, merkle, mixing, periodic, pieces, sharding, simhash, suffix, warc
 from .common import table
 
 
@@ -121,6 +121,23 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_sentence_pieces(spark: SparkSession, sf_dir: str, model: str | None = None) -> DataFrame:
+    """Every document encoded with the public piece model, or another one, and decoded from its ids."""
+    if model is None:
+        import public_tokenizers
+
+        model = public_tokenizers.path("piece_bpe_32k.model")
+    found = pieces.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), model).select("doc_id", "pieces.*")
+    n = F.size("ids").cast("long")
+    return pieces.decode(found, model).select(
+        "doc_id",
+        n.alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+        F.when(n > 0, F.get("ends", n.cast("int") - 1) - F.get("starts", F.lit(0))).otherwise(0).cast("long").alias("span_bytes"),
+    )
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Proofs of all documents, and the root each of them folds to after one leaf in seven is altered."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars")
@@ -315,7 +332,7 @@ SELECT doc_id, leaf, subroot, u.h AS root, sha256(proof) AS proof_sha256, q.h AS
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_hilbert_shards, op2_language_mixture, op3_warc_chunks, op4_debruijn_spans, op5_decontaminate, op6_golay_simhash, op7_induced_suffixes, op8_mix_sources, op9_ball_tree_search, op10_license_index, op11_periodic_runs, op13_merkle_manifest)
+    for f in (op1_hilbert_shards, op2_language_mixture, op3_warc_chunks, op4_debruijn_spans, op5_decontaminate, op6_golay_simhash, op7_induced_suffixes, op8_mix_sources, op9_ball_tree_search, op10_license_index, op11_periodic_runs, op12_sentence_pieces, op13_merkle_manifest)
 }
 ORACLE_SQL: dict[str, str] = {
     "op4_debruijn_spans": OP4_SQL,
