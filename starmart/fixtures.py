@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from . import config, storage
 from .schemas import PEOPLE_COLUMNS
 from .session import scratch_root
+from .sources import avro
 
 WORK_LOCATIONS = PEOPLE_COLUMNS["work_location"].dataType
 
@@ -260,9 +261,9 @@ def landing_root(spark: SparkSession, sf_dir: str) -> str:
     return f"{scratch_root(spark)}/landing-v{FIXTURE_VERSION}-{tag}"
 
 
-def people_snapshot_tree(spark: SparkSession, sf_dir: str) -> str:
-    """Write the Model snapshot runs (a, b) as year/month/day/hour/etlid Parquet."""
-    root = landing_root(spark, sf_dir) + "/people"
+def people_snapshot_tree(spark: SparkSession, sf_dir: str, fmt: str = "parquet") -> str:
+    """Write the Model snapshot runs (a, b) as year/month/day/hour/etlid Parquet or Avro."""
+    root = landing_root(spark, sf_dir) + ("/people" if fmt == "parquet" else f"/people-{fmt}")
     if storage.exists(spark, f"{root}.complete/_SUCCESS"):
         return root
     runs = F.array(F.struct(F.lit("a").alias("tag"), F.lit(6).alias("hour")),
@@ -278,6 +279,12 @@ def people_snapshot_tree(spark: SparkSession, sf_dir: str) -> str:
     )
     # One run is one day's whole snapshot; the rebalance splits runs of any size
     # into tasks of the advised size and joins small ones.
-    p.hint("rebalance", *config.PARTITION_KEYS).write.mode("overwrite").partitionBy(*config.PARTITION_KEYS).parquet(root)
+    dealt = p.hint("rebalance", *config.PARTITION_KEYS)
+    if fmt == "avro":
+        storage.remove(spark, root)  # of a run that died
+        grouped = dealt.sortWithinPartitions(*config.PARTITION_KEYS).write.format(avro.register(spark))
+        grouped.option("partitionBy", ",".join(config.PARTITION_KEYS)).mode("append").save(root)
+    else:
+        dealt.write.mode("overwrite").partitionBy(*config.PARTITION_KEYS).parquet(root)
     spark.range(1).write.mode("overwrite").parquet(f"{root}.complete")
     return root

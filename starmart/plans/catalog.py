@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import config, fixtures
+from ..functions.nested import first_location_country, last_manager_email
 from ..functions.people import age, age_band, on_day
 from ..operators import dimensions as D
 from ..operators import extractors as X
@@ -83,9 +84,9 @@ def _warehouse(spark: SparkSession) -> ParquetWarehouse:
     return ParquetWarehouse(spark, new_scratch_dir(spark, "warehouse"))
 
 
-def _loaded(spark: SparkSession, sf: str, since: str | None = None, compat: bool = False) -> DataFrame:
-    root = fixtures.people_snapshot_tree(spark, sf)
-    return load_snapshots(spark, root, fixtures.people_runs(spark, sf), since=since, compat=compat)
+def _loaded(spark: SparkSession, sf: str, since: str | None = None, compat: bool = False, fmt: str = "parquet") -> DataFrame:
+    root = fixtures.people_snapshot_tree(spark, sf, fmt)
+    return load_snapshots(spark, root, fixtures.people_runs(spark, sf), since=since, fmt=fmt, compat=compat)
 
 
 # ---------------------------------------------------------------------------
@@ -137,6 +138,17 @@ def load_all(spark, sf):
     return _load_cols(_loaded(spark, sf))
 
 
+def load_all_avro(spark, sf):
+    """The full load from an Avro tree."""
+    return _load_cols(_loaded(spark, sf, fmt="avro"))
+
+
+def load_missing_avro(spark, sf):
+    """People of the days after the watermark from an Avro tree, with nested fields and dates."""
+    p = _loaded(spark, sf, since=WATERMARK_PATH, fmt="avro")
+    return p.select(_emp(), "gender", "date_of_birth", "is_active", first_location_country().alias("location_country"), last_manager_email().alias("manager_email"), *config.PARTITION_KEYS)
+
+
 def load_missing(spark, sf):
     return _load_cols(_loaded(spark, sf, since=WATERMARK_PATH))
 
@@ -421,6 +433,8 @@ def queries() -> dict[str, Query]:
         "history_latest_run_compat": history_latest_run_compat,
         "win_first_value": win_first_value,
         "load_all": load_all,
+        "load_all_avro": load_all_avro,
+        "load_missing_avro": load_missing_avro,
         "load_missing": load_missing,
         "load_missing_day_last": load_missing_day_last,
         "load_missing_compat": load_missing_compat,
@@ -595,6 +609,10 @@ def oracle_sql() -> dict[str, str]:
         + O.path_parts(f"({O.successful('event_history')})")
         + ") WINDOW w AS (PARTITION BY year, month, day ORDER BY hour DESC NULLS LAST, start DESC NULLS LAST)",
         "load_all": _load_sql(),
+        "load_all_avro": _load_sql(),
+        "load_missing_avro": _w(O.PEOPLE, O.PEOPLE_RUNS, O.loaded_people(False, WATERMARK))
+        + "SELECT employee_number, gender, date_of_birth, is_active, location_country, "
+        + "manager_email, year, month, day, hour, etlid FROM loaded",
         "load_missing": _load_sql(since=WATERMARK),
         "load_missing_day_last": _load_sql(since=DAY_LAST),
         "load_missing_compat": _load_sql(compat=True, since=WATERMARK),

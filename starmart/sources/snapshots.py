@@ -10,7 +10,8 @@ and a broadcast join on partition columns prunes partitions dynamically.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import json
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +23,7 @@ from ..operators.history import after_day, latest_runs, run_keys, successful_run
 from .. import storage
 from ..schemas import PEOPLE_SNAPSHOT
 from ..session import materialize
+from . import avro
 
 
 def read_run_history(warehouse, table: str = config.HISTORY_TABLE, options: Mapping[str, str] | None = None) -> DataFrame:
@@ -33,19 +35,36 @@ def read_run_history(warehouse, table: str = config.HISTORY_TABLE, options: Mapp
     return warehouse.read(table, options=options)
 
 
-def day_folders(spark: SparkSession, root: str, after: tuple[str, str, str]) -> list[str]:
-    """Folders of the days after (year, month, day), listing only the years and months they lie in."""
-    limit = tuple(int(x) for x in after)
-    level: list[tuple[tuple[int, ...], str]] = [((), root.rstrip("/"))]
-    for part in config.DAY_PARTS:
+def tree_folders(spark: SparkSession, root: str, parts: tuple[str, ...], wanted: Callable[[tuple], bool]) -> list[tuple[tuple, str]]:
+    """(values, folder) below ``root`` for folders ``part=value`` of all ``parts``; ``wanted`` takes or leaves the values so far.
+
+    Numbers compare as numbers, however they are padded; only wanted folders are listed.
+    """
+    level: list[tuple[tuple, str]] = [((), root.rstrip("/"))]
+    for part in parts:
         below = []
         for key, folder in level:
             for name in storage.children(spark, folder):
                 label, _, value = name.partition("=")
-                if label == part and value.isdigit() and (*key, int(value)) >= limit[: len(key) + 1]:
-                    below.append(((*key, int(value)), f"{folder}/{name}"))
+                found = (*key, int(value) if value.isdigit() else value)
+                if label == part and wanted(found):
+                    below.append((found, f"{folder}/{name}"))
         level = below
-    return [folder for key, folder in level if key > limit]
+    return level
+
+
+def day_folders(spark: SparkSession, root: str, after: tuple[str, str, str]) -> list[str]:
+    """Folders of the days after (year, month, day), listing only the years and months they lie in."""
+    limit = tuple(int(x) for x in after)
+    days = tree_folders(spark, root, config.DAY_PARTS, lambda key: isinstance(key[-1], int) and key >= limit[: len(key)])
+    return [folder for key, folder in days if key > limit]
+
+
+def run_folders(spark: SparkSession, root: str, runs: DataFrame) -> list[str]:
+    """Folders of chosen runs (about one a calendar day reach the driver)."""
+    keys = {tuple(r) for r in runs.select(*config.PARTITION_KEYS).collect()}
+    prefixes = {k[:n] for k in keys for n in range(1, len(k) + 1)}
+    return [folder for _, folder in tree_folders(spark, root, config.PARTITION_KEYS, prefixes.__contains__)]
 
 
 def scan_snapshots(
@@ -56,9 +75,15 @@ def scan_snapshots(
     options: Mapping[str, str] | None = None,
     folders: list[str] | None = None,
 ) -> DataFrame:
-    """Directory-partitioned tree with an imposed schema; ``folders`` limits it to parts of the tree."""
+    """Directory-partitioned tree with an imposed schema; ``folders`` limits it to parts of the tree.
+
+    ``fmt`` is a format of Spark, or "avro" for the container files of :mod:`.avro`.
+    """
     if folders is not None and not folders:
         return spark.createDataFrame([], schema)
+    if fmt == "avro":
+        source = spark.read.format(avro.register(spark)).schema(schema).options(**dict(options or {}), basePath=root)
+        return source.load(root) if folders is None else source.option("folders", json.dumps(folders)).load(root)
     reader = spark.read.schema(schema).format(fmt).options(**dict(options or {}))
     return reader.load(root) if folders is None else reader.option("basePath", root).load(folders)
 
@@ -96,7 +121,10 @@ def load_snapshots(
     """Snapshot rows of the chosen runs, with the partition columns and nothing from history."""
     keys = chosen_runs(history, data_source, etl, since, compat)
     folders = day_folders(spark, root, parse_watermark(since)) if since is not None and not compat else None
+    runs = materialize(keys, "chosen-runs")
+    if fmt == "avro":  # a source outside Spark's own isn't pruned by a join, so its folders are chosen here
+        folders = run_folders(spark, root, runs)
     snap = scan_snapshots(spark, root, schema, fmt, options, folders)
     # Spark prunes partitions by a join's small side only if a comparison filters that side.
-    runs = materialize(keys, "chosen-runs").where(F.col("hour") >= 0)
+    runs = runs.where(F.col("hour") >= 0)
     return snap.join(runs, list(config.PARTITION_KEYS))
