@@ -19,11 +19,12 @@ import codecs
 import heapq
 import re
 import struct
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,8 +32,9 @@ from pyspark.sql import types as T
 from .common import free_names
 
 MODEL_BYTES = 64 << 20  # a larger model is refused
-SLICE_CHARS = 1 << 20  # characters of the texts taken together
-KEPT_PARTS = 1 << 19  # parts whose pieces are kept
+SLICE_CHARS = 1 << 19  # characters of the texts taken together
+SLICE_IDS = 1 << 17  # ids of the texts decoded together
+KEPT_PARTS = 1 << 18  # parts whose pieces are kept
 KEPT_CHARS = 64  # longer parts are not kept
 HEAP_CHARS = 48  # longer parts are merged with a heap
 SPACE = "▁"
@@ -139,6 +141,7 @@ class Model:
         self.spaced = [t == NORMAL and p.startswith(SPACE) for p, _, t in self.pieces]
         self.marks = {i for i, (*_, t) in enumerate(self.pieces) if t in (UNKNOWN, CONTROL)}
         self.part = self.cut()
+        self.prepare()
         self.forget()
 
     def cut(self) -> re.Pattern:
@@ -164,11 +167,32 @@ class Model:
             return re.compile(f"{runs}|.", re.S)
         return re.compile(f"{SPACE}*(?:{runs})|{SPACE}+|." if runs else f"{SPACE}+|.", re.S)
 
+    def prepare(self) -> None:
+        """Tables for merging many parts at once: a number for each symbol, and for each two that join their piece and its rank."""
+        symbols = {p: i for p, i in self.ids.items()}
+        for c in sorted({c for p in self.ids for c in p} - symbols.keys()):
+            symbols[c] = len(self.pieces) + len(symbols)
+        self.of_char = np.full(0x110000, -1, np.int32)
+        for c, i in symbols.items():
+            if len(c) == 1:
+                self.of_char[ord(c)] = i
+        self.wide = max(symbols.values(), default=0) + 2
+        pairs = [(symbols[p[:k]], symbols[p[k:]], self.rank[p], i) for p, i in self.ids.items() for k in range(1, len(p)) if p[:k] in symbols and p[k:] in symbols]
+        left, right, rank, piece = np.array(pairs, np.int64).reshape(-1, 4).T
+        keys = (left + 1) * self.wide + right + 1
+        order = np.argsort(keys)
+        self.none = len(self.rank)
+        self.pairs = np.append(keys[order], -1)
+        self.pair_rank, self.pair_piece = np.append(rank[order], self.none).astype(np.int32), np.append(piece[order], -1).astype(np.int32)
+        bounds = np.cumsum([0, *map(len, self.surface)])
+        self.surface_at, self.surface_size = bounds[:-1], np.diff(bounds)
+        self.surface_bytes = np.frombuffer(b"".join(self.surface), np.uint8)
+        self.is_spaced, self.is_mark = np.array(self.spaced, bool), np.isin(np.arange(len(self.pieces)), list(self.marks))
+
     def forget(self) -> None:
         """Start the table of parts anew."""
         self.known: dict[str, int] = {}
-        self.first, self.many = np.zeros(1024, np.int64), np.zeros(1024, np.int32)
-        self.flat, self.sizes, self.used = np.zeros(4096, np.int32), np.zeros(4096, np.int32), 0
+        self.many, self.flat, self.sizes = (Growing() for _ in range(3))
 
     def normalised(self, text: str) -> tuple[str, np.ndarray]:
         """The normalised text and, for each of its characters and its end, the byte of ``text`` it comes from."""
@@ -272,65 +296,118 @@ class Model:
                 sizes += [0] * (len(raw) - 1) + [1]
         return ids, sizes
 
-    def add(self, part: str) -> int:
-        """The number under which a new part's pieces are stored."""
-        ids, sizes = self.pieces_of(part)
-        k = len(self.known)
-        if k == len(self.first):
-            self.first, self.many = (np.concatenate([x, np.zeros_like(x)]) for x in (self.first, self.many))
-        while self.used + len(ids) > len(self.flat):
-            self.flat, self.sizes = (np.concatenate([x, np.zeros_like(x)]) for x in (self.flat, self.sizes))
-        self.first[k], self.many[k] = self.used, len(ids)
-        self.flat[self.used : self.used + len(ids)] = ids
-        self.sizes[self.used : self.used + len(ids)] = sizes
-        self.used += len(ids)
-        self.known[part] = k
-        return k
-
-    def encode(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Ids of a text's pieces, and where each begins and ends among its UTF-8 bytes."""
-        norm, source = self.normalised(text)
-        parts = self.part.findall(norm)
+    def joined(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rank and piece of each two symbols."""
+        keys = (left.astype(np.int64) + 1) * self.wide + right + 1
+        at = np.searchsorted(self.pairs[:-1], keys)
+        at[self.pairs[at] != keys] = -1
+        return self.pair_rank[at], self.pair_piece[at]
+
+    def merged_many(self, symbols: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``merged`` for a row of symbols each, the first ``lengths`` of them: symbols left, characters of each, and how many."""
+        rows, wide = symbols.shape
+        chars = (np.arange(wide) < lengths[:, None]).astype(np.int32)
+        out = symbols.copy(), chars.copy(), lengths.copy()
+        live, column = np.arange(rows), np.arange(wide)
+        rank, piece = self.joined(symbols[:, :-1], symbols[:, 1:])
+        while len(live):
+            best = rank.min(1, initial=self.none)
+            done = best == self.none
+            if done.any():
+                for whole, part in zip(out, (symbols, chars, lengths), strict=True):
+                    whole[live[done]] = part[done]
+                live, symbols, chars, lengths, rank, piece = (x[~done] for x in (live, symbols, chars, lengths, rank, piece))
+                if not len(live):
+                    break
+            at, row = rank.argmin(1), np.arange(len(live))
+            symbols[row, at] = piece[row, at]
+            chars[row, at] += chars[row, at + 1]
+            rest = np.minimum(column + (column > at[:, None]), wide - 1)
+            symbols, chars = np.take_along_axis(symbols, rest, 1), np.take_along_axis(chars, rest, 1)
+            symbols[:, -1], chars[:, -1] = -1, 0
+            rest = np.minimum(column[:-1] + (column[:-1] >= at[:, None]), wide - 2)
+            rank, piece = np.take_along_axis(rank, rest, 1), np.take_along_axis(piece, rest, 1)
+            rank[:, -1] = self.none
+            for side in (at - 1, at):
+                use = np.flatnonzero((side >= 0) & (side < wide - 1))
+                k = side[use]
+                rank[use, k], piece[use, k] = self.joined(symbols[use, k], symbols[use, k + 1])
+            lengths = lengths - 1
+        return out
+
+    def learn(self, parts: list[str]) -> None:
+        """Store the pieces of new parts of at most ``KEPT_CHARS`` characters."""
+        sizes = np.fromiter(map(len, parts), np.int64, len(parts))
+        begins = np.cumsum(sizes) - sizes
+        chars = self.of_char[np.frombuffer("".join(parts).encode("utf-32-le"), np.uint32)]
+        low = 1
+        for wide in (8, 12, 20, KEPT_CHARS + 1):
+            rows = np.flatnonzero((sizes >= low) & (sizes < wide))
+            low = wide
+            if not len(rows):
+                continue
+            column = np.arange(wide)
+            inside = column < sizes[rows][:, None]
+            symbols = np.where(inside, chars[np.where(inside, begins[rows][:, None] + column, 0)], -1)
+            symbols, counts, left = self.merged_many(symbols, sizes[rows])
+            inside = column < left[:, None]
+            strange = (inside & ((symbols < 0) | (symbols >= len(self.pieces)))).any(1)
+            for r in rows[strange].tolist():
+                ids, n = self.pieces_of(parts[r])
+                self.keep([parts[r]], np.array([len(ids)]), np.array(ids), np.array(n))
+            inside &= ~strange[:, None]
+            self.keep([parts[r] for r in rows[~strange].tolist()], left[~strange], symbols[inside], counts[inside])
+
+    def keep(self, parts: list[str], many: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> None:
+        self.known.update(zip(parts, range(len(self.known), len(self.known) + len(parts)), strict=True))
+        self.many.add(many)
+        self.flat.add(ids)
+        self.sizes.add(sizes)
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Pieces of each text; of all of them the ids, and where each begins and ends among its text's UTF-8 bytes."""
+        parts: list[str] = []
+        sources, counts = [], []
+        for text in texts:
+            norm, source = self.normalised(text)
+            found = self.part.findall(norm)
+            parts += found
+            counts.append(len(found))
+            sources.append(source)
         if len(self.known) > KEPT_PARTS:
             self.forget()
         numbers = list(map(self.known.get, parts))
+        long: dict[int, str] = {}
         if None in numbers:
             new = [i for i, k in enumerate(numbers) if k is None]
-            if any(len(parts[i]) > KEPT_CHARS for i in new):
-                return self.encode_long(parts, source)
+            self.learn(list({parts[i]: None for i in new if len(parts[i]) <= KEPT_CHARS}))
             for i in new:
-                k = self.known.get(parts[i])
-                numbers[i] = self.add(parts[i]) if k is None else k
+                numbers[i] = self.known.get(parts[i], -1)
+                if numbers[i] < 0:
+                    long[i] = parts[i]
         k = np.array(numbers, np.int64)
-        many = self.many[k]
+        of_part = self.many.held()
+        first = np.cumsum(of_part) - of_part
+        many = np.where(k >= 0, of_part[k], 0) if len(of_part) else np.zeros(len(k), np.int64)
         ends = np.cumsum(many)
-        at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.first[k] - (ends - many), many)
-        return self.flat[at], *self.spans(self.sizes[at], source)
-
-    def encode_long(self, parts: list[str], source: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """``encode`` where a part is too long to be kept."""
-        ids, sizes = [], []
-        for p in parts:
-            k = self.known.get(p)
-            if k is None and len(p) <= KEPT_CHARS:
-                k = self.add(p)
-            if k is None:
-                new = self.pieces_of(p)
-            else:
-                new = (x[self.first[k] : self.first[k] + self.many[k]] for x in (self.flat, self.sizes))
-            for out, x in zip((ids, sizes), new, strict=True):
-                out.append(np.asarray(x, np.int32))
-        return np.concatenate(ids), *self.spans(np.concatenate(sizes), source)
-
-    @staticmethod
-    def spans(sizes: np.ndarray, source: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        ends = np.cumsum(sizes)
-        return source[ends - sizes].astype(np.int32), source[ends].astype(np.int32)
+        at = np.arange(ends[-1] if len(ends) else 0) + np.repeat((first[k] if len(first) else k) - (ends - many), many)
+        ids, sizes = self.flat.held()[at], self.sizes.held()[at]
+        for i in reversed(long):  # parts too long to be kept go in where they stand
+            new_ids, new_sizes = self.pieces_of(long[i])
+            place = ends[i]
+            ids, sizes = (np.concatenate([x[:place], y, x[place:]]) for x, y in ((ids, new_ids), (sizes, new_sizes)))
+            many[i] = len(new_ids)
+        text_of = np.repeat(np.arange(len(texts)), counts)
+        n = np.bincount(text_of, many, len(texts)).astype(np.int64)
+        # a text's sources are one more than its characters
+        source = np.concatenate(sources) if sources else np.zeros(0, np.int64)
+        stop = np.cumsum(sizes) + np.repeat(np.arange(len(texts)), n)
+        return n, ids, source[stop - sizes], source[stop]
 
     def decode(self, ids: list[int]) -> bytes:
         """UTF-8 of the text that pieces stand for; the space before the first goes (all first pieces of one space, where the model writes fewer spaces), bytes that make no character are replaced one by one."""
         runs, at = [], 0
-        for i in () if self.marks.isdisjoint(ids) else [k for k, x in enumerate(ids) if x in self.marks]:
+        for i in [k for k, x in enumerate(ids) if x in self.marks]:
             runs += [ids[at:i], ids[i : i + 1]]
             at = i + 1
         runs.append(ids[at:])
@@ -342,6 +419,38 @@ class Model:
                 break
         return out[spaces:]
 
+    def decode_many(self, ids: np.ndarray, counts: np.ndarray) -> list[bytes]:
+        """``decode`` for texts of ``counts`` ids each."""
+        sizes = self.surface_size[ids]
+        ends = np.cumsum(sizes)
+        raw = self.surface_bytes[np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.surface_at[ids] - (ends - sizes), sizes)].tobytes()
+        bounds, last = np.append(0, ends), np.cumsum(counts)
+        marks = np.append(0, np.cumsum(self.is_mark[ids]))
+        out = []
+        for a, b in zip((last - counts).tolist(), last.tolist(), strict=True):
+            if self.fewer or marks[a] != marks[b]:
+                out.append(self.decode(ids[a:b].tolist()))
+            else:
+                skip = int(b > a and self.prefix and self.is_spaced[ids[a]])
+                out.append(shown(raw[bounds[a] + skip : bounds[b]]))
+        return out
+
+
+class Growing:
+    """Numbers that are added to; doubles its room."""
+
+    def __init__(self):
+        self.room, self.used = np.zeros(1024, np.int32), 0
+
+    def add(self, numbers: np.ndarray) -> None:
+        while self.used + len(numbers) > len(self.room):
+            self.room = np.concatenate([self.room, np.zeros_like(self.room)])
+        self.room[self.used : self.used + len(numbers)] = numbers
+        self.used += len(numbers)
+
+    def held(self) -> np.ndarray:
+        return self.room[: self.used]
+
 
 @lru_cache(maxsize=2)
 def load(raw: bytes) -> Model:
@@ -350,7 +459,6 @@ def load(raw: bytes) -> Model:
 
 INTS = T.ArrayType(T.IntegerType())
 ENCODED_TYPE = T.StructType().add("ids", INTS).add("starts", INTS).add("ends", INTS)
-ENCODED = pa.struct([(f.name, pa.list_(pa.int32())) for f in ENCODED_TYPE.fields])
 
 
 def shared_model(docs: DataFrame, path: str):
@@ -363,39 +471,43 @@ def shared_model(docs: DataFrame, path: str):
     return docs.sparkSession.sparkContext.broadcast(raw)
 
 
-def encode(docs: DataFrame, model: str, text_col: str = "text", out: str = "pieces") -> DataFrame:
-    """All columns of ``docs`` and a struct ``out`` of equally long arrays: ids, starts, ends.
+def encode(docs: DataFrame, model: str, text_col: str = "text", out: str = "pieces", keep: Sequence[str] | None = None) -> DataFrame:
+    """The columns ``keep`` of ``docs`` (all without it) and a struct ``out`` of equally long arrays: ids, starts, ends.
 
     ``starts`` and ``ends`` bound each piece's bytes in the original text. A character's byte pieces have no bytes but the
     last, which has all of it; so do the pieces of what the character map puts in place of one key: the last ends where
     the next key begins. Null and empty texts have no pieces. Texts of any
     length are taken whole. Repeated rows and null ids each keep their row; other columns stay as they are, and ``out``
-    gets underscores if it is taken. An empty table gives no rows.
+    gets underscores if it is taken. An empty table gives no rows. Results leave a task in batches of about ``SLICE_CHARS``.
     """
     shared = shared_model(docs, model)
+    kept = list(docs.columns if keep is None else keep)
+    text, name = free_names(kept, "_text", out)[0], free_names(docs, out)[0]
+    rows = docs.select(*kept, F.coalesce(F.col(text_col), F.lit("")).alias(text))
+    schema = T.StructType([*rows.schema.fields[:-1], T.StructField(name, ENCODED_TYPE)])
 
-    @F.arrow_udf(ENCODED_TYPE)
-    def pieces(texts: pa.Array) -> pa.Array:
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = load(shared.value)
-        slices, held, chars = [], [], 0
+        for batch in batches:
+            held, chars, first = [], 0, 0
+            texts = batch.column(len(kept)).cast(pa.large_binary())
+            for i, raw in enumerate(texts):
+                text = raw.as_py().decode("utf-8", "starmart-bytewise")
+                held.append(text)
+                chars += len(text)
+                if chars >= SLICE_CHARS or i + 1 == len(texts):
+                    part = batch.slice(first, i + 1 - first)
+                    yield pa.RecordBatch.from_arrays([*part.columns[:-1], structs(*found.encode(held))], names=schema.names)
+                    held, chars, first = [], 0, i + 1
 
-        def packed() -> pa.Array:
-            offsets = pa.array(np.concatenate([[0], np.cumsum([len(h[0]) for h in held])]), pa.int32())
-            lists = [pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([h[c] for h in held]), pa.int32())) for c in range(3)]
-            return pa.StructArray.from_arrays(lists, fields=list(ENCODED))
+    return rows.mapInArrow(pieces, schema)
 
-        for raw in texts.cast(pa.large_binary()):
-            text = (raw.as_py() or b"").decode("utf-8", "starmart-bytewise")
-            held.append(found.encode(text))
-            chars += len(text)
-            if chars >= SLICE_CHARS:
-                slices.append(packed())
-                held, chars = [], 0
-        if held:
-            slices.append(packed())
-        return pa.concat_arrays(slices) if slices else pa.array([], ENCODED)
 
-    return docs.withColumn(free_names(docs, out)[0], pieces(F.coalesce(F.col(text_col), F.lit(""))))
+def structs(counts: np.ndarray, *columns: np.ndarray) -> pa.Array:
+    """Lists of ``counts`` numbers of each column, as one column."""
+    offsets = pa.array(np.append(0, np.cumsum(counts)), pa.int32())
+    lists = [pa.ListArray.from_arrays(offsets, pa.array(c.astype(np.int32))) for c in columns]
+    return pa.StructArray.from_arrays(lists, names=ENCODED_TYPE.names)
 
 
 def decode(docs: DataFrame, model: str, ids_col: str = "ids", out: str = "decoded") -> DataFrame:
@@ -405,6 +517,13 @@ def decode(docs: DataFrame, model: str, ids_col: str = "ids", out: str = "decode
     @F.arrow_udf(T.StringType())
     def text(ids: pa.Array) -> pa.Array:
         found = load(shared.value)
-        return pa.array([None if x is None else found.decode(x) for x in (v.as_py() if v.values is None else v.values.to_numpy().tolist() for v in ids)], pa.binary()).view(pa.string())
+        counts = pc.fill_null(pc.list_value_length(ids), 0).to_numpy()
+        flat, ends = ids.flatten().to_numpy(), np.append(0, np.cumsum(counts, dtype=np.int64))
+        texts: list[bytes] = []
+        while len(texts) < len(counts):  # slices of about SLICE_IDS, and at least one text
+            first = len(texts)
+            last = max(first + 1, int(np.searchsorted(ends, ends[first] + SLICE_IDS, "right")) - 1)
+            texts += found.decode_many(flat[ends[first] : ends[last]], counts[first:last])
+        return pa.array(texts, pa.binary(), mask=ids.is_null().to_numpy(False)).view(pa.string())
 
     return docs.withColumn(free_names(docs, out)[0], text(F.col(ids_col)))

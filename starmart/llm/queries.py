@@ -127,15 +127,17 @@ def op12_sentence_pieces(spark: SparkSession, sf_dir: str, model: str | None = N
         import public_tokenizers
 
         model = public_tokenizers.path("piece_bpe_32k.model")
-    found = pieces.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), model).select("doc_id", "pieces.*")
+    found = pieces.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), model, keep=["doc_id"]).select("doc_id", "pieces.*")
     n = F.size("ids").cast("long")
-    return pieces.decode(found, model).select(
+    counted = found.select(
         "doc_id",
         n.alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
-        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
         F.when(n > 0, F.get("ends", n.cast("int") - 1) - F.get("starts", F.lit(0))).otherwise(0).cast("long").alias("span_bytes"),
+        "ids",
     )
+    decoded = F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256")
+    return pieces.decode(counted, model).select("doc_id", "n_tokens", "ids_sha256", decoded, "span_bytes")
 
 
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:

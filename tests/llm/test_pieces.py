@@ -3,6 +3,7 @@
 import hashlib
 import random
 
+import numpy as np
 import pytest
 
 from starmart.llm import pieces, queries
@@ -45,12 +46,16 @@ def with_normaliser(raw, name, **flags):
 def compare(model, texts):
     sp = library.SentencePieceProcessor(model_proto=model)
     ours = pieces.Model(model)
-    for t in texts:
-        proto = sp.encode(t, return_type="proto")
-        ids, starts, ends = ours.encode(t)
-        assert ids.tolist() == [p.id for p in proto.pieces], repr(t)
-        assert list(zip(starts.tolist(), ends.tolist(), strict=True)) == [(p.begin, p.end) for p in proto.pieces], repr(t)
-        assert ours.decode(ids.tolist()).decode() == sp.decode(ids.tolist())
+    for part in ([t] for t in texts), [texts], [texts[::-1], []]:
+        for group in part:
+            counts, ids, starts, ends = ours.encode(group)
+            decoded = ours.decode_many(ids, counts)
+            assert len(counts) == len(group) and counts.sum() == len(ids) == len(starts) == len(ends)
+            for k, (t, n, last) in enumerate(zip(group, counts, counts.cumsum(), strict=True)):
+                proto = sp.encode(t, return_type="proto")
+                assert ids[last - n : last].tolist() == [p.id for p in proto.pieces], repr(t)
+                assert list(zip(starts[last - n : last].tolist(), ends[last - n : last].tolist(), strict=True)) == [(p.begin, p.end) for p in proto.pieces], repr(t)
+                assert decoded[k].decode() == ours.decode(ids[last - n : last].tolist()).decode() == sp.decode(ids[last - n : last].tolist())
 
 
 def raw_model():
@@ -80,7 +85,7 @@ def test_decoding_any_ids():
     sp, ours, rng = library.SentencePieceProcessor(model_file=PATH), pieces.Model(raw_model()), random.Random(4)
     for _ in range(3000):
         ids = [rng.choice([0, 1, 2, rng.randint(3, 258), rng.randint(100, 258), 259, rng.randint(259, 31999)]) for _ in range(rng.randint(0, 8))]
-        assert ours.decode(ids).decode() == sp.decode(ids)
+        assert ours.decode(ids).decode() == ours.decode_many(np.array(ids, np.int64), np.array([len(ids)]))[0].decode() == sp.decode(ids)
 
 
 def test_other_models_are_refused():
@@ -92,6 +97,7 @@ def test_other_models_are_refused():
 
 def test_odd_rows_and_clashing_names(spark, monkeypatch):
     monkeypatch.setattr(pieces, "SLICE_CHARS", 100)
+    monkeypatch.setattr(pieces, "SLICE_IDS", 50)
     texts = [None, *ODD, "w é " * 30000, *ODD[2:4]]
     df = spark.createDataFrame([(i if i % 4 else None, t, "mine", [5]) for i, t in enumerate(texts)], "doc_id long, text string, pieces string, ids array<int>")
     sp = library.SentencePieceProcessor(model_file=PATH)
