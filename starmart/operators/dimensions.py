@@ -20,7 +20,6 @@ from .. import config
 from ..functions.keys import fold, null_safe_match
 from . import extractors as X
 from .lookups import broadcast_checked, lookup
-from ..session import materialize
 from .surrogate import assign_keys
 
 
@@ -43,17 +42,17 @@ class DimensionSpec:
             return self.schema
         return T.StructType([T.StructField(self.key, T.IntegerType())] + [T.StructField(a, T.StringType()) for a in self.attrs])
 
-    def lookup_step(self, dim: DataFrame, folded: bool = True, rows: int | None = None) -> tuple:
+    def lookup_step(self, dim: DataFrame, folded: bool = True, rows: int | None = None, unique: bool = False) -> tuple:
         """This lookup as a step for :func:`lookups.lookup_many` (name dimensions only)."""
         cols = self.people_cols() if self.people_cols else []
-        return (dim, self.key, cols, self.attrs, folded, rows)
+        return (dim, self.key, cols, self.attrs, folded, rows, unique)
 
-    def lookup(self, people: DataFrame, dim: DataFrame, folded: bool = True, rows: int | None = None) -> DataFrame:
-        """Add this dimension's key; ``rows`` (if known) spares the size check."""
+    def lookup(self, people: DataFrame, dim: DataFrame, folded: bool = True, rows: int | None = None, unique: bool = False) -> DataFrame:
+        """Add this dimension's key; ``rows`` (if known) spares the size check, ``unique`` the search for several spellings."""
         if self.kind == "day":
             return lookup_day(people, dim, rows)
         cols = self.people_cols() if self.people_cols else []
-        return lookup(people, dim, self.key, cols, self.attrs, folded=folded, rows=rows)
+        return lookup(people, dim, self.key, cols, self.attrs, folded=folded, rows=rows, unique=unique)
 
 
 def _regular(name: str, key: str, ex: X.Extractor) -> DimensionSpec:
@@ -201,11 +200,10 @@ def build_dimensions(
 ) -> tuple[dict[str, DataFrame], dict[str, int]]:
     """Dimensions as first merges build them from ``people``, and their row counts.
 
-    The keyed members are materialized once: they are small, reused by every
-    lookup, and must not be recomputed from the people frame.
+    The keyed members are read from the file that the key assignment wrote.
     """
     new = dimension_members(people, specs, folded=not compat)
-    keyed = materialize(key_members(new, None), "dimensions")
+    keyed = key_members(new, None)
     counts = member_counts(keyed)
     return {spec.name: from_long(keyed, spec) for spec in specs}, {s.name: counts.get(s.name, 0) for s in specs}
 

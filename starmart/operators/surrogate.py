@@ -47,7 +47,9 @@ def assign_keys(
     below = Window.partitionBy(*groups).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_range", *groups, (F.coalesce(F.sum("_n").over(below), F.lit(0)) - F.col("_first")).alias("_offset"))
 
-    keyed = stored.join(F.broadcast(offsets), ["_range", *groups])  # <= n x groups rows
+    # at most n x groups rows; once counted, reading the keys needs no shuffle
+    counted = spark.createDataFrame(offsets.collect(), offsets.schema)
+    keyed = stored.join(F.broadcast(counted), ["_range", *groups])
     base: Column = F.col(start) if isinstance(start, str) else F.lit(start)
     return keyed.select(
         (base + F.col("_offset") + F.col("_pos") + 1).cast("int").alias(key),

@@ -265,7 +265,7 @@ def _lookup(spec: D.DimensionSpec, folded: bool = True) -> Query:
     def run(spark, sf):
         people = _derived(spark, sf)
         dims, sizes = _dims(_people(spark, sf), sf, (spec,))
-        out = spec.lookup(people, dims[spec.name], folded=folded, rows=sizes[spec.name])
+        out = spec.lookup(people, dims[spec.name], folded=folded, rows=sizes[spec.name], unique=True)
         extra = ["ExactDate"] if spec.kind == "day" else []
         return out.select(_emp(), spec.key, *extra)
 
@@ -288,22 +288,23 @@ def agg_rule(spark, sf):
 def fact1_headcount(spark, sf):
     people = _people(spark, sf)
     dims, sizes = _dims(people, sf)
-    return FT.fact_frame(FT.headcount_fact(AS_OF), people, dims, sizes=sizes)
+    return FT.fact_frame(FT.headcount_fact(AS_OF), people, dims, sizes=sizes, unique=dims)
 
 
 def fact2_org_count(spark, sf):
     people = _people(spark, sf)
     spec = FT.organization_fact()
     dims, sizes = _dims(people, sf, spec.lookups)
-    return FT.fact_frame(spec, people, dims, sizes=sizes)
+    return FT.fact_frame(spec, people, dims, sizes=sizes, unique=dims)
 
 
 def employee_detail_query(spark, sf):
     people = _people(spark, sf)
     dims, sizes = _dims(people, sf)
     spec = FT.headcount_fact(AS_OF)
-    latest = FT.latest_day(spec, people, dims, sizes=sizes)
-    return FT.detail_frame(spec, people, dims, latest, sizes=sizes)
+    written = FT.write_counted(_warehouse(spark), FT.fact_frame(spec, people, dims, sizes=sizes, unique=dims), spec.name)
+    latest = FT.latest_of(dims[D.DAY.name], written)
+    return FT.detail_frame(spec, people, dims, latest, sizes=sizes, unique=dims)
 
 
 def _published(spark, sf, runs: int = 1) -> ParquetWarehouse:

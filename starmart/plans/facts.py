@@ -3,8 +3,9 @@
 A fact refresh: merge the regular dimensions (all members gathered in one pass
 over the source) -> read the dimensions -> filter and derive -> look up every
 key -> aggregate -> write the fact and count it -> (headcount only) overwrite
-the employee detail with the latest day's people. Nothing is cached; every pass
-reads only the columns it needs.
+the employee detail with the latest day's people. The fact's days, the days it
+leaves empty and the detail become visible together. Nothing is cached; every pass
+reads only the columns it needs, and a publish reads its source once.
 """
 
 from __future__ import annotations
@@ -12,11 +13,10 @@ from __future__ import annotations
 import datetime as dt
 import functools
 import logging
-from collections.abc import Mapping, Sequence
+from collections.abc import Collection, Mapping, Sequence
 from dataclasses import dataclass
 
-from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import config
@@ -28,7 +28,8 @@ from ..operators.filters import fact_filters
 from ..operators.lookups import lookup_many
 from ..operators.rules import Rule, aggregation, apply_rules
 from ..schemas import EMPLOYEE_DETAIL
-from ..session import materialize
+from ..session import materialize, scratch_scope
+from ..sources.warehouse import Conflict
 
 log = logging.getLogger(__name__)
 
@@ -138,13 +139,17 @@ def lookup_frame(
     dims: Mapping[str, DataFrame],
     folded: bool = True,
     sizes: Mapping[str, int] | None = None,
+    unique: Collection[str] = (),
 ) -> DataFrame:
-    """Filters and derivations, then every lookup (broadcast joins for small dimensions)."""
+    """Filters and derivations, then every lookup (broadcast joins for small dimensions).
+
+    ``unique`` names the dimensions known to have one row a folded value.
+    """
     out = apply_rules(source, spec.transformations)
     sizes = sizes or {}
     names = [d for d in spec.lookups if d.kind != "day"]
     if names:
-        out = lookup_many(out, [d.lookup_step(dims[d.name], folded, sizes.get(d.name)) for d in names])
+        out = lookup_many(out, [d.lookup_step(dims[d.name], folded, sizes.get(d.name), d.name in unique) for d in names])
     for d in spec.lookups:
         if d.kind == "day":
             out = d.lookup(out, dims[d.name], folded, sizes.get(d.name))
@@ -157,8 +162,9 @@ def fact_frame(
     dims: Mapping[str, DataFrame],
     folded: bool = True,
     sizes: Mapping[str, int] | None = None,
+    unique: Collection[str] = (),
 ) -> DataFrame:
-    return spec.aggregate(lookup_frame(spec, source, dims, folded, sizes))
+    return spec.aggregate(lookup_frame(spec, source, dims, folded, sizes, unique))
 
 
 def table_sizes(warehouse, names: Sequence[str]) -> dict[str, int]:
@@ -191,7 +197,7 @@ def ensure_static_dimensions(warehouse, spark: SparkSession, found: Sequence[dt.
     compared by (year, month, day). A table with keys of its own is left alone.
     """
     if not warehouse.exists(D.AGE_GROUP.name):
-        warehouse.write(D.age_group_table(spark), D.AGE_GROUP.name, mode="overwrite")
+        warehouse.write(D.age_group_table(spark), D.AGE_GROUP.name, mode="overwrite", unique=True)
     if not found:
         return
     days = D.day_table(spark, dt.date(found[0].year, 1, 1), dt.date(found[-1].year, 12, 31))
@@ -220,17 +226,33 @@ def merge_with_days(
     """``merge_dimensions``, and the snapshot days met in its pass over the source.
 
     All dimensions go through one member pass, one anti-join against the
-    current tables and one key assignment. The new members are stored before the
-    appends, so no append re-reads the table it grows; the per-dimension counts
-    are taken from that file. Where the store assigns keys itself, the
-    attributes are appended without any.
+    current tables and one key assignment, and their appends become visible
+    together. If another publisher has changed one of the tables meanwhile, the new
+    members are found and numbered again against the newer tables, so that members
+    and keys stay unique.
     """
     if not specs:
         return {}, snapshot_days(source)
-    present = {spec.name: warehouse.exists(spec.name) for spec in specs}
     met = materialize(D.dimension_members(source, specs, folded=not compat, day=snapshot_day()), "members")
     days = met.where(F.col("dim") == D.SNAPSHOT_DAYS).where("a0 IS NOT NULL").select("a0").distinct().collect()
     members = met.where(F.col("dim") != D.SNAPSHOT_DAYS)
+    while True:
+        try:
+            with warehouse.refresh(rely_on=[s.name for s in specs]):
+                counts = append_members(warehouse, members, specs, compat)
+            return counts, sorted(dt.date.fromisoformat(r["a0"]) for r in days)
+        except Conflict as e:
+            log.info("merging again: %s", e)
+
+
+def append_members(warehouse, members: DataFrame, specs: Sequence[D.DimensionSpec], compat: bool) -> dict[str, int]:
+    """Append the members that the tables lack; returns how many per table.
+
+    The new members are stored with their keys before the appends, so no append
+    re-reads the table it grows; the counts are taken from that file. Where the
+    store assigns keys itself, the attributes are appended without any.
+    """
+    present = {spec.name: warehouse.exists(spec.name) for spec in specs}
     if any(present.values()):
         existing = functools.reduce(
             lambda a, b: a.unionByName(b),
@@ -249,8 +271,9 @@ def merge_with_days(
         if n or not present[spec.name]:
             log.info("appending %d members to %s", n, spec.name)
             rows = D.from_long(new, spec)
-            warehouse.write(rows.drop(spec.key) if warehouse.assigns_keys else rows, spec.name, mode="append")
-    return {spec.name: counts.get(spec.name, 0) for spec in specs}, sorted(dt.date.fromisoformat(r["a0"]) for r in days)
+            unique = not compat and (not present[spec.name] or warehouse.unique(spec.name))
+            warehouse.write(rows.drop(spec.key) if warehouse.assigns_keys else rows, spec.name, mode="append", unique=unique)
+    return {spec.name: counts.get(spec.name, 0) for spec in specs}
 
 
 def update_fact(
@@ -261,50 +284,68 @@ def update_fact(
     write_options: Mapping[str, str] | None = None,
     compat: bool = False,
     static_ready: bool = False,
+    people: DataFrame | None = None,
 ) -> int:
     """Refresh one fact from a loaded snapshot frame; returns the fact's row count.
 
     Nothing of the source is cached: each pass reads only the columns it needs
     (the member pass the dimension columns, the fact pass the lookup and
-    measure columns). Rows are counted behind the write's shuffle. Days of the
-    source that a refresh leaves without rows are cleared, so a day's rows are
-    always those of its last run. The detail needs the latest day that survives
+    measure columns). Days of the source that a refresh leaves without rows are
+    cleared, so a day's rows are always those of its last run. Rows and days are
+    those of the stored files. The detail needs the latest day that survives
     the lookups, which is the latest of the days written, so the detail pass reads
-    that day's partitions only.
+    that day's partitions only, from ``people`` if ``source`` lacks its columns. What
+    the refresh stores aside is removed at its end.
+    """
+    spark = source.sparkSession
+    with scratch_scope(spark):
+        _, days = merge_with_days(warehouse, source, spec.merged, compat)
+        if not static_ready:
+            ensure_static_dimensions(warehouse, spark, days)
+        if not days:  # nothing loaded: facts and detail stay as they are
+            if spec.detail:
+                ensure_detail(warehouse, spark)
+            return 0
+        dims = {d.name: warehouse.read(d.name, d.table_schema(), options=read_options) for d in spec.lookups}
+        known = Known(table_sizes(warehouse, [d.name for d in spec.lookups]), {d.name for d in spec.lookups if warehouse.unique(d.name)}, not compat)
+        with warehouse.refresh():
+            again = warehouse.exists(spec.name)
+            fact = fact_frame(spec, source, dims, known.folded, known.sizes, known.unique)
+            written = write_counted(warehouse, fact, spec.name, write_options)
+            if again:
+                clear_empty_days(warehouse, spec.name, days, dims[D.DAY.name], set(written))
+            if spec.detail:
+                latest = latest_of(dims[D.DAY.name], written)
+                overwrite_detail(warehouse, spec, source if people is None else people, dims, known, latest, write_options)
+        return sum(written.values())
+
+
+@dataclass(frozen=True)
+class Known:
+    """What a refresh knows of its dimensions: rows, which have one row a folded value, and whether lookups fold."""
+
+    sizes: Mapping[str, int]
+    unique: Collection[str] = ()
+    folded: bool = True
+
+
+def write_counted(warehouse, fact: DataFrame, name: str, options: Mapping[str, str] | None = None) -> dict[int, int]:
+    """Write a fact; returns the rows of each day, counted from stored files.
+
+    A store that keeps no files of its own gets the fact from a file written aside, and the counts are that file's.
     """
-    _, days = merge_with_days(warehouse, source, spec.merged, compat)
-    if not static_ready:
-        ensure_static_dimensions(warehouse, source.sparkSession, days)
-    if not days:  # nothing loaded: facts and detail stay as they are
-        if spec.detail:
-            ensure_detail(warehouse, source.sparkSession)
-        return 0
-    dims = {d.name: warehouse.read(d.name, d.table_schema(), options=read_options) for d in spec.lookups}
-    sizes = table_sizes(warehouse, [d.name for d in spec.lookups])
-    folded = not compat
-
-    again = warehouse.exists(spec.name)
-    stats = Observation(f"stats of {spec.name}")
-    measures = (F.count(F.lit(1)).alias("rows"), F.collect_set("DayKey").alias("days"))  # at most a key a calendar day
-    fact = fact_frame(spec, source, dims, folded, sizes)
-    warehouse.write_fact(fact, spec.name, options=write_options, stats=stats, measures=measures)
-    rows, written = observed(stats)
-    if again:
-        clear_empty_days(warehouse, spec.name, days, dims[D.DAY.name], written)
-    if spec.detail:
-        keys = dims[D.DAY.name].where(F.col("DayKey").isin(sorted(written)))
-        latest = keys.agg(F.max("ExactDate")).first()[0] if written else None
-        overwrite_detail(warehouse, spec, source, dims, sizes, latest, folded, write_options)
-    return rows
-
-
-def observed(stats: Observation) -> tuple[int, set[int]]:
-    """Rows and day keys of a written fact; Spark keeps no metrics of a frame it finds empty while planning."""
-    try:
-        got = stats.get
-    except Py4JJavaError:
-        return 0, set()
-    return int(got["rows"]), set(got["days"])
+    counts = warehouse.write_fact(fact, name, options=options) if warehouse.versioned else None
+    if counts is not None:
+        return counts
+    aside = materialize(fact, "fact")
+    counts = {r["DayKey"]: r["count"] for r in aside.groupBy("DayKey").count().collect()}  # calendar days
+    warehouse.write_fact(aside, name, options=options)
+    return counts
+
+
+def latest_of(day: DataFrame, keys: Collection[int]) -> dt.date | None:
+    """The latest date of day keys (calendar days only reach the driver)."""
+    return day.where(F.col("DayKey").isin(sorted(keys))).agg(F.max("ExactDate")).first()[0] if keys else None
 
 
 def clear_empty_days(warehouse, name: str, days: Sequence[dt.date], day: DataFrame, written: set[int]) -> list[int]:
@@ -325,6 +366,7 @@ def detail_frame(
     latest: dt.date,
     folded: bool = True,
     sizes: Mapping[str, int] | None = None,
+    unique: Collection[str] = (),
 ) -> DataFrame:
     """The people of the day ``latest`` that survive the filters and lookups, as detail rows.
 
@@ -337,27 +379,26 @@ def detail_frame(
         [(F.col("year") == r["year"]) & (F.col("month") == r["month"]) & (F.col("day") == r["day"]) for r in parts],
         F.lit(False),
     )
-    looked = lookup_frame(spec, source.filter(wanted), dims, folded, sizes)
+    looked = lookup_frame(spec, source.filter(wanted), dims, folded, sizes, unique)
     return looked.where(F.col("ExactDate") == F.lit(latest)).select(*detail_columns())
 
 
-def latest_day(spec: FactSpec, source: DataFrame, dims: Mapping[str, DataFrame], folded: bool = True, sizes=None) -> dt.date | None:
-    """Greatest date among the rows that survive the filters and lookups."""
-    return lookup_frame(spec, source, dims, folded, sizes).agg(F.max("ExactDate")).first()[0]
+def overwrite_detail(
+    warehouse, spec: FactSpec, people: DataFrame, dims: Mapping[str, DataFrame], known: Known, latest: dt.date | None, write_options: Mapping[str, str] | None = None
+) -> bool:
+    """Replace the employee detail with the people of the latest day written; keep it when no day was.
 
-
-def overwrite_detail(warehouse, spec, source, dims, sizes, latest, folded=True, write_options=None) -> bool:
-    """Replace the employee detail with the latest day's people; keep it when there are none.
-
-    The new rows are written aside first, and the table is touched only if there are any.
+    A store that changes at once gets rows that were written aside, and only if there are any.
     """
     if latest is not None:
-        detail = materialize(detail_frame(spec, source, dims, latest, folded, sizes), "detail")
-        if not detail.isEmpty():
+        detail = detail_frame(spec, people, dims, latest, known.folded, known.sizes, known.unique)
+        if not warehouse.versioned:
+            detail = materialize(detail, "detail")
+        if warehouse.versioned or not detail.isEmpty():
             opts = {"truncate": "true", **dict(write_options or {})}
             warehouse.write(detail, config.EMPLOYEE_DETAIL, mode="overwrite", options=opts)
             return True
-    ensure_detail(warehouse, source.sparkSession)
+    ensure_detail(warehouse, people.sparkSession)
     return False
 
 
@@ -367,6 +408,14 @@ def ensure_detail(warehouse, spark: SparkSession) -> None:
         warehouse.write(spark.createDataFrame([], EMPLOYEE_DETAIL), config.EMPLOYEE_DETAIL, mode="overwrite")
 
 
+# Columns of the people that the member pass and both facts read.
+EXTRACT = (
+    "gender", "grade", "nationality", "user_type", "work_location", "is_active", "worker_type", "assignment_status",
+    "date_of_birth", "hire_date", "end_date", "org_business_unit", "org_service_line", "org_function", "org_department",
+    "business_group", "operating_unit", *config.DAY_PARTS,
+)
+
+
 def publish(
     warehouse,
     source: DataFrame,
@@ -375,9 +424,15 @@ def publish(
     write_options: Mapping[str, str] | None = None,
     compat: bool = False,
 ) -> dict[str, int]:
-    """Headcount first (it maintains the shared dimensions and the day table), then organisation."""
+    """Headcount first (it maintains the shared dimensions and the day table), then organisation.
+
+    The source is read once, into an extract of the columns that the member pass and the
+    facts need; only the detail reads the source again, and only its latest day.
+    """
     out = {}
-    for spec in (headcount_fact(as_of), organization_fact()):
-        ready = spec.name != config.FACT_HEADCOUNT
-        out[spec.name] = update_fact(spec, warehouse, source, read_options, write_options, compat, static_ready=ready)
+    with scratch_scope(source.sparkSession):
+        extract = materialize(source.select(*EXTRACT), "people")
+        for spec in (headcount_fact(as_of), organization_fact()):
+            ready = spec.name != config.FACT_HEADCOUNT
+            out[spec.name] = update_fact(spec, warehouse, extract, read_options, write_options, compat, static_ready=ready, people=source)
     return out

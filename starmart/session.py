@@ -10,10 +10,15 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import storage
+
 # Settings the engine relies on; applied only by ``build_session``.
 DEFAULT_CONF = {
     "spark.ui.enabled": "false",
@@ -67,9 +72,29 @@ def scratch_root(spark: SparkSession) -> str:
     return os.path.dirname(checkpoint_root(spark).rstrip("/")) + "/starmart"
 
 
+_scopes = threading.local()
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[str]:
+    """A folder that takes this thread's new scratch folders and is removed at the end.
+
+    For jobs whose results are stored elsewhere when they end: frames over the removed folders can't be read any more.
+    """
+    folder = new_scratch_dir(spark, "run")
+    open_ = _scopes.__dict__.setdefault("folders", [])
+    open_.append(folder)
+    try:
+        yield folder
+    finally:
+        open_.pop()
+        storage.remove(spark, folder)
+
+
 def new_scratch_dir(spark: SparkSession, label: str) -> str:
-    """A fresh, unique folder under the scratch root (never reused, never cleared)."""
-    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique folder under the scratch root, or in the thread's scratch scope (never reused)."""
+    folders = getattr(_scopes, "folders", None)
+    return f"{folders[-1] if folders else scratch_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"
 
 
 def session_conf(spark: SparkSession, key: str, default: str | None = None) -> str | None:

@@ -1,7 +1,7 @@
 """Where dimensions, facts and the detail table live: Parquet, JDBC or CSV.
 
-Every warehouse offers the same calls: ``exists``, ``read``, ``write``,
-``write_fact`` and ``clear_days``. A table is absent only if the store says it is not there;
+Every warehouse offers the same calls: ``exists``, ``read``, ``write``, ``write_fact``,
+``clear_days``, ``refresh`` and ``unique``. A table is absent only if the store says it is not there;
 any other failure raises, so an outage never looks like a first publish. Read
 options and write options are kept apart (a dimension read never receives write
 options such as ``truncate``). ``assigns_keys`` says that the store numbers
@@ -10,14 +10,20 @@ dimension members itself (identity columns): merges then append attributes only.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import json
+import uuid
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
+from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from .. import storage
 
 FACT_PARTITION = "DayKey"
+STATES = "_states"  # folder of the numbered states of a Parquet warehouse
+VERSION = "version"  # folder key of what one write stored
 
 
 def _merged(base: Mapping[str, str] | None, extra: Mapping[str, str] | None) -> dict[str, str]:
@@ -26,21 +32,46 @@ def _merged(base: Mapping[str, str] | None, extra: Mapping[str, str] | None) ->
     return out
 
 
-def _clustered(df: DataFrame, stats: Observation | None, measures: Sequence[Column]) -> DataFrame:
-    """Fact rows dealt by day in tasks of the advised size, counted after the shuffle.
+def _clustered(df: DataFrame) -> DataFrame:
+    """Fact rows dealt by day in tasks of the advised size: AQE splits a large day and joins small ones."""
+    return df.hint("rebalance", FACT_PARTITION)
 
-    The rebalance lets AQE split a day that is large and join days that are
-    small. Counting behind it is exact also when map tasks run again.
-    """
-    out = df.hint("rebalance", FACT_PARTITION)
-    return out.observe(stats, *measures) if stats is not None else out
+
+class Conflict(RuntimeError):
+    """Another publisher changed a table that a refresh had read."""
+
+
+@dataclass
+class Edit:
+    """A change of one table: folders that come, and folders that go ("all", or the facts' ``days``)."""
+
+    name: str
+    folders: list[str] = field(default_factory=list)
+    days: set[int] = field(default_factory=set)
+    whole: bool = False
+    schema: str | None = None
+    unique: bool | None = None
+
+    def apply(self, tables: dict[str, dict]) -> None:
+        old = tables.get(self.name, {"folders": [], "schema": None, "unique": None})
+        gone = {f"{FACT_PARTITION}={d}" for d in self.days}
+        kept = [] if self.whole else [f for f in old["folders"] if f.rpartition("/")[2] not in gone]
+        unique = old["unique"] if self.unique is None else self.unique
+        tables[self.name] = {"folders": kept + self.folders, "schema": self.schema or old["schema"], "unique": unique}
 
 
 class ParquetWarehouse:
-    """Tables as Parquet folders under one root.
+    """Tables as Parquet folders under one root, changed together.
 
-    Facts are partitioned by day and written with dynamic partition overwrite,
-    so re-running a day replaces that day instead of doubling it.
+    A write stores a new folder ``<table>/version=<id>``. What a table consists of stands in
+    the latest of the numbered files in ``_states``: the folders of each table (of a fact one
+    a day) and its schema. A refresh stores all its folders first and then creates the next
+    state, so readers see all of a refresh or nothing, and one that dies leaves the state as it
+    was. States are created only if absent. Whoever finds its number taken puts its changes on
+    top of the newer state, unless a table it had to rely on has changed (``Conflict``).
+
+    Facts are partitioned by day; a run replaces the days it holds. A table that others
+    put there as a plain folder is read as it stands and taken over by the first write.
     """
 
     def __init__(
@@ -54,27 +85,120 @@ class ParquetWarehouse:
         self.root = root.rstrip("/")
         self.read_options = dict(read_options or {})
         self.write_options = dict(write_options or {})
-        self._known: set[str] = set()  # tables seen or written; tables are never dropped
+        self._seen: tuple[int, dict[str, dict]] = (0, {})
+        self._edits: list[Edit] | None = None  # of the refresh that is open
+        self._began: tuple[int, dict[str, dict]] = (0, {})
 
     assigns_keys = False
+    versioned = True
 
     def location(self, name: str) -> str:
         return f"{self.root}/{name}"
 
+    # -- states -----------------------------------------------------------
+
+    def state(self) -> tuple[int, dict[str, dict]]:
+        """Number and tables of the latest state; 0 and none before the first."""
+        found = [n for n in storage.children(self.spark, f"{self.root}/{STATES}") if n.endswith(".json")]
+        if not found:
+            return 0, {}
+        number = int(found[-1].partition(".")[0])
+        if number != self._seen[0]:
+            self._seen = number, json.loads(storage.read_text(self.spark, f"{self.root}/{STATES}/{found[-1]}"))
+        return self._seen
+
+    def _tables(self) -> dict[str, dict]:
+        """The tables as this warehouse sees them now: in a refresh, those it began with and its own changes."""
+        if self._edits is None:
+            return self.state()[1]
+        tables = dict(self._began[1])
+        for edit in self._edits:
+            edit.apply(tables)
+        return tables
+
+    @contextmanager
+    def refresh(self, rely_on: Sequence[str] = ()) -> Iterator[None]:
+        """All writes inside become visible together at the end, or none of them.
+
+        Raises ``Conflict`` if another publisher meanwhile changed a table of ``rely_on``.
+        A refresh inside another one is part of it.
+        """
+        if self._edits is not None:
+            yield
+            return
+        self._began, self._edits = self.state(), []
+        try:
+            yield
+            if self._edits:
+                self._commit(rely_on)
+        finally:
+            self._edits = None
+
+    def _commit(self, rely_on: Sequence[str]) -> None:
+        while True:
+            number, now = self.state()
+            changed = [n for n in rely_on if now.get(n) != self._began[1].get(n)]
+            if changed:
+                raise Conflict(f"changed by another publisher: {', '.join(changed)}")
+            tables = dict(now)
+            for edit in self._edits or ():
+                edit.apply(tables)
+            if storage.create_new(self.spark, f"{self.root}/{STATES}/{number + 1:012d}.json", json.dumps(tables)):
+                return
+
+    def _change(self, edit: Edit) -> None:
+        with self.refresh():
+            if edit.name not in self._tables() and (plain := self._plain(edit.name)):
+                self._edits.append(Edit(edit.name, plain))
+            self._edits.append(edit)
+
+    def _plain(self, name: str) -> list[str]:
+        """What a table consists of that no state knows."""
+        return [c for c in storage.children(self.spark, self.location(name)) if not c.startswith(f"{VERSION}=")]
+
+    def vacuum(self) -> int:
+        """Remove the folders that the latest state doesn't name (of replaced days and of refreshes that died); returns how many.
+
+        Not while a publisher or a reader of an older state is at work.
+        """
+        removed = 0
+        for name, table in self.state()[1].items():
+            used = set(table["folders"])
+            for version in storage.children(self.spark, self.location(name)):
+                if not version.startswith(f"{VERSION}=") or version in used:
+                    continue
+                days = storage.children(self.spark, f"{self.location(name)}/{version}")
+                live = [d for d in days if f"{version}/{d}" in used]
+                for gone in [f"{version}/{d}" for d in days if d not in live] if live else [version]:
+                    storage.remove(self.spark, f"{self.location(name)}/{gone}")
+                    removed += 1
+        return removed
+
+    # -- tables -----------------------------------------------------------
+
     def exists(self, name: str) -> bool:
-        if name in self._known or storage.children(self.spark, self.location(name)):
-            self._known.add(name)
-            return True
-        return False
+        return name in self._tables() or bool(self._plain(name))
+
+    def unique(self, name: str) -> bool:
+        """Whether all merges into the table kept one row a folded value."""
+        return bool(self._tables().get(name, {}).get("unique"))
 
     def read(self, name: str, schema: T.StructType | None = None, options: Mapping[str, str] | None = None) -> DataFrame:
-        """Read a table; with ``schema`` a missing table reads as empty and no footers are inferred."""
-        if schema is not None and not self.exists(name):
-            return self.spark.createDataFrame([], schema)
+        """Read a table as its state says; with ``schema`` a missing table reads as empty."""
+        table = self._tables().get(name)
         reader = self.spark.read.options(**_merged(self.read_options, options))
+        if table is None:
+            if schema is not None and not self.exists(name):
+                return self.spark.createDataFrame([], schema)
+            return (reader.schema(schema) if schema is not None else reader).parquet(self.location(name))
+        if schema is None and table["schema"]:
+            schema = T.StructType.fromJson(json.loads(table["schema"]))
+        if not table["folders"] and schema is not None:
+            return self.spark.createDataFrame([], schema)
         if schema is not None:
             reader = reader.schema(schema)
-        return reader.parquet(self.location(name))
+        found = reader.option("basePath", self.location(name)).parquet(*[f"{self.location(name)}/{f}" for f in table["folders"]])
+        return found.select(*schema.names) if schema is not None else found.drop(VERSION)
 
     def write(
         self,
@@ -83,35 +207,59 @@ class ParquetWarehouse:
         mode: str = "append",
         options: Mapping[str, str] | None = None,
         partition_by: Sequence[str] = (),
+        unique: bool | None = None,
     ) -> None:
-        writer = df.write.mode(mode).options(**_merged(self.write_options, options))
+        """Append to a table or overwrite it; ``unique`` notes whether it has one row a folded value."""
+        folders = self._store(df, name, options, partition_by)
+        self._change(Edit(name, folders, whole=mode == "overwrite", schema=df.schema.json(), unique=unique))
+
+    def _store(self, df: DataFrame, name: str, options: Mapping[str, str] | None, partition_by: Sequence[str]) -> list[str]:
+        version = f"{VERSION}={uuid.uuid4().hex}"
+        writer = df.write.options(**_merged(self.write_options, options))
         if partition_by:
             writer = writer.partitionBy(*partition_by)
-        writer.parquet(self.location(name))
-        self._known.add(name)
-
-    def write_fact(
-        self,
-        df: DataFrame,
-        name: str,
-        options: Mapping[str, str] | None = None,
-        stats: Observation | None = None,
-        measures: Sequence[Column] = (),
-    ) -> None:
-        opts = _merged({"partitionOverwriteMode": "dynamic"}, options)
-        clustered = _clustered(df, stats, measures)
-        self.write(clustered, name, mode="overwrite", options=opts, partition_by=(FACT_PARTITION,))
+        writer.parquet(f"{self.location(name)}/{version}")
+        if not partition_by:
+            return [version]
+        return [f"{version}/{d}" for d in storage.children(self.spark, f"{self.location(name)}/{version}")]
+
+    def write_fact(self, df: DataFrame, name: str, options: Mapping[str, str] | None = None) -> dict[int, int]:
+        """Replace the days of ``df``, keep the others; returns the rows of each day written.
+
+        The days are those of the folders that were stored, and the rows those of their files' footers.
+        """
+        folders = self._store(_clustered(df), name, options, (FACT_PARTITION,))
+        keys = {int(f.rpartition("=")[2]) for f in folders}
+        self._change(Edit(name, folders, days=keys, schema=df.schema.json()))
+        if not folders:
+            return {}
+        stored = self.spark.read.schema(df.schema).parquet(f"{self.location(name)}/{folders[0].partition('/')[0]}")
+        return {r[FACT_PARTITION]: r["count"] for r in stored.groupBy(FACT_PARTITION).count().collect()}  # calendar days
 
     def clear_days(self, name: str, keys: Sequence[int]) -> list[int]:
-        """Remove the partitions of days that a refresh covered and left without rows."""
-        held = set(storage.children(self.spark, self.location(name)))
+        """Take out days that a refresh covered and left without rows."""
+        table = self._tables().get(name) or {"folders": self._plain(name)}
+        held = {f.rpartition("/")[2] for f in table["folders"]}
         gone = [k for k in keys if f"{FACT_PARTITION}={k}" in held]
-        for k in gone:
-            storage.remove(self.spark, f"{self.location(name)}/{FACT_PARTITION}={k}")
+        if gone:
+            self._change(Edit(name, days=set(gone)))
         return gone
 
 
-class JdbcWarehouse:
+class _Direct:
+    """Stores whose writes are visible one by one."""
+
+    versioned = False
+
+    @contextmanager
+    def refresh(self, rely_on: Sequence[str] = ()) -> Iterator[None]:  # noqa: ARG002 - nothing is held back
+        yield
+
+    def unique(self, name: str) -> bool:  # noqa: ARG002 - not known
+        return False
+
+
+class JdbcWarehouse(_Direct):
     """Tables in a database reached over JDBC.
 
     ``properties`` are connection properties (user, password, driver class).
@@ -161,26 +309,20 @@ class JdbcWarehouse:
         mode: str = "append",
         options: Mapping[str, str] | None = None,
         partition_by: Sequence[str] = (),  # noqa: ARG002 - not applicable to JDBC
+        unique: bool | None = None,  # noqa: ARG002 - not kept
     ) -> None:
         writer = df.write.mode(mode).options(**_merged(self.write_options, options))
         writer.jdbc(self.url, name, properties=dict(self.properties))
 
-    def write_fact(
-        self,
-        df: DataFrame,
-        name: str,
-        options: Mapping[str, str] | None = None,
-        stats: Observation | None = None,
-        measures: Sequence[Column] = (),
-    ) -> None:
+    def write_fact(self, df: DataFrame, name: str, options: Mapping[str, str] | None = None) -> None:
         # The database owns idempotence here: facts are appended.
-        self.write(_clustered(df, stats, measures), name, mode="append", options=options)
+        self.write(_clustered(df), name, mode="append", options=options)
 
     def clear_days(self, name: str, keys: Sequence[int]) -> list[int]:  # noqa: ARG002 - appended facts are kept
         return []
 
 
-class CsvWarehouse:
+class CsvWarehouse(_Direct):
     """Flat tables as CSV folders (``<root>/<table>``), header on."""
 
     assigns_keys = False
@@ -218,23 +360,17 @@ class CsvWarehouse:
         mode: str = "append",
         options: Mapping[str, str] | None = None,
         partition_by: Sequence[str] = (),
+        unique: bool | None = None,  # noqa: ARG002 - not kept
     ) -> None:
         writer = df.write.mode(mode).options(**_merged(self.write_options, options))
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.csv(self.location(name))
 
-    def write_fact(
-        self,
-        df: DataFrame,
-        name: str,
-        options: Mapping[str, str] | None = None,
-        stats: Observation | None = None,
-        measures: Sequence[Column] = (),
-    ) -> None:
+    def write_fact(self, df: DataFrame, name: str, options: Mapping[str, str] | None = None) -> None:
         """Replaces the days of ``df`` and keeps the others, like the Parquet form."""
         opts = _merged({"partitionOverwriteMode": "dynamic"}, options)
-        self.write(_clustered(df, stats, measures), name, mode="overwrite", options=opts, partition_by=(FACT_PARTITION,))
+        self.write(_clustered(df), name, mode="overwrite", options=opts, partition_by=(FACT_PARTITION,))
 
     def clear_days(self, name: str, keys: Sequence[int]) -> list[int]:
         held = set(storage.children(self.spark, self.location(name)))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -40,3 +43,39 @@ def fingerprint(spark: SparkSession, path: str) -> str:
     files = fs.listStatus(where)
     changed = max([s.getModificationTime() for s in files], default=0)
     return f"{total.getLength()}-{total.getFileCount()}-{changed}"
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file's text."""
+    fs, where = _open(spark, path)
+    stream = fs.open(where)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def create_new(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a file whole, or leave the one that is there and return False; of several callers one succeeds.
+
+    The file appears under its name when its content is complete: by a hard link on
+    local or mounted disks, elsewhere by a rename, which HDFS refuses if the name is taken.
+    """
+    fs, where = _open(spark, path)
+    hidden = f"{path.rpartition('/')[0]}/.{uuid.uuid4().hex}"
+    aside = _open(spark, hidden)[1]
+    stream = fs.create(aside, False)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    try:
+        if fs.getScheme() == "file":
+            try:
+                os.link(aside.toUri().getPath(), where.toUri().getPath())
+            except FileExistsError:
+                return False
+            return True
+        return not fs.exists(where) and bool(fs.rename(aside, where))
+    finally:
+        fs.delete(aside, False)
