@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -302,7 +303,7 @@ def employee_detail_query(spark, sf):
     people = _people(spark, sf)
     dims, sizes = _dims(people, sf)
     spec = FT.headcount_fact(AS_OF)
-    written = FT.write_counted(_warehouse(spark), FT.fact_frame(spec, people, dims, sizes=sizes, unique=dims), spec.name)
+    _, written = FT.counted(FT.fact_frame(spec, people, dims, sizes=sizes, unique=dims))
     latest = FT.latest_of(dims[D.DAY.name], written)
     return FT.detail_frame(spec, people, dims, latest, sizes=sizes, unique=dims)
 
@@ -396,6 +397,46 @@ def fact_rerun_empty_day(spark, sf):
     return wh.read(config.FACT_HEADCOUNT).select(*FT.HEADCOUNT_KEYS, "EmployeeCount", "NewHireCount", "SeparationCount")
 
 
+class _Dies(ParquetWarehouse):
+    """A warehouse whose process ends when it has stored the fact and is about to replace the detail."""
+
+    def write(self, df, name, *args, **kwargs):
+        if name == config.EMPLOYEE_DETAIL:
+            raise KeyboardInterrupt(f"lost before writing {name}")
+        super().write(df, name, *args, **kwargs)
+
+
+def fact_crash_recovery(spark, sf):
+    """A refresh, then one on other data that dies half-way: the fact is still that of the first."""
+    wh = _warehouse(spark)
+    spec = FT.headcount_fact(AS_OF)
+    FT.update_fact(spec, wh, _loaded(spark, sf))
+    try:
+        FT.update_fact(spec, _Dies(spark, wh.root), _loaded(spark, sf).withColumn("is_active", F.col("month") % 2 == 0))
+    except KeyboardInterrupt:
+        pass
+    return wh.read(config.FACT_HEADCOUNT).select(*FT.HEADCOUNT_KEYS, "EmployeeCount", "NewHireCount", "SeparationCount")
+
+
+def dim_merge_concurrent(spark, sf):
+    """Two publishers merge overlapping halves of the people at the same time: members, and whether keys are 1 to n."""
+    root = new_scratch_dir(spark, "warehouse")
+    people = _people(spark, sf)
+    halves = [people.where(F.col("year") < FIRST_YEAR + 1), people.where(F.col("year") >= FIRST_YEAR - 1)]
+    with ThreadPoolExecutor(2) as pool:
+        list(pool.map(lambda half: FT.merge_dimensions(ParquetWarehouse(spark, root), half, [EMAIL, D.INFORMAL_ORG]), halves))
+    wh = ParquetWarehouse(spark, root)
+    parts = []
+    for spec in (EMAIL, D.INFORMAL_ORG):
+        t = wh.read(spec.name)
+        folded = F.struct(*[F.coalesce(F.concat(F.lit("v"), F.lower(a)), F.lit("-")) for a in spec.attrs])
+        parts.append(
+            t.agg(F.count_distinct(spec.key).alias("keys"), F.min(spec.key).alias("first"), F.max(spec.key).alias("last"), F.count_distinct(folded).alias("members"))
+            .select(F.lit(spec.name).alias("dim"), "keys", "first", "last", "members")
+        )
+    return parts[0].unionByName(parts[1])
+
+
 def publish_all(spark, sf):
     """Row counts of every table a publish writes."""
     wh = _published(spark, sf)
@@ -482,6 +523,8 @@ def queries() -> dict[str, Query]:
         "detail_preloaded_day": detail_preloaded_day,
         "fact1_after_compat_merge": fact1_after_compat_merge,
         "fact_rerun_empty_day": fact_rerun_empty_day,
+        "fact_crash_recovery": fact_crash_recovery,
+        "dim_merge_concurrent": dim_merge_concurrent,
         "publish_all": publish_all,
         "csv_roundtrip": csv_roundtrip,
     }
@@ -672,6 +715,11 @@ def oracle_sql() -> dict[str, str]:
         "detail_preloaded_day": loaded.rstrip() + ",\n" + O.detail_sql("loaded").strip(),
         "fact1_after_compat_merge": people.rstrip() + ",\n" + O.headcount_sql("people", spellings=True).strip(),
         "fact_rerun_empty_day": f"SELECT * FROM ({fact1_e2e}) WHERE DayKey <> {EMPTY_DAY:%Y%m%d}",
+        "fact_crash_recovery": fact1_e2e,
+        "dim_merge_concurrent": people
+        + f"SELECT '{EMAIL.name}' AS dim, count(DISTINCT email) AS keys, 1::INTEGER AS first, count(DISTINCT email)::INTEGER AS last, "
+        + "count(DISTINCT email) AS members FROM people UNION ALL "
+        + f"SELECT '{config.DIM_INFORMAL_ORG}', count(*), 1, count(*)::INTEGER, count(*) FROM ({O.members('informal_org', 'people')})",
         "publish_all": _publish_all_sql(),
         "csv_roundtrip": people.rstrip() + ",\n" + O.headcount_sql("people").strip(),
     }

@@ -334,15 +334,19 @@ def write_counted(warehouse, fact: DataFrame, name: str, options: Mapping[str, s
 
     A store that keeps no files of its own gets the fact from a file written aside, and the counts are that file's.
     """
-    counts = warehouse.write_fact(fact, name, options=options) if warehouse.versioned else None
-    if counts is not None:
-        return counts
-    aside = materialize(fact, "fact")
-    counts = {r["DayKey"]: r["count"] for r in aside.groupBy("DayKey").count().collect()}  # calendar days
+    if warehouse.versioned:
+        return warehouse.write_fact(fact, name, options=options)
+    aside, counts = counted(fact)
     warehouse.write_fact(aside, name, options=options)
     return counts
 
 
+def counted(fact: DataFrame) -> tuple[DataFrame, dict[int, int]]:
+    """A fact written aside, and the rows of each day in that file (calendar days only reach the driver)."""
+    aside = materialize(fact, "fact")
+    return aside, {r["DayKey"]: r["count"] for r in aside.groupBy("DayKey").count().collect()}
+
+
 def latest_of(day: DataFrame, keys: Collection[int]) -> dt.date | None:
     """The latest date of day keys (calendar days only reach the driver)."""
     return day.where(F.col("DayKey").isin(sorted(keys))).agg(F.max("ExactDate")).first()[0] if keys else None

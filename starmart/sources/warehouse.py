@@ -10,6 +10,7 @@ dimension members itself (identity columns): merges then append attributes only.
 
 from __future__ import annotations
 
+import functools
 import json
 import uuid
 from collections.abc import Iterator, Mapping, Sequence
@@ -197,8 +198,12 @@ class ParquetWarehouse:
             return self.spark.createDataFrame([], schema)
         if schema is not None:
             reader = reader.schema(schema)
-        found = reader.option("basePath", self.location(name)).parquet(*[f"{self.location(name)}/{f}" for f in table["folders"]])
-        return found.select(*schema.names) if schema is not None else found.drop(VERSION)
+        reader = reader.option("basePath", self.location(name))
+        own = [f for f in table["folders"] if f.startswith(f"{VERSION}=")]
+        plain = [f for f in table["folders"] if not f.startswith(f"{VERSION}=")]  # taken over; has no version folders to infer
+        found = [reader.parquet(*[f"{self.location(name)}/{f}" for f in part]).drop(VERSION) for part in (own, plain) if part]
+        names = schema.names if schema is not None else found[0].columns
+        return functools.reduce(lambda a, b: a.unionByName(b), [f.select(*names) for f in found])
 
     def write(
         self,
