@@ -83,7 +83,10 @@ def search_tree(tree: dict, ids: np.ndarray, queries: np.ndarray, floor: np.ndar
     real = queries.astype(np.float64)
     norm = np.sqrt((real**2).sum(axis=1))
     bound = real @ tree["centre"].T + norm[:, None] * tree["radius"][None, :]
-    bound += 1e-9 * (np.abs(bound) + 1)  # rounding never hides a ball
+    # Rounding never hides a ball: with n components each product and the radius err by less than n + 16 roundings of
+    # |query| * (|centre| + radius), however much the terms cancel.
+    reach = np.sqrt((tree["centre"] ** 2).sum(axis=1)) + tree["radius"]
+    bound += (points.shape[1] + 16) * 2.0**-51 * norm[:, None] * reach[None, :]
     kind = np.float64 if small else object
     best = np.full((len(ids), k), -math.inf, kind)
     names = np.full((len(ids), k), np.iinfo(np.int64).max)

@@ -55,6 +55,18 @@ def test_large_numbers_stay_exact(spark):
         run(spark, [(0, [1e300]), (1, [1.0])], 50)
 
 
+@pytest.mark.parametrize("seed", range(6))
+def test_cancelling_components_keep_ties_exact(spark, monkeypatch, seed):
+    """Nearly orthogonal vectors of about 2^30: scores are small differences of large products, and many tie."""
+    monkeypatch.setattr(balltree, "SHARD_ROWS", 200)
+    monkeypatch.setattr(balltree, "LEAF_ROWS", 8)
+    rng = random.Random(seed)
+    a, b = (rng.randrange(2**29, 2**31) / 256 for _ in range(2))
+    rows = [(0, [a, b]), (50, [a, -b])]
+    rows += [(i, [b + rng.choice([0, 1, 2]) / 256, rng.choice([-1, 1]) * a + rng.choice([0, 1]) / 256]) for i in rng.sample(range(51, 4000), 600) if i % 50]
+    assert run(spark, rows, 50) == brute(rows, lambda i: i % 50 == 0, 5)
+
+
 def test_search_prunes_balls():
     rng = np.random.default_rng(2)
     centres = rng.normal(0, 300, (40, 8))
