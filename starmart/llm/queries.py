@@ -211,27 +211,24 @@ FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 
 
 def op10_sql() -> str:
-    """The license scan with word positions as rows."""
+    """The license scan with word positions as rows: every place of a key phrase, and the weight that agrees around it."""
     rows = []
     for k, t in enumerate(licenses.templates()):
-        rows += [f"({k}, '{t.label}', {str(t.base).lower()}, {p}, '{w}', {str(t.key_at <= p < t.key_at + len(t.key)).lower()})" for p, w in enumerate(t.words)]
+        rows += [f"({k}, '{t.label}', {str(t.base).lower()}, {p}, '{w}', {str(t.key_at <= p < t.key_at + len(t.key)).lower()}, {str(p == t.key_at).lower()})" for p, w in enumerate(t.words)]
     return rf"""
-WITH t(k, label, base, p, word, key) AS (VALUES {", ".join(rows)}),
+WITH t(k, label, base, p, word, key, head) AS (VALUES {", ".join(rows)}),
 d AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
 ), pos AS (
   SELECT doc_id, i, w[i + 1] AS word FROM (SELECT doc_id, w, unnest(range(0, len(w))) AS i FROM d) WHERE w[i + 1] IN (SELECT word FROM t)
 ), idf AS (
   SELECT word, 1 + ln(((SELECT count(*) FROM d) + 1) / (count(DISTINCT doc_id) + 1)) AS weight FROM (SELECT word, doc_id FROM pos UNION ALL SELECT DISTINCT word, NULL FROM t) GROUP BY word
-), rare AS (
-  SELECT k, min(p) AS p, word, row_number() OVER (PARTITION BY k ORDER BY any_value(weight) DESC, word) AS r FROM t JOIN idf USING (word) GROUP BY k, word
 ), start AS (
-  SELECT doc_id, k, i - p AS s FROM pos JOIN rare USING (word) WHERE r = 1 AND i >= p
+  SELECT doc_id, k, i - p AS s FROM pos JOIN t USING (word) WHERE head
 ), agree AS (
-  SELECT start.doc_id, start.k, s, label, base, count(*) FILTER (key AND pos.word IS NOT NULL) = count(*) FILTER (key)
-    AND count(*) FILTER (r <= {licenses.ANCHORS} AND rare.p IS NOT NULL AND pos.word IS NOT NULL) = count(*) FILTER (r <= {licenses.ANCHORS} AND rare.p IS NOT NULL) AS fits,
+  SELECT start.doc_id, start.k, s, label, base, count(*) FILTER (key AND pos.word IS NOT NULL) = count(*) FILTER (key) AS fits,
     round(coalesce(sum(weight) FILTER (pos.word IS NOT NULL), 0) / sum(weight), 6) AS share
-  FROM start JOIN t USING (k) JOIN idf ON idf.word = t.word LEFT JOIN rare ON rare.k = start.k AND rare.p = t.p
+  FROM start JOIN t USING (k) JOIN idf ON idf.word = t.word
   LEFT JOIN pos ON pos.doc_id = start.doc_id AND pos.i = start.s + t.p AND pos.word = t.word
   GROUP BY start.doc_id, start.k, s, label, base
 ), g AS (

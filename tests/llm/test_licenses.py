@@ -81,3 +81,23 @@ def test_empty_table_and_plan(spark):
 
 def test_sql_is_registered():
     assert "op10_license_index" in ORACLE_SQL
+
+
+def test_code_equals_sql_on_odd_texts(spark):
+    """Headings at word 0, altered and cut words, repeated phrases, nulls: one row a text from code and SQL."""
+    import duckdb
+    import pyarrow as pa
+
+    heads = [" ".join(t.words[k:]) for t in licenses.templates() for k in (0, 1, t.key_at)]
+    altered = [" ".join("zzz" if p == k else w for p, w in enumerate(t.words)) for t in licenses.templates() for k in (0, t.key_at, len(t.words) - 1)]
+    texts = TEXTS + heads + altered + [f"{a} {b}" for a, b in zip(heads, reversed(altered), strict=True)]
+    rows = list(enumerate(texts))
+    got = licenses.scan(spark.createDataFrame(rows, "doc_id long, text string"))
+    con = duckdb.connect()
+    con.register("documents", pa.table({"doc_id": [i for i, _ in rows], "text": [t for _, t in rows]}))
+    cur = con.execute(ORACLE_SQL["op10_license_index"])
+    names = [d[0] for d in cur.description]
+    want = {r[0]: r for r in cur.fetchall()}
+    found = {r["doc_id"]: tuple(r[n] for n in names) for r in got.collect()}
+    assert found == want
+    assert sum(bool(r[names.index("labels")]) for r in want.values()) > 40
