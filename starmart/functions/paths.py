@@ -35,5 +35,5 @@ def parse_watermark(path: str, compat: bool = False) -> tuple[str, str, str]:
     """
     found = (re.compile(config.COMPAT_WATERMARK) if compat else _WATERMARK).findall(path)
     if len(found) != 1:
-        raise ValueError(("Wrong partition path: " if compat else "no single year/month/day in the path: ") + path)
+        raise ValueError(f"no single year/month/day in the path: {path}")
     return found[0]

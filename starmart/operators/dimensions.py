@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from .. import config
 from ..functions.keys import fold, null_safe_match
+from ..session import materialize
 from . import extractors as X
 from .lookups import broadcast_checked, lookup
 from .surrogate import assign_keys
@@ -200,10 +201,11 @@ def build_dimensions(
 ) -> tuple[dict[str, DataFrame], dict[str, int]]:
     """Dimensions as first merges build them from ``people``, and their row counts.
 
-    The keyed members are read from the file that the key assignment wrote.
+    The distinct members are stored before they are folded and numbered, which takes several
+    looks at them; the keyed members are read from the file that the key assignment wrote.
     """
-    new = dimension_members(people, specs, folded=not compat)
-    keyed = key_members(new, None)
+    met = materialize(dimension_members(people, specs), "members")
+    keyed = key_members(met if compat else fold_members(met), None)
     counts = member_counts(keyed)
     return {spec.name: from_long(keyed, spec) for spec in specs}, {s.name: counts.get(s.name, 0) for s in specs}
 

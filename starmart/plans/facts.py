@@ -233,9 +233,10 @@ def merge_with_days(
     """
     if not specs:
         return {}, snapshot_days(source)
-    met = materialize(D.dimension_members(source, specs, folded=not compat, day=snapshot_day()), "members")
+    met = materialize(D.dimension_members(source, specs, day=snapshot_day()), "members")
     days = met.where(F.col("dim") == D.SNAPSHOT_DAYS).where("a0 IS NOT NULL").select("a0").distinct().collect()
     members = met.where(F.col("dim") != D.SNAPSHOT_DAYS)
+    members = members if compat else D.fold_members(members)
     while True:
         try:
             with warehouse.refresh(rely_on=[s.name for s in specs]):
