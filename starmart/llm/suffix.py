@@ -38,8 +38,8 @@ PLACE_BITS = 20
 BLOCK_ANCHORS = 1 << 19  # anchors sent together
 BUCKET_ANCHORS = 1 << 22
 SHARD_STRINGS = 1 << 14  # of up to WIDTH + SLIDE bytes
-SHARD_PARTS = 16  # anchors of a shard are counted in so many parts
-PART_STRINGS = 1 << 11  # a part with more is not sorted, so a shard has SHARD_PARTS times this at most
+SHARD_PARTS = 16  # anchors of a shard are first counted in so many parts
+ANCHOR_STRINGS = 1 << 11  # an anchor with more different runs is not sorted
 GROW = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD)
 
 
@@ -254,6 +254,33 @@ def repeats_of(table: pa.Table) -> pa.Table:
     return pa.Table.from_arrays([pa.array(c) for c in consecutive(*(np.concatenate(c) for c in zip(*found, strict=True)))], schema=REPEATS)
 
 
+CUT_RUN = pa.schema([("key", pa.int64()), ("tid", pa.int64()), ("doc_id", pa.int64()), ("start", pa.int64()), ("run", pa.binary())])
+CUT_ROWS = "key long, tid long, doc_id long, start long, run binary"
+
+
+def cut_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Runs (tid, doc_id, start, lead, run) cut where the next-least piece of their windows changes; the key stands
+    for both pieces and their distance, so equal windows have equal keys."""
+    low = np.uint64((1 << PLACE_BITS) - 1)
+    rows: list[tuple] = []
+    for batch in batches:
+        for tid, doc, start, lead, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            h = piece_hashes(np.frombuffer(raw, np.uint8))
+            v = (h & ~low) | np.arange(len(h), dtype=np.uint64)
+            v[lead] = np.uint64(2**64 - 1)
+            second = (sliding_least(v, SLIDE) & low).astype(np.int64)
+            first = np.flatnonzero(np.diff(second, prepend=-1))
+            last = np.append(first[1:], len(second)) - 1
+            at = second[first]
+            keys = mixed(h[lead] * np.uint64(GROW[0]) + h[at] * np.uint64(GROW[1]) + (at - lead).astype(np.uint64)).view(np.int64)
+            rows += [(k, tid, doc, start + a, raw[a : b + WIDTH]) for k, a, b in zip(keys.tolist(), first.tolist(), last.tolist(), strict=True)]
+            if len(rows) >= BATCH_ROWS:
+                yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(zip(*rows, strict=True), CUT_RUN, strict=True)], schema=CUT_RUN)
+                rows = []
+    if rows:
+        yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(zip(*rows, strict=True), CUT_RUN, strict=True)], schema=CUT_RUN)
+
+
 WINDOW = pa.schema([("tid", pa.int64()), ("doc_id", pa.int64()), ("start", pa.int64()), ("windows", pa.int64()), ("key", pa.binary())])
 WINDOW_ROWS = "tid long, doc_id long, start long, windows long, key binary"
 
@@ -294,7 +321,10 @@ def compared_windows(runs: DataFrame) -> DataFrame:
     Equal windows are found by 128-bit digests; a window's rows (one a batch, or one a text where
     texts share the least id) pass through a sort that spills.
     """
-    windows = materialize(runs.select("tid", "doc_id", "start", "run").mapInArrow(first_windows, WINDOW_ROWS), "windows")
+    cut = materialize(runs.select("tid", "doc_id", "start", "lead", "run").mapInArrow(cut_runs, CUT_ROWS), "cut-runs")
+    again = cut.groupBy("key").count().where("count > 1").select("key")
+    shared = cut.join(again, "key", "left_semi")
+    windows = materialize(shared.select("tid", "doc_id", "start", "run").mapInArrow(first_windows, WINDOW_ROWS), "windows")
     least = F.min("doc_id").over(Window.partitionBy("key"))
     own = F.min("start").over(Window.partitionBy("key", "tid"))
     met = windows.where("key IS NOT NULL").withColumn("own", own).withColumn("least", least)
@@ -339,11 +369,13 @@ def repeated_windows(texts: DataFrame, n_bytes: int) -> DataFrame:
     routed = rows.where("run IS NOT NULL")
     shards = max(shuffle_partitions(spark), math.ceil(routed.count() / SHARD_STRINGS))
     routed = routed.withColumn("part", F.pmod(F.xxhash64("anchor"), F.lit(SHARD_PARTS * shards)))
-    crowded = materialize(routed.groupBy("part").count().where(F.col("count") > PART_STRINGS).select("part"), "crowded")
+    parts = routed.groupBy("part").count().where(F.col("count") > ANCHOR_STRINGS).select("part")
+    crowded = routed.join(parts, "part", "left_semi").groupBy("anchor").count().where(F.col("count") > ANCHOR_STRINGS)
+    crowded = materialize(crowded.select("anchor"), "crowded")
     sorted_runs, others = routed, []
     if not crowded.isEmpty():
-        sorted_runs = routed.join(crowded, "part", "left_anti")
-        others = [compared_windows(routed.join(crowded, "part", "left_semi"))]
+        sorted_runs = routed.join(crowded, "anchor", "left_anti")
+        others = [compared_windows(routed.join(crowded, "anchor", "left_semi"))]
     found = sorted_runs.withColumn("shard", F.pmod("part", F.lit(shards))).groupBy("shard").applyInArrow(repeats_of, REPEAT_ROWS)
     known = rows.where("run IS NULL").select("tid", "start", "windows")
     found = materialize(reduce(DataFrame.unionByName, [known, *others], found), "repeats")
@@ -363,7 +395,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     with a smaller id or earlier in the same text; documents with equal ids,
     repeated rows among them, remove nothing from each other. A null text is empty;
     a row with a null id keeps all its bytes and removes none elsewhere. Texts of
-    fewer than 100 bytes are kept whole. An empty table gives no rows.
+    fewer than 100 bytes are kept whole, texts of any length taken whole. Other columns
+    of ``docs``, whatever their names, play no part and are not returned. An empty table
+    gives no rows.
     """
     spark = docs.sparkSession
     text = F.coalesce(F.col(text_col), F.lit(""))

@@ -95,7 +95,7 @@ def test_edge_cases(spark):
 
 def test_one_passage_in_many_contexts(spark, monkeypatch):
     """A passage, a line of 40 bytes and a row of dashes between different words: no shard grows with them."""
-    monkeypatch.setattr(suffix, "PART_STRINGS", 16, raising=False)
+    monkeypatch.setattr(suffix, "ANCHOR_STRINGS", 16)
     sort = suffix.repeats_of
 
     def bounded(table):
@@ -115,6 +115,28 @@ def test_one_passage_in_many_contexts(spark, monkeypatch):
     assert run(spark, rows) == brute(rows)
 
 
+def test_cut_runs_keep_equal_windows_together():
+    """Windows of one passage in different contexts: equal ones have equal keys, and no window is lost."""
+    import pyarrow as pa
+
+    rng = random.Random(5)
+    passage = bytes(rng.choice(b"abcdef") for _ in range(180))
+    rows = []
+    for n in range(60):
+        raw = bytes(rng.choice(b"xyz") for _ in range(90)) + passage + bytes(rng.choice(b"xyz") for _ in range(90))
+        for h, p, b, e in zip(*suffix.anchors(raw), strict=True):
+            rows.append((n, n, int(b), int(p - b), raw[b : e + 100], int(h)))
+    batch = pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], t) for c, t in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()))], names=["tid", "doc_id", "start", "lead", "run"])
+    keys, seen = {}, {}
+    for out in suffix.cut_runs([batch]):
+        for r in out.to_pylist():
+            for k in range(len(r["run"]) - 99):
+                assert (r["tid"], r["start"] + k) not in seen
+                seen[r["tid"], r["start"] + k] = r["key"]
+                assert keys.setdefault(r["run"][k : k + 100], r["key"]) == r["key"]
+    assert len(seen) == sum(len(r[4]) - 99 for r in rows)
+
+
 def test_anchors_belong_to_content(monkeypatch):
     rng = random.Random(4)
     passage = bytes(rng.choice(b"abcdef") for _ in range(400))
