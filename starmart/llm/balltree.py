@@ -126,7 +126,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_i
     holds null or non-finite components, take no part; of rows with equal ids the
     one with the smallest vector counts; shorter vectors are filled with zeros. A
     query with fewer than ``k`` other rows returns all of them; without queries
-    or rows the result is empty. A score that leaves the range of long raises.
+    or rows the result is empty. A score that leaves the range of long raises. A vector
+    may have any length that fits a row. Other columns of ``vectors``, whatever their names, play no part.
     """
     spark = vectors.sparkSession
     usable_rows = vectors.where(F.col(id_col).isNotNull()).where(usable(F.col(vector_col)))

@@ -311,7 +311,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     with a smaller id; documents with equal ids, repeated rows among them, remove
     nothing from each other. A null text has no words; a row with a null id keeps
     all its words and removes none elsewhere. Texts of fewer than 13 words are
-    kept whole. An empty table gives no rows.
+    kept whole, texts of any length taken whole. Other columns of ``docs``, whatever
+    their names, play no part and are not returned. An empty table gives no rows.
     """
     spark = docs.sparkSession
     stats, numbered = distinct_texts(docs, id_col, text_col)

@@ -110,7 +110,9 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     Places count from word 0; first and last are null without a base phrase.
     Labels are distinct, sorted and comma-joined, empty without any; the score
     is the largest share of a template found, 0 without any. Null and empty texts
-    have no words; repeated rows and null ids each give their own row.
+    have no words; repeated rows and null ids each give their own row. Texts of any
+    length are taken whole. Other columns of ``docs``, whatever their names, play no
+    part and are not returned. An empty table gives no rows.
     """
     held = docs.select(F.col(id_col), words_of(F.col(text_col)).alias("words"))
     known = templates()

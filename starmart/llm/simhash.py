@@ -150,7 +150,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ``component_id`` is the smallest id reachable over links of at most two bits;
     nulls are ignored, and a component of null ids only has a null one. Null and
     wordless texts have fingerprint zero and are linked like any other. Repeated
-    rows each give a row. An empty table gives none.
+    rows each give a row, and texts of any length are taken whole. Other columns of ``docs``,
+    whatever their names, play no part and are not returned. An empty table gives none.
     """
     hashed = materialize(docs.select(F.col(id_col).alias("id"), fingerprint(F.col(text_col)).alias("fp")), "fingerprints")
     groups = materialize(hashed.groupBy("fp").agg(F.min("id").alias("least")), "distinct-fingerprints")
@@ -170,7 +171,8 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     """``docs`` with one row of each component: the one with the smallest id.
 
     If several rows hold that id, or all ids of the component are null, the row
-    with the least hash over all columns stays, and of wholly equal rows one.
+    with the least hash over all columns stays, and of wholly equal rows one. All columns
+    pass through, whatever their names.
     """
     (row,) = free_names(docs, "_row")
     whole = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
