@@ -18,6 +18,7 @@ from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import storage
@@ -44,35 +45,45 @@ class Conflict(RuntimeError):
 
 @dataclass
 class Edit:
-    """A change of one table: folders that come, and folders that go ("all", or the facts' ``days``)."""
+    """A change of one table: folders that come, and what goes (all, or the facts' days ``gone``).
+
+    ``days`` are those that a fact's folder holds.
+    """
 
     name: str
     folders: list[str] = field(default_factory=list)
-    days: set[int] = field(default_factory=set)
+    days: list[int] | None = None
+    gone: set[int] = field(default_factory=set)
     whole: bool = False
     schema: str | None = None
     unique: bool | None = None
 
     def apply(self, tables: dict[str, dict]) -> None:
-        old = tables.get(self.name, {"folders": [], "schema": None, "unique": None})
-        gone = {f"{FACT_PARTITION}={d}" for d in self.days}
-        kept = [] if self.whole else [f for f in old["folders"] if f.rpartition("/")[2] not in gone]
+        old = tables.get(self.name, {"folders": [], "days": {}, "schema": None, "unique": None})
+        days = {f: d if self.gone.isdisjoint(d["live"]) else {"live": [x for x in d["live"] if x not in self.gone], "cut": True} for f, d in old["days"].items()}
+        dead = {f for f, d in days.items() if not d["live"]} | {f"{FACT_PARTITION}={d}" for d in self.gone}
+        kept = [] if self.whole else [f for f in old["folders"] if f not in dead]
+        if self.days is not None:
+            days |= {f: {"live": self.days, "cut": False} for f in self.folders}
+        folders = kept + self.folders
         unique = old["unique"] if self.unique is None else self.unique
-        tables[self.name] = {"folders": kept + self.folders, "schema": self.schema or old["schema"], "unique": unique}
+        tables[self.name] = {"folders": folders, "days": {f: d for f, d in days.items() if f in folders}, "schema": self.schema or old["schema"], "unique": unique}
 
 
 class ParquetWarehouse:
     """Tables as Parquet folders under one root, changed together.
 
     A write stores a new folder ``<table>/version=<id>``. What a table consists of stands in
-    the latest of the numbered files in ``_states``: the folders of each table (of a fact one
-    a day) and its schema. A refresh stores all its folders first and then creates the next
+    the latest of the numbered files in ``_states``: the folders of each table, of a fact's the
+    days that count, and its schema. A refresh stores all its folders first and then creates the next
     state, so readers see all of a refresh or nothing, and one that dies leaves the state as it
     was. States are created only if absent. Whoever finds its number taken puts its changes on
     top of the newer state, unless a table it had to rely on has changed (``Conflict``).
 
-    Facts are partitioned by day; a run replaces the days it holds. A table that others
-    put there as a plain folder is read as it stands and taken over by the first write.
+    A run replaces the days of a fact that it holds. Its folder has files of the advised size, sorted by day,
+    and not a file or more a day, as a day's aggregated rows are few; the files' statistics skip
+    the days a reader doesn't want. Of a folder with days that a later run has replaced, the others are read. A table that
+    others put there as a plain folder is read as it stands and taken over by the first write.
     """
 
     def __init__(
@@ -158,20 +169,15 @@ class ParquetWarehouse:
         return [c for c in storage.children(self.spark, self.location(name)) if not c.startswith(f"{VERSION}=")]
 
     def vacuum(self) -> int:
-        """Remove the folders that the latest state doesn't name (of replaced days and of refreshes that died); returns how many.
+        """Remove the folders that the latest state doesn't name (replaced ones and those of refreshes that died); returns how many.
 
         Not while a publisher or a reader of an older state is at work.
         """
         removed = 0
         for name, table in self.state()[1].items():
-            used = set(table["folders"])
             for version in storage.children(self.spark, self.location(name)):
-                if not version.startswith(f"{VERSION}=") or version in used:
-                    continue
-                days = storage.children(self.spark, f"{self.location(name)}/{version}")
-                live = [d for d in days if f"{version}/{d}" in used]
-                for gone in [f"{version}/{d}" for d in days if d not in live] if live else [version]:
-                    storage.remove(self.spark, f"{self.location(name)}/{gone}")
+                if version.startswith(f"{VERSION}=") and version not in table["folders"]:
+                    storage.remove(self.spark, f"{self.location(name)}/{version}")
                     removed += 1
         return removed
 
@@ -199,9 +205,12 @@ class ParquetWarehouse:
         if schema is not None:
             reader = reader.schema(schema)
         reader = reader.option("basePath", self.location(name))
-        own = [f for f in table["folders"] if f.startswith(f"{VERSION}=")]
+        cut = [f for f in table["folders"] if table["days"].get(f, {}).get("cut")]
+        own = [f for f in table["folders"] if f.startswith(f"{VERSION}=") and f not in cut]
         plain = [f for f in table["folders"] if not f.startswith(f"{VERSION}=")]  # taken over; has no version folders to infer
         found = [reader.parquet(*[f"{self.location(name)}/{f}" for f in part]).drop(VERSION) for part in (own, plain) if part]
+        for f in cut:
+            found.append(reader.parquet(f"{self.location(name)}/{f}").drop(VERSION).where(F.col(FACT_PARTITION).isin(table["days"][f]["live"])))
         names = schema.names if schema is not None else found[0].columns
         return functools.reduce(lambda a, b: a.unionByName(b), [f.select(*names) for f in found])
 
@@ -215,39 +224,33 @@ class ParquetWarehouse:
         unique: bool | None = None,
     ) -> None:
         """Append to a table or overwrite it; ``unique`` notes whether it has one row a folded value."""
-        folders = self._store(df, name, options, partition_by)
-        self._change(Edit(name, folders, whole=mode == "overwrite", schema=df.schema.json(), unique=unique))
+        folder = self._store(df, name, options, partition_by)
+        self._change(Edit(name, [folder], whole=mode == "overwrite", schema=df.schema.json(), unique=unique))
 
-    def _store(self, df: DataFrame, name: str, options: Mapping[str, str] | None, partition_by: Sequence[str]) -> list[str]:
+    def _store(self, df: DataFrame, name: str, options: Mapping[str, str] | None, partition_by: Sequence[str] = ()) -> str:
         version = f"{VERSION}={uuid.uuid4().hex}"
         writer = df.write.options(**_merged(self.write_options, options))
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(f"{self.location(name)}/{version}")
-        if not partition_by:
-            return [version]
-        return [f"{version}/{d}" for d in storage.children(self.spark, f"{self.location(name)}/{version}")]
+        return version
 
     def write_fact(self, df: DataFrame, name: str, options: Mapping[str, str] | None = None) -> dict[int, int]:
-        """Replace the days of ``df``, keep the others; returns the rows of each day written.
-
-        The days are those of the folders that were stored, and the rows those of their files' footers.
-        """
-        folders = self._store(_clustered(df), name, options, (FACT_PARTITION,))
-        keys = {int(f.rpartition("=")[2]) for f in folders}
-        self._change(Edit(name, folders, days=keys, schema=df.schema.json()))
-        if not folders:
-            return {}
-        stored = self.spark.read.schema(df.schema).parquet(f"{self.location(name)}/{folders[0].partition('/')[0]}")
-        return {r[FACT_PARTITION]: r["count"] for r in stored.groupBy(FACT_PARTITION).count().collect()}  # calendar days
+        """Replace the days of ``df``, keep the others; returns the rows of each day written, counted from the stored files."""
+        folder = self._store(_clustered(df).sortWithinPartitions(FACT_PARTITION), name, options)
+        stored = self.spark.read.schema(df.schema).parquet(f"{self.location(name)}/{folder}")
+        rows = {r[FACT_PARTITION]: r["count"] for r in stored.groupBy(FACT_PARTITION).count().collect()}  # calendar days
+        self._change(Edit(name, [folder] if rows else [], sorted(rows), gone=set(rows), schema=df.schema.json()))
+        return rows
 
     def clear_days(self, name: str, keys: Sequence[int]) -> list[int]:
         """Take out days that a refresh covered and left without rows."""
-        table = self._tables().get(name) or {"folders": self._plain(name)}
-        held = {f.rpartition("/")[2] for f in table["folders"]}
-        gone = [k for k in keys if f"{FACT_PARTITION}={k}" in held]
+        table = self._tables().get(name) or {"folders": self._plain(name), "days": {}}
+        held = {d for v in table["days"].values() for d in v["live"]}
+        held |= {int(f.rpartition("=")[2]) for f in table["folders"] if f.startswith(f"{FACT_PARTITION}=")}
+        gone = [k for k in keys if k in held]
         if gone:
-            self._change(Edit(name, days=set(gone)))
+            self._change(Edit(name, gone=set(gone)))
         return gone
 
 

@@ -112,6 +112,19 @@ def test_merge_is_repeated_against_newer_tables(spark, monkeypatch):
     assert rows(wh.read(D.GENDER.name)) == [(1, "a"), (2, "B"), (3, "c")] and wh.unique(D.GENDER.name)
 
 
+def test_days_of_a_folder_are_replaced_one_by_one(spark):
+    wh = made(spark)
+    assert wh.write_fact(days(spark, (1, 10), (2, 20), (2, 21), (3, 30)), "f") == {1: 1, 2: 2, 3: 1}
+    wh.write_fact(days(spark, (2, 5)), "f")
+    assert rows(wh.read("f"), "DayKey", "n") == [(1, 10), (2, 5), (3, 30)]
+    assert wh.clear_days("f", [1, 2, 9]) == [1, 2] and rows(wh.read("f"), "DayKey", "n") == [(3, 30)]
+    assert wh.vacuum() == 1 and rows(wh.read("f"), "DayKey", "n") == [(3, 30)]
+    wh.write_fact(days(spark, (3, 31), (4, 40)), "f")
+    assert rows(wh.read("f"), "DayKey", "n") == [(3, 31), (4, 40)] and len(wh.state()[1]["f"]["folders"]) == 1
+    plan = wh.read("f").where("DayKey = 4")._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(DayKey,4)" in plan  # skipped by the files' statistics
+
+
 def test_plain_folder_is_read_and_taken_over(spark):
     wh = made(spark)
     spark.range(4).write.parquet(wh.location("t"))
