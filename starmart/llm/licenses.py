@@ -1,13 +1,16 @@
 """License scan with a positional rare-token index (operator 10, native).
 
-Templates are short word sequences with mandatory key phrases. Document
-frequencies of the template words are counted over all documents; the rarest
-word of a template's key phrase is its probe. As the key phrase must stand
-verbatim, a file's places of the probe give every start that any of its rare
-words could give, also one before word 0. There the key phrase is compared, and
-the share of the template's weight that agrees must reach ``MIN_SHARE``. The base
-phrases are templates whose key phrase is the whole phrase, so every one of
-their places is found. All of it is column expressions inside one row.
+Each text is cut into words once and stored as the numbers of its template words
+(zero for any other), which is all that later steps read. Document frequencies are
+counted over all documents, and the index keeps, for each template, the places of
+the ``ANCHORS`` words of its mandatory key phrase with the highest IDF. A file's
+words are looked up there; each posting gives the starts of its template (place in
+the file minus place in the template, below 0 where the file cuts the beginning),
+and the postings of a template are intersected by start. At what is left the key
+phrase is verified word by word, and the share of the template's weight that agrees
+must reach ``MIN_SHARE``. As a key phrase must stand verbatim, all its rare words agree
+wherever it stands, so the intersection loses no place; base phrases are templates whose key
+phrase is the whole phrase. All of it is column expressions inside one row.
 """
 
 from __future__ import annotations
@@ -19,10 +22,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, UPPER
+from starmart.session import materialize
+
+from .common import LOWER, UPPER, free_names
 
 TOKEN = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-ANCHORS = 3  # rarest words that must agree in the query's SQL, the probe included; not asked for here
+ANCHORS = 3  # postings a template: its key phrase's words of highest IDF, all of which a start must have
 MIN_SHARE = 0.6
 
 # Base phrases and their labels.
@@ -71,36 +76,45 @@ def words_of(text: Column) -> Column:
     return F.regexp_extract_all(F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER), F.lit(TOKEN), F.lit(0))
 
 
-def word_weights(words: DataFrame, column: str, vocabulary: list[str]) -> dict[str, float]:
+def word_codes(words: Column, vocabulary: list[str]) -> Column:
+    """Each word's place in the vocabulary, from 1; 0 for words that no template has."""
+    known = F.array(*[F.lit(w) for w in vocabulary])
+    code = lambda w: F.when(w.isin(vocabulary), F.array_position(known, w).cast("short")).otherwise(F.lit(0).cast("short"))
+    return F.transform(words, code)
+
+
+def word_weights(stored: DataFrame, codes: str, vocabulary: list[str]) -> dict[str, float]:
     """1 + ln((documents + 1) / (documents with the word + 1)) of each template word, over all documents.
 
-    At most one row a template word reaches the driver.
+    Code 0, added to every document, counts the documents. At most one row a template word reaches the driver.
     """
-    known = F.array(*[F.lit(w) for w in vocabulary])
-    n = words.count()
-    found = words.select(F.explode(F.array_intersect(column, known)).alias("word")).groupBy("word").count()
-    df = {r["word"]: r["count"] for r in found.collect()}
-    return {w: 1 + math.log((n + 1) / (df.get(w, 0) + 1)) for w in vocabulary}
+    zero = F.array(F.lit(0).cast("short"))
+    found = stored.select(F.explode(F.array_union(zero, codes)).alias("code")).groupBy("code").count()
+    df = {r["code"]: r["count"] for r in found.collect()}
+    return {w: 1 + math.log((df.get(0, 0) + 1) / (df.get(k, 0) + 1)) for k, w in enumerate(vocabulary, 1)}
+
 
+def rare_postings(t: Template, weight: dict[str, float]) -> list[tuple[str, int]]:
+    """The template's entries in the index: its key phrase's words of highest IDF with their places, rarest first."""
+    rarest = sorted(set(t.key), key=lambda w: (-weight[w], w))[:ANCHORS]
+    return [(w, t.words.index(w, t.key_at)) for w in rarest]
 
-def probe_place(t: Template, weight: dict[str, float]) -> int:
-    """Place in the template of the rarest word of its key phrase; equal weights in word order."""
-    return t.words.index(min(t.key, key=lambda w: (-weight[w], w)), t.key_at)
 
+def starts(t: Template, hits: Column, codes: Column, code: dict[str, int], weight: dict[str, float]) -> Column:
+    """Starts of the template in a file: those its postings have in common and at which its key phrase stands."""
 
-def starts(t: Template, words: Column, weight: dict[str, float]) -> Column:
-    """Starts of the template in a file: all places around which its key phrase stands, below 0 if the file cuts its beginning."""
-    probe = probe_place(t, weight)
-    at = F.filter(F.sequence(F.lit(0), F.size(words) - 1), lambda i: F.get(words, i) == t.words[probe])
-    first = F.transform(at, lambda i: i - probe)
-    needed = range(t.key_at, t.key_at + len(t.key))
-    return F.filter(first, lambda s: reduce(lambda a, b: a & b, [F.coalesce(F.get(words, s + p) == t.words[p], F.lit(False)) for p in needed]))
+    def posted(w: str, place: int) -> Column:
+        return F.transform(F.filter(hits, lambda h: h["code"] == code[w]), lambda h: h["at"] - place)
 
+    common = reduce(F.array_intersect, [posted(w, place) for w, place in rare_postings(t, weight)])
+    needed = [(p, code[t.words[p]]) for p in range(t.key_at, t.key_at + len(t.key))]
+    return F.filter(common, lambda s: reduce(lambda a, b: a & b, [F.coalesce(F.get(codes, s + p) == c, F.lit(False)) for p, c in needed]))
 
-def shares(t: Template, found: Column, words: Column, weight: dict[str, float]) -> Column:
+
+def shares(t: Template, found: Column, codes: Column, code: dict[str, int], weight: dict[str, float]) -> Column:
     """For each start the share of the template's weight whose words agree, to 6 digits."""
     total = sum(weight[w] for w in t.words)
-    agree = lambda s: sum((F.when(F.get(words, s + p) == w, weight[w]).otherwise(0.0) for p, w in enumerate(t.words)), F.lit(0.0))
+    agree = lambda s: sum((F.when(F.get(codes, s + p) == code[w], weight[w]).otherwise(0.0) for p, w in enumerate(t.words)), F.lit(0.0))
     return F.transform(found, lambda s: F.round(agree(s) / total, 6))
 
 
@@ -114,30 +128,31 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     length are taken whole. Other columns of ``docs``, whatever their names, play no
     part and are not returned. An empty table gives no rows.
     """
-    held = docs.select(F.col(id_col), words_of(F.col(text_col)).alias("words"))
     known = templates()
-    weight = word_weights(held, "words", sorted({w for t in known for w in t.words}))
-    words = F.col("words")
+    vocabulary = sorted({w for t in known for w in t.words})
+    code = {w: k for k, w in enumerate(vocabulary, 1)}
+    codes, hits = free_names([id_col], "codes", "hits")
+    stored = materialize(docs.select(F.col(id_col), word_codes(words_of(F.col(text_col)), vocabulary).alias(codes)), "license-words")
+    weight = word_weights(stored, codes, vocabulary)
     none = F.array().cast("array<int>")
-    probes = sorted({t.words[probe_place(t, weight)] for t in known})
-    any_probe = F.arrays_overlap(words, F.array(*[F.lit(p) for p in probes]))
 
-    placed = held.withColumn("near", any_probe)
-    found, passed = [], []
-    for k, t in enumerate(known):
-        probe = t.words[probe_place(t, weight)]
-        found.append(F.when(F.col("near") & F.array_contains(words, probe), starts(t, words, weight)).otherwise(none).alias(f"at{k}"))
-    placed = placed.select(id_col, "words", *found)
+    rare = sorted({code[w] for t in known for w, _ in rare_postings(t, weight)})
+    listed = F.filter(F.transform(codes, lambda c, i: F.struct(c.alias("code"), i.alias("at"))), lambda h: h["code"].isin(rare))
+    any_rare = F.exists(codes, lambda c: c.isin(rare))
+    looked_up = stored.withColumn(hits, F.when(any_rare, listed))
+    found = [F.when(F.size(hits) > 0, starts(t, F.col(hits), F.col(codes), code, weight)).otherwise(none).alias(f"at{k}") for k, t in enumerate(known)]
+    placed = looked_up.select(F.col(id_col).alias("id"), F.col(codes).alias("codes"), *found)
+    passed = []
     for k, t in enumerate(known):
-        score = F.when(F.size(f"at{k}") > 0, shares(t, F.col(f"at{k}"), words, weight)).otherwise(F.array().cast("array<double>"))
+        score = F.when(F.size(f"at{k}") > 0, shares(t, F.col(f"at{k}"), F.col("codes"), code, weight)).otherwise(F.array().cast("array<double>"))
         passed.append(F.coalesce(F.array_max(F.filter(score, lambda x: x >= MIN_SHARE)), F.lit(0.0)).alias(f"share{k}"))
-    scored = placed.select(id_col, F.size("words").cast("long").alias("n_words"), *[f"at{k}" for k in range(len(known))], *passed)
+    scored = placed.select("id", F.size("codes").cast("long").alias("n_words"), *[f"at{k}" for k in range(len(known))], *passed)
 
     base = [k for k, t in enumerate(known) if t.base]
     places = F.array(*[F.array_min(f"at{k}") for k in base]), F.array(*[F.array_max(f"at{k}") for k in base])
     joined = lambda ks: F.array_join(F.array_sort(F.array_distinct(F.filter(F.array(*[F.when(F.col(f"share{k}") > 0, F.lit(known[k].label)) for k in ks]), lambda x: x.isNotNull()))), ",")
     return scored.select(
-        id_col,
+        F.col("id").alias(id_col),
         "n_words",
         sum((F.size(f"at{k}") for k in base), F.lit(0)).cast("long").alias("n_base"),
         F.array_min(places[0]).cast("long").alias("first_word"),
