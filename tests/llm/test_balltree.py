@@ -80,3 +80,27 @@ def test_search_prunes_balls():
     leaves = tree["child"][:, 0] < 0
     bound = asked @ tree["centre"][leaves].T + np.linalg.norm(asked, axis=1)[:, None] * tree["radius"][leaves]
     assert (bound >= scores[:, -1:]).mean() < 0.3
+
+
+def test_queries_are_sent_only_to_shards_in_reach(spark, monkeypatch):
+    """Separate clusters: a block goes to few other shards, and the rows found stay those of brute force."""
+    monkeypatch.setattr(balltree, "SHARD_ROWS", 60)
+    monkeypatch.setattr(balltree, "QUERY_BLOCK", 4)
+    monkeypatch.setattr(balltree, "ROOT_PAGE", 3)
+    monkeypatch.setattr(balltree, "PILE_BLOCKS", 2)
+    rng = np.random.default_rng(3)
+    centres = rng.normal(0, 3, (12, 8))
+    rows = [(i, (centres[i % 12 if i % 3 else 0] + rng.normal(0, 0.02, 8)).tolist()) for i in range(720)]  # a third in one cluster
+    assert run(spark, rows, 10) == brute(rows, lambda i: i % 10 == 0, 5)
+
+    vectors = spark.createDataFrame(rows, "vec_id long, v array<double>")
+    placed, shards = balltree.in_shards(vectors, len(rows), 8)
+    sizes = [r["count"] for r in placed.groupBy("shard").count().collect()]
+    assert sum(sizes) == len(rows) and shards >= 12 and max(sizes) <= 2 * 60
+    asked = balltree.homed(placed.where("vec_id % 10 = 0"))
+    whole = {i: np.floor(256 * np.array(v)) for i, v in rows}
+    kth = [(i, float(np.sort([whole[i] @ whole[j] for j, _ in rows if j != i])[-5])) for i, _ in rows if i % 10 == 0]
+    floors = asked.join(spark.createDataFrame(kth, "vec_id long, floor double"), "vec_id")
+    sent = balltree.reaching(balltree.blocked(floors, 8), balltree.grown(placed, 8), shards).collect()
+    queries = sum(len(balltree.unpack(r["queries"])["ids"]) for r in sent)
+    assert 0 < queries < 0.5 * len(kth) * (shards - 1)
