@@ -41,7 +41,7 @@ def op4_debruijn_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows in all documents."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    marked = docs.withColumn("hits", decontam.benchmark_hits(table(spark, sf_dir, "benchmark"), F.col("text")))
+    marked = decontam.with_hits(docs, table(spark, sf_dir, "benchmark"), "hits")
     hits = F.col("hits")
     return marked.select(
         "doc_id",

@@ -46,7 +46,7 @@ def brute(docs, items):
 def run(spark, docs, items):
     d = spark.createDataFrame(docs, "doc_id long, text string")
     b = spark.createDataFrame(items, "item_id long, text string")
-    rows = d.withColumn("h", decontam.benchmark_hits(b, F.col("text"))).collect()
+    rows = decontam.with_hits(d, b, "h").collect()
     return sorted(((r["doc_id"], r["h"]["n_words"], r["h"]["n_hit"], r["h"]["items"], [(s["start"], s["end"]) for s in r["h"]["spans"]]) for r in rows), key=str)
 
 
@@ -68,8 +68,17 @@ def test_hits_items_and_offsets(spark):
 
 
 def test_several_automata_find_the_same(spark, monkeypatch):
-    monkeypatch.setattr(decontam, "BLOCK_BYTES", 300)
-    assert run(spark, DOCS, ITEMS) == brute(DOCS, ITEMS)
+    """A long item and the others in blocks of their own, each with a pass: nothing is lost, copies are marked alike."""
+    monkeypatch.setattr(decontam, "BLOCK_BYTES", 1000)
+    monkeypatch.setattr(decontam, "BATCH_ROWS", 7)
+    items = spark.createDataFrame(ITEMS, "item_id long, text string")
+    stored, blocks = decontam.stored_windows(items, "item_id", "text")
+    sizes = [sum(map(len, decontam.block_of(stored, k)["windows"])) for k in range(blocks)]
+    assert blocks > 1 and max(sizes) < 2 * 1000
+    docs = DOCS + [DOCS[0], (99, DOCS[7][1])]
+    assert run(spark, docs, ITEMS) == brute(docs, ITEMS)
+    clash = spark.createDataFrame(docs, "doc_id long, text string").selectExpr("*", "1 as _digest", "2 as _ranges", "3 as found")
+    assert decontam.decontaminate(clash, items).columns == clash.columns
 
 
 def test_random_overlaps(spark):
