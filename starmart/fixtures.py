@@ -89,8 +89,8 @@ def snapshot_day_parts(order_date: Column) -> list[Column]:
     ]
 
 
-def people(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Employees with nested attributes plus the snapshot day (year, month, day)."""
+def people_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with their customer, nation and region: the few columns that an employee's attributes derive from, and the snapshot day."""
     orders = spread(
         table(spark, sf_dir, "orders").select(
             "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"
@@ -104,7 +104,19 @@ def people(spark: SparkSession, sf_dir: str) -> DataFrame:
     geo = nation.join(region, nation.n_regionkey == region.r_regionkey)
     cust = customer.join(geo, customer.c_nationkey == geo.n_nationkey)
     src = orders.join(cust, orders.o_custkey == cust.c_custkey)
+    return src.select(
+        "o_orderkey", "o_orderstatus", "o_orderpriority", "c_custkey", "c_name", "c_mktsegment", "n_nationkey", "n_name", "r_name",
+        *snapshot_day_parts(F.col("o_orderdate")),
+    )
+
 
+def people(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Employees with nested attributes plus the snapshot day (year, month, day)."""
+    return employees(people_sources(spark, sf_dir), config.DAY_PARTS)
+
+
+def employees(src: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """Employees with nested attributes, and the columns ``keys`` as they stand."""
     ok, ck, nk = F.col("o_orderkey"), F.col("c_custkey"), F.col("n_nationkey")
     country = F.when(ok % 13 == 0, F.lower("r_name")).otherwise(F.col("r_name"))
     location = F.struct(F.col("n_name").alias("code"), F.struct(country.alias("name")).alias("country"))
@@ -162,7 +174,7 @@ def people(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.struct(_s(nk).alias("employee_number")).alias("id"),
         ).alias("managers"),
         F.when(ck % 19 == 0, F.lit(None)).otherwise(hierarchy).alias("managers_hierarchy"),
-        *snapshot_day_parts(F.col("o_orderdate")),
+        *keys,
     )
 
 
@@ -261,16 +273,13 @@ def landing_root(spark: SparkSession, sf_dir: str) -> str:
     return f"{scratch_root(spark)}/landing-v{FIXTURE_VERSION}-{tag}"
 
 
-def people_snapshot_tree(spark: SparkSession, sf_dir: str, fmt: str = "parquet") -> str:
-    """Write the Model snapshot runs (a, b) as year/month/day/hour/etlid Parquet or Avro."""
-    root = landing_root(spark, sf_dir) + ("/people" if fmt == "parquet" else f"/people-{fmt}")
-    if storage.exists(spark, f"{root}.complete/_SUCCESS"):
-        return root
+def snapshot_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Employees of the Model snapshot runs (a, b) with the partition keys, dealt by run and in the keys' order."""
     runs = F.array(F.struct(F.lit("a").alias("tag"), F.lit(6).alias("hour")),
                    F.struct(F.lit("b").alias("tag"), F.lit(18).alias("hour")))
-    p = people(spark, sf_dir).select("*", F.explode(runs).alias("r"))
-    p = p.select(
-        *[c for c in p.columns if c != "r"],
+    src = people_sources(spark, sf_dir).select("*", F.explode(runs).alias("r"))
+    src = src.select(
+        *[c for c in src.columns if c != "r"],
         F.col("r.hour").alias("hour"),
         F.concat(
             F.lit("p"), _s(F.col("year")), F.lpad(_s(F.col("month")), 2, "0"),
@@ -278,13 +287,24 @@ def people_snapshot_tree(spark: SparkSession, sf_dir: str, fmt: str = "parquet")
         ).alias("etlid"),
     )
     # One run is one day's whole snapshot; the rebalance splits runs of any size
-    # into tasks of the advised size and joins small ones.
-    dealt = p.hint("rebalance", *config.PARTITION_KEYS)
+    # into tasks of the advised size and joins small ones. What the employees derive
+    # from is dealt and sorted, not the employees, which are many times as wide; the
+    # order lasts through the derivation, so the writer doesn't sort again.
+    dealt = src.hint("rebalance", *config.PARTITION_KEYS).sortWithinPartitions(*config.PARTITION_KEYS)
+    return employees(dealt, config.PARTITION_KEYS)
+
+
+def people_snapshot_tree(spark: SparkSession, sf_dir: str, fmt: str = "parquet") -> str:
+    """Write the Model snapshot runs (a, b) as year/month/day/hour/etlid Parquet or Avro."""
+    root = landing_root(spark, sf_dir) + ("/people" if fmt == "parquet" else f"/people-{fmt}")
+    if storage.exists(spark, f"{root}.complete/_SUCCESS"):
+        return root
+    p = snapshot_rows(spark, sf_dir)
     if fmt == "avro":
         storage.remove(spark, root)  # of a run that died
-        grouped = dealt.sortWithinPartitions(*config.PARTITION_KEYS).write.format(avro.register(spark))
-        grouped.option("partitionBy", ",".join(config.PARTITION_KEYS)).mode("append").save(root)
+        writer = p.write.format(avro.register(spark))
+        writer.option("partitionBy", ",".join(config.PARTITION_KEYS)).mode("append").save(root)
     else:
-        dealt.write.mode("overwrite").partitionBy(*config.PARTITION_KEYS).parquet(root)
+        p.write.mode("overwrite").partitionBy(*config.PARTITION_KEYS).parquet(root)
     spark.range(1).write.mode("overwrite").parquet(f"{root}.complete")
     return root
