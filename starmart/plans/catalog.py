@@ -13,6 +13,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import config, fixtures
 from ..functions.nested import first_location_country, last_manager_email
@@ -22,6 +23,7 @@ from ..operators import extractors as X
 from ..operators import history as H
 from ..operators.filters import allowed, is_active, not_denied_person_type
 from ..operators.rules import aggregation, apply_rules, filter_rule, no_rule
+from ..schemas import PEOPLE_SNAPSHOT
 from ..session import new_scratch_dir
 from ..sources.snapshots import load_snapshots
 from ..sources.warehouse import CsvWarehouse, ParquetWarehouse
@@ -85,9 +87,14 @@ def _warehouse(spark: SparkSession) -> ParquetWarehouse:
     return ParquetWarehouse(spark, new_scratch_dir(spark, "warehouse"))
 
 
-def _loaded(spark: SparkSession, sf: str, since: str | None = None, compat: bool = False, fmt: str = "parquet") -> DataFrame:
+def _loaded(spark: SparkSession, sf: str, since: str | None = None, compat: bool = False, fmt: str = "parquet", schema: T.StructType = PEOPLE_SNAPSHOT) -> DataFrame:
     root = fixtures.people_snapshot_tree(spark, sf, fmt)
-    return load_snapshots(spark, root, fixtures.people_runs(spark, sf), since=since, fmt=fmt, compat=compat)
+    return load_snapshots(spark, root, fixtures.people_runs(spark, sf), since=since, schema=schema, fmt=fmt, compat=compat)
+
+
+def _avro_schema(*columns: str) -> T.StructType:
+    """What a query declares of an Avro tree: Spark asks a Python source for every declared column, used or not."""
+    return T.StructType([f for f in PEOPLE_SNAPSHOT.fields if f.name in (*columns, *config.PARTITION_KEYS)])
 
 
 # ---------------------------------------------------------------------------
@@ -146,7 +153,8 @@ def load_all_avro(spark, sf):
 
 def load_missing_avro(spark, sf):
     """People of the days after the watermark from an Avro tree, with nested fields and dates."""
-    p = _loaded(spark, sf, since=WATERMARK_PATH, fmt="avro")
+    read = _avro_schema("id", "gender", "date_of_birth", "is_active", "work_location", "managers_hierarchy")
+    p = _loaded(spark, sf, since=WATERMARK_PATH, fmt="avro", schema=read)
     return p.select(_emp(), "gender", "date_of_birth", "is_active", first_location_country().alias("location_country"), last_manager_email().alias("manager_email"), *config.PARTITION_KEYS)
 
 

@@ -31,7 +31,9 @@ from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from urllib.parse import quote, unquote
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark.sql import SparkSession
 from pyspark.sql import types as T
@@ -41,10 +43,12 @@ from pyspark.sql.pandas.types import to_arrow_schema
 NAME = "starmart_avro"
 SPLIT_BYTES = 128 << 20
 OPEN_COST = 4 << 20  # bytes that opening a file counts for when files are packed
+LEAST_BYTES = 64 << 10  # of a split that is cut for a number of tasks, and what opening a file counts for then
 PIECE = 1 << 20  # bytes read at a time while looking for a marker
 BATCH_ROWS = 10_000
 BLOCK_BYTES = 64 << 10  # of an uncompressed block written
 EPOCH = dt.date(1970, 1, 1)
+BYTES = pa.large_binary()
 
 # Fixed values of the container format.
 MAGIC = b"Obj\x01"
@@ -62,6 +66,8 @@ Reader = Callable[[bytes, int], tuple[object, int]]
 def read_long(b: bytes, i: int) -> tuple[int, int]:
     c = b[i]
     i += 1
+    if c < 128:
+        return (c >> 1) ^ -(c & 1), i
     n, shift = c & 127, 7
     while c > 127:
         c = b[i]
@@ -87,8 +93,20 @@ def read_bytes(b: bytes, i: int) -> tuple[bytes, int]:
 
 
 def read_string(b: bytes, i: int) -> tuple[str, int]:
+    n = b[i]
+    if n < 128 and not n & 1:  # most lengths take a byte
+        i += 1
+        end = i + (n >> 1)
+    else:
+        n, i = read_long(b, i)
+        end = i + n
+    return b[i:end].decode("utf-8", "replace"), end
+
+
+def pass_over(b: bytes, i: int) -> tuple[None, int]:
+    """Go past bytes or a string that nobody wants."""
     n, i = read_long(b, i)
-    return b[i : i + n].decode("utf-8", "replace"), i + n
+    return None, i + n
 
 
 def fixed(size: int) -> Reader:
@@ -184,6 +202,19 @@ def reader_of(schema, want: T.DataType | None, named: dict | None = None) -> Rea
             raise ValueError("recursive Avro types are not known")
     if isinstance(schema, list):
         branches = [PRIMITIVES["null"] if s == "null" else reader_of(s, want, named) for s in schema]
+        if len(schema) == 2 and "null" in schema:  # the usual case, without a call for a null
+            none = b"\0\2"[schema.index("null")]
+            other, whole = 2 - none, branches[1 - schema.index("null")]
+
+            def nullable(b: bytes, i: int) -> tuple[object, int]:
+                c = b[i]
+                if c == none:
+                    return None, i + 1
+                if c != other:
+                    raise IndexError("no such branch of an Avro union")
+                return whole(b, i + 1)
+
+            return nullable
 
         def union(b: bytes, i: int) -> tuple[object, int]:
             n, i = read_long(b, i)
@@ -204,7 +235,7 @@ def reader_of(schema, want: T.DataType | None, named: dict | None = None) -> Rea
     elif kind == "map":
         return items(reader_of(schema["values"], want.valueType if want is not None else None, named), one_entry)
     else:
-        read = PRIMITIVES[kind]
+        read = pass_over if want is None and kind in ("bytes", "string") else PRIMITIVES[kind]
     change = to_type(schema, want) if want is not None and kind != "null" else None
     return converted(read, change) if change else read
 
@@ -219,15 +250,22 @@ def symbol(schema: dict) -> Reader:
     return run
 
 
-def record(schema: dict, want: T.DataType | None, named: dict) -> Reader:
-    if want is not None and not isinstance(want, T.StructType):
-        raise ValueError(f"an Avro record can't be read as {want.simpleString()}")
+def steps_of(schema: dict, want: T.StructType | None, named: dict) -> list[tuple[str | None, Reader]]:
+    """A record's fields in the writer's order: the declared name (None: passed over) and the reader."""
     wanted = {f.name.lower(): f for f in want.fields} if want is not None else {}
     steps = []
     for f in schema["fields"]:
         target = wanted.get(f["name"].lower())
         steps.append((target.name if target else None, reader_of(f["type"], target.dataType if target else None, named)))
-    blank = dict.fromkeys(f.name for f in wanted.values())
+    return steps
+
+
+def record(schema: dict, want: T.DataType | None, named: dict) -> Reader:
+    if want is not None and not isinstance(want, T.StructType):
+        raise ValueError(f"an Avro record can't be read as {want.simpleString()}")
+    wanted = want.names if want is not None else []
+    steps = steps_of(schema, want, named)
+    blank = dict.fromkeys(wanted)
 
     def run(b: bytes, i: int) -> tuple[dict, int]:
         out = blank.copy()
@@ -360,6 +398,47 @@ def sized(raw: bytes) -> bytes:
     return long_bytes(len(raw)) + raw
 
 
+def joined(*parts: pa.Array) -> pa.Array:
+    """The parts of each row, end to end."""
+    return pc.binary_join_element_wise(*parts, pa.scalar(b"", BYTES))
+
+
+def once_each(column: pa.Array, put: Callable[[object], bytes]) -> pa.Array:
+    """``put`` of every value, called once for those that are equal."""
+    d = column.dictionary_encode()
+    made = [put(v) for v in d.dictionary.to_pylist()] + [put(None)]
+    return pa.array(made, BYTES).take(pc.fill_null(d.indices, len(made) - 1))
+
+
+def encoded(column: pa.Array, kind: T.DataType) -> pa.Array:
+    """What :func:`encoder_of` writes for each value, made for a whole column at once."""
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        raw = column.cast(BYTES)
+        body = joined(once_each(pc.binary_length(raw), lambda n: b"\2" + long_bytes(n or 0)), raw)
+    elif isinstance(kind, T.StructType):
+        body = joined(pa.repeat(pa.scalar(b"\2", BYTES), len(column)), *[encoded(c, f.dataType) for c, f in zip(column.flatten(), kind.fields, strict=True)])
+    elif isinstance(kind, T.ArrayType):
+        n = pc.fill_null(pc.list_value_length(column), 0)
+        ends = np.concatenate([[0], np.cumsum(n.to_numpy(zero_copy_only=False), dtype=np.int64)])
+        items_ = pc.binary_join(pa.LargeListArray.from_arrays(pa.array(ends, pa.int64()), encoded(column.flatten(), kind.elementType)), pa.scalar(b"", BYTES))
+        body = joined(once_each(n, lambda v: b"\2" + (long_bytes(v) if v else b"")), items_, pa.repeat(pa.scalar(b"\0", BYTES), len(column)))
+    elif isinstance(kind, (T.MapType, T.FloatType, T.DoubleType)):
+        return pa.array([*map(encoder_of(kind), column.to_pylist())], BYTES)
+    else:
+        return once_each(column, encoder_of(kind))
+    return pc.if_else(column.is_valid(), body, pa.scalar(b"\0", BYTES))
+
+
+def stretches(keys: Sequence[pa.Array], n: int) -> list[tuple[int, int]]:
+    """(start, end) of the rows that follow each other with equal keys."""
+    new = np.zeros(max(n - 1, 0), bool)
+    for k in keys:
+        at = pc.fill_null(k.dictionary_encode().indices, -1).to_numpy(zero_copy_only=False)
+        new |= at[1:] != at[:-1]
+    cuts = [0, *(np.flatnonzero(new) + 1).tolist(), n]
+    return [(a, b) for a, b in zip(cuts, cuts[1:], strict=False) if a < b]
+
+
 # ---------------------------------------------------------------------------
 # Container files
 # ---------------------------------------------------------------------------
@@ -483,7 +562,7 @@ class Split(InputPartition):
     ranges: Sequence[tuple[str, int, int]]
 
 
-def packed(files: Sequence[tuple[str, int]], size: int) -> list[Split]:
+def packed(files: Sequence[tuple[str, int]], size: int, open_cost: int = OPEN_COST) -> list[Split]:
     """Ranges of at most ``size`` bytes; small files share a split."""
     out, held, filled = [], [], 0
     for path, n in files:
@@ -493,7 +572,7 @@ def packed(files: Sequence[tuple[str, int]], size: int) -> list[Split]:
                 out.append(Split(tuple(held)))
                 held, filled = [], 0
             held.append((path, start, start + part))
-            filled += part + OPEN_COST
+            filled += part + open_cost
     return out + [Split(tuple(held))] * bool(held)
 
 
@@ -521,7 +600,11 @@ class AvroReader(DataSourceReader):
         return sorted(out)
 
     def partitions(self) -> list[Split]:
-        return packed(self.files(), int(self.options.get("splitbytes", SPLIT_BYTES))) or [Split(())]
+        files = self.files()
+        if "splitbytes" in self.options or "tasks" not in self.options:
+            return packed(files, int(self.options.get("splitbytes", SPLIT_BYTES))) or [Split(())]
+        share = -(-sum(n + LEAST_BYTES for _, n in files) // int(self.options["tasks"]))  # decoding costs far more than opening
+        return packed(files, min(SPLIT_BYTES, max(LEAST_BYTES, share)), LEAST_BYTES) or [Split(())]
 
     def read(self, partition: Split) -> Iterator[pa.RecordBatch]:
         arrow = to_arrow_schema(self.schema)
@@ -532,27 +615,35 @@ class AvroReader(DataSourceReader):
             own = T.StructType([f for f in self.schema.fields if f.name.lower() not in given])
             with fs.open_input_file(inner) as file:
                 header = header_of(file)
-                read = reader_of(header.schema, own)
-                rows: list[dict] = []
+                if not isinstance(header.schema, dict) or header.schema["type"] != "record":
+                    raise ValueError("an Avro file's rows are records")
+                steps = steps_of(header.schema, own, {header.schema["name"]: None})
+                count, values = 0, {name: [] for name, _ in steps if name is not None}
+                each = [(read, None if name is None else values[name].append) for name, read in steps]
                 for n, data in blocks(file, header, start, end):
                     at = 0
                     for _ in range(n):
-                        row, at = read(data, at)
-                        rows.append(row)
-                    if len(rows) >= BATCH_ROWS:
-                        yield self.batch(rows, names, arrow, given)
-                        rows = []
-                if rows:
-                    yield self.batch(rows, names, arrow, given)
-
-    def batch(self, rows: list[dict], names: list[str], arrow: pa.Schema, given: dict) -> pa.RecordBatch:
+                        for read, put in each:
+                            value, at = read(data, at)
+                            if put is not None:
+                                put(value)
+                    count += n
+                    if count >= BATCH_ROWS:
+                        yield self.batch(values, count, names, arrow, given)
+                        count = 0
+                        for held in values.values():
+                            held.clear()
+                if count:
+                    yield self.batch(values, count, names, arrow, given)
+
+    def batch(self, values: dict[str, list], count: int, names: list[str], arrow: pa.Schema, given: dict) -> pa.RecordBatch:
         columns = []
         for name, field in zip(names, arrow, strict=True):
             if name.lower() in given:
                 value = pa.scalar(given[name.lower()], pa.string())
-                columns.append(pa.repeat(value, len(rows)).cast(field.type))
+                columns.append(pa.repeat(value, count).cast(field.type))
             else:
-                columns.append(pa.array([r[name] for r in rows], field.type))
+                columns.append(pa.array(values[name], field.type) if name in values else pa.nulls(count, field.type))
         return pa.RecordBatch.from_arrays(columns, schema=arrow)
 
 
@@ -581,25 +672,25 @@ class AvroWriter(DataSourceArrowWriter):
         if self.codec not in ("deflate", "null"):
             raise ValueError(f"can't write codec {self.codec}")
         fs, root = opened(self.path)
-        put = [encoder_of(f.dataType) for f in self.own.fields]
-        files, folder, out, held, rows = [], None, None, [], 0
+        files, folder, out, held, rows, size = [], None, None, [], 0, 0
         marker = os.urandom(MARKER)
 
         def flush() -> None:
-            nonlocal held, rows
+            nonlocal held, rows, size
             if rows:
                 data = b"".join(held)
                 data = data if self.codec == "null" else zlib.compress(data, wbits=-15)
                 out.write(long_bytes(rows) + sized(data) + marker)
-                held, rows = [], 0
+                held, rows, size = [], 0, 0
 
         try:
             for batch in iterator:
-                values = [c.cast(pa.string()).to_pylist() for c in (batch.column(k) for k in self.keys)]
-                columns = [batch.column(f.name).to_pylist() for f in self.own.fields]
-                size = 0
-                for r in range(batch.num_rows):
-                    here = "/".join([root, *[f"{k}={NULL_FOLDER if v[r] is None else quote(v[r], safe=' ')}" for k, v in zip(self.keys, values, strict=True)]])
+                keys = [batch.column(k).cast(pa.string()) for k in self.keys]
+                made = joined(pa.repeat(pa.scalar(b"", BYTES), batch.num_rows), *[encoded(batch.column(f.name), f.dataType) for f in self.own.fields])
+                at, data = np.frombuffer(made.buffers()[1], np.int64)[made.offset : made.offset + len(made) + 1], memoryview(made.buffers()[2] or b"")
+                for first, last in stretches(keys, batch.num_rows):
+                    values = [k[first].as_py() for k in keys]
+                    here = "/".join([root, *[f"{k}={NULL_FOLDER if v is None else quote(v, safe=' ')}" for k, v in zip(self.keys, values, strict=True)]])
                     if here != folder:
                         if out is not None:
                             flush()
@@ -610,13 +701,14 @@ class AvroWriter(DataSourceArrowWriter):
                         out = fs.open_output_stream(files[-1][0])
                         meta = {"avro.schema": json.dumps(avro_schema(self.own)).encode(), "avro.codec": self.codec.encode()}
                         out.write(MAGIC + long_bytes(len(meta)) + b"".join(sized(k.encode()) + sized(v) for k, v in meta.items()) + b"\0" + marker)
-                    row = b"".join([p(c[r]) for p, c in zip(put, columns, strict=True)])
-                    held.append(row)
-                    rows += 1
-                    size += len(row)
-                    if size >= self.block:
-                        flush()
-                        size = 0
+                    while first < last:  # up to the row that fills the block
+                        upto = min(max(int(np.searchsorted(at, at[first] + self.block - size)), first + 1), last)
+                        held.append(data[at[first] : at[upto]])
+                        rows += upto - first
+                        size += int(at[upto] - at[first])
+                        first = upto
+                        if size >= self.block:
+                            flush()
             if out is not None:
                 flush()
         finally:
@@ -636,7 +728,7 @@ class AvroWriter(DataSourceArrowWriter):
 
 
 class AvroSource(DataSource):
-    """Options: path; folders (a JSON list, in place of the whole path); basePath (folders above it are no columns); splitBytes; for writing partitionBy, codec and blockBytes."""
+    """Options: path; folders (a JSON list, in place of the whole path); basePath (folders above it are no columns); splitBytes, or tasks (so many at least, if there are bytes for them); for writing partitionBy, codec and blockBytes."""
 
     @classmethod
     def name(cls) -> str:

@@ -82,7 +82,7 @@ def scan_snapshots(
     if folders is not None and not folders:
         return spark.createDataFrame([], schema)
     if fmt == "avro":
-        source = spark.read.format(avro.register(spark)).schema(schema).options(**dict(options or {}), basePath=root)
+        source = spark.read.format(avro.register(spark)).schema(schema).options(**{"tasks": 3 * spark.sparkContext.defaultParallelism, **dict(options or {})}, basePath=root)
         return source.load(root) if folders is None else source.option("folders", json.dumps(folders)).load(root)
     reader = spark.read.schema(schema).format(fmt).options(**dict(options or {}))
     return reader.load(root) if folders is None else reader.option("basePath", root).load(folders)

@@ -192,3 +192,32 @@ def test_writer_takes_all_types(spark):
     back = read(spark, root, df.schema, splitBytes=500)
     shown = lambda x: sorted(r[0] for r in x.select(F.to_json(F.struct(*df.columns))).collect())
     assert shown(back) == shown(df)
+
+
+def test_columns_are_encoded_as_their_values(spark):
+    kinds = T.StructType.fromDDL("n long, s string, y binary, f double, day date, b boolean, a array<struct<s:string,n:int>>, m map<string,int>, r struct<a:array<string>,r:struct<d:decimal(9,2)>>")
+    deep = [[], None, [None], [{"s": "é" * 70, "n": None}, {"s": "", "n": -1}]]
+    inner = [None, {"a": None, "r": None}, {"a": ["", None, "x"], "r": {"d": Decimal("-1.50")}}]
+    made = [
+        {"n": [None, 0, -1, 2**62][i % 4], "s": [None, "", "a" * i, "é" * 9000][i % 4], "y": [b"\0", None][i % 2], "f": [0.0, -0.0, None, 1.5][i % 4], "day": [None, dt.date(1950, 1, i + 1)][i % 2], "b": [True, None, False][i % 3], "a": deep[i % 4], "m": [None, [], [("k", None)]][i % 3], "r": inner[i % 3]}
+        for i in range(24)
+    ]
+    batch = pa.RecordBatch.from_pylist(made, schema=avro.to_arrow_schema(kinds)).slice(5, 17)
+    for f in kinds.fields:
+        column = batch.column(f.name)
+        assert avro.encoded(column, f.dataType).to_pylist() == [*map(avro.encoder_of(f.dataType), column.to_pylist())], f.name
+    calls = []
+    avro.once_each(pa.array(["x", None] * 500), lambda v: calls.append(v) or b"")
+    assert calls == ["x", None]  # not a call a row
+
+
+def test_one_small_file_is_shared_by_tasks():
+    reader = avro.AvroReader(T.StructType(), {"path": "/x", "tasks": "12"})
+    reader.files = lambda: [("/x/f.avro", 20 << 20), ("/x/g.avro", 10)]
+    ranges = [r for s in reader.partitions() for r in s.ranges]
+    assert len(reader.partitions()) >= 12  # one, when only 128 MB made a split
+    cuts = [r[1:] for r in ranges if r[0] == "/x/f.avro"]
+    assert cuts[0][0] == 0 and cuts[-1][1] == 20 << 20 and all(x[1] == y[0] for x, y in zip(cuts, cuts[1:], strict=False))
+    assert [r for r in ranges if r[0] == "/x/g.avro"] == [("/x/g.avro", 0, 10)]
+    reader.options["splitbytes"] = str(128 << 20)
+    assert len(reader.partitions()) == 1
