@@ -148,7 +148,7 @@ def load_all(spark, sf):
 
 def load_all_avro(spark, sf):
     """The full load from an Avro tree."""
-    return _load_cols(_loaded(spark, sf, fmt="avro"))
+    return _load_cols(_loaded(spark, sf, fmt="avro", schema=_avro_schema("id")))
 
 
 def load_missing_avro(spark, sf):

@@ -221,3 +221,11 @@ def test_one_small_file_is_shared_by_tasks():
     assert [r for r in ranges if r[0] == "/x/g.avro"] == [("/x/g.avro", 0, 10)]
     reader.options["splitbytes"] = str(128 << 20)
     assert len(reader.partitions()) == 1
+
+
+def test_full_load_decodes_only_what_it_returns(spark, sf):
+    df = C.load_all_avro(spark, sf)
+    scan = next(line for line in df._jdf.queryExecution().analyzed().toString().splitlines() if "starmart_avro" in line)
+    assert "id#" in scan and "etlid#" in scan
+    assert "managers_hierarchy" not in scan and "employee_name" not in scan
+    assert rows(df) == rows(C.load_all(spark, sf))
